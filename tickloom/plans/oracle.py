@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+
+
+def _settled(value: str, places: int = 5) -> str:
+    """Rounding with exact ties lifted clear of summation noise, as the Spark side does."""
+    return f"round({value} + 1e-{places + 3}, {places})"
+
+
 _TICKS = """
 raw AS (
   SELECT event_type AS symbol, ts AS event_timestamp, value AS price,
@@ -13,7 +20,7 @@ ticks AS (
   WHERE symbol IS NOT NULL AND price IS NOT NULL AND volume IS NOT NULL
     AND event_timestamp IS NOT NULL AND volume > 0)"""
 
-_WINDOWS = _TICKS + """,
+_WINDOWS = _TICKS + f""",
 spread AS (
   SELECT symbol, price_x_volume, volume,
          date_trunc('minute', event_timestamp) - i * INTERVAL 1 MINUTE AS window_start
@@ -21,7 +28,7 @@ spread AS (
 windows AS (
   SELECT symbol, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
          round(sum(price_x_volume), 4) AS weighted_price_sum, sum(volume) AS volume_sum,
-         round(sum(price_x_volume) / sum(volume), 8) AS vwap
+         {_settled("sum(price_x_volume) / sum(volume)", 8)} AS vwap
   FROM spread GROUP BY symbol, window_start HAVING sum(volume) > 0)"""
 
 _CANDLES = """
@@ -59,11 +66,6 @@ simple AS (
   FROM means)"""
 
 
-def _settled(value: str) -> str:
-    """Five places, exact ties lifted clear of summation noise, as the Spark side does."""
-    return f"round({value} + 1e-8, 5)"
-
-
 def _ema(name: str, span: int, rows: int) -> str:
     weight = f"pow({1.0 - 2.0 / (span + 1.0)!r}, a.rn - b.rn)"
     return f""",
@@ -159,7 +161,7 @@ SELECT p_partkey, p_brand || p_partkey AS symbol, p_name AS description, p_type
     "vwap_sliding": f"WITH {_WINDOWS} {_WINDOW_ROWS}",
     "vwap_plain": f"""WITH {_TICKS}
 SELECT symbol, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
-       round(sum(price * volume) / nullif(sum(volume), 0), 8) AS vwap
+       {_settled("sum(price * volume) / nullif(sum(volume), 0)", 8)} AS vwap
 FROM (SELECT *, date_trunc('minute', event_timestamp) - i * INTERVAL 1 MINUTE AS window_start
       FROM raw, range(5) AS r(i))
 GROUP BY symbol, window_start""",

@@ -37,6 +37,17 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
+def _settled(df: DataFrame, *names: str, places: int = 5) -> DataFrame:
+    """Round computed means for comparison.
+
+    A mean of two-decimal prices can lie exactly between two roundings, where the
+    order of summation would decide; the lift, far above that noise and far below
+    the last place, decides such ties alike everywhere.
+    """
+    lift = 10.0 ** -(places + 3)
+    return df.withColumns({n: F.round(F.col(n) + lift, places) for n in names})
+
+
 # -- ticks and candles -----------------------------------------------------
 
 
@@ -133,16 +144,6 @@ def q_last_n_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- indicators ------------------------------------------------------------
 
 
-def _settled(df: DataFrame, *names: str) -> DataFrame:
-    """Round indicators to five places.
-
-    A mean of two-decimal prices can lie exactly between two roundings, where the
-    order of summation would decide; the lift, far above that noise and far below
-    the last place, decides such ties alike everywhere.
-    """
-    return df.withColumns({n: F.round(F.col(n) + 1e-8, 5) for n in names})
-
-
 def _indicators(*names: str, keep: tuple[str, ...] = ("symbol", "datetime", "close")) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = views.daily_bars(spark, sf_dir).select(*keep)
@@ -165,15 +166,16 @@ def q_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_windows(vwap(views.ticks(spark, sf_dir))).select(*WINDOW_COLUMNS)
+    return _show_windows(flat_windows(vwap(views.ticks(spark, sf_dir), round_to=None)))
 
 
 def _show_windows(windows: DataFrame) -> DataFrame:
-    return _rounded(windows.select(*WINDOW_COLUMNS), 4, "weighted_price_sum")
+    """Windows computed unrounded, rounded here (see ``_settled``)."""
+    return _settled(_rounded(windows.select(*WINDOW_COLUMNS), 4, "weighted_price_sum"), "vwap", places=8)
 
 
 def q_vwap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_windows(_windows(spark, sf_dir))
+    return _windows(spark, sf_dir)
 
 
 def q_vwap_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +183,7 @@ def q_vwap_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.raw_ticks(views.table(spark, sf_dir, "events"))
     raw = raw.withColumn("price_x_volume", F.col("price") * F.col("volume"))
     windows = flat_windows(vwap(raw, positive_volume=False, round_to=None))
-    return _rounded(windows.select("symbol", "window_start", "window_end", "vwap"), 8, "vwap")
+    return _settled(windows.select("symbol", "window_start", "window_end", "vwap"), "vwap", places=8)
 
 
 def q_vwap_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +193,7 @@ def q_vwap_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_vwap_latest_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only ticks before ``AS_OF`` can be in a window closed by then, so the scan skips the rest."""
     ticks = views.ticks(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(AS_OF).cast("timestamp_ntz"))
-    return _show_windows(latest_closed(flat_windows(vwap(ticks)), AS_OF))
+    return _show_windows(latest_closed(flat_windows(vwap(ticks, round_to=None)), AS_OF))
 
 
 # -- pairing and measures --------------------------------------------------
@@ -285,7 +287,7 @@ def _run_windows(spark: SparkSession, windows: DataFrame, mode: str) -> DataFram
 
 def _vwap_stream(watermark: str, mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        windows = stream_vwap(views.tick_stream(spark, sf_dir), watermark)
+        windows = stream_vwap(views.tick_stream(spark, sf_dir), watermark, round_to=None)
         return _show_windows(_run_windows(spark, windows, mode))
 
     return query
@@ -296,7 +298,7 @@ def q_vwap_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = BatchTable(scratch(spark, "newest"))
     ticks = views.tick_stream(spark, sf_dir)
     publish_newest(
-        ticks, scratch(spark, "checkpoint"), log.write, as_of=AS_OF, trigger=AVAILABLE_NOW
+        ticks, scratch(spark, "checkpoint"), log.write, as_of=AS_OF, trigger=AVAILABLE_NOW, round_to=None
     ).awaitTermination()
     written = log.read(spark, stream_vwap(ticks).schema)
     return _show_windows(newest_per_key(written, ["symbol"]))
@@ -317,7 +319,7 @@ def q_vwap_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = BatchTable(scratch(spark, "windows"))
     for part in (events, events.filter(F.col("ts") < middle)):
         files.write_parquet(part, source, mode="append")
-        windows = stream_vwap(views.tick_stream_of(spark, source), "2 minutes")
+        windows = stream_vwap(views.tick_stream_of(spark, source), "2 minutes", round_to=None)
         start_batches(windows, log.write, checkpoint, mode="append", trigger=AVAILABLE_NOW).awaitTermination()
     return _show_windows(log.read(spark, windows.schema))
 
