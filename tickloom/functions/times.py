@@ -6,8 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from tickloom.schemas import Interval, interval
 
-# Accepted candle time patterns, most precise first.
-CANDLE_TIME_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX", "yyyy-MM-dd'T'HH:mm:ssX")
+# Candle times come with up to six fraction digits or none. One
+# pattern with an optional part, because a pattern that fails costs an exception.
+CANDLE_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -24,7 +25,7 @@ def parse_time(text: Column | str, *patterns: str) -> Column:
 
 
 def parse_candle_time(text: Column | str) -> Column:
-    return parse_time(text, *CANDLE_TIME_PATTERNS)
+    return parse_time(text, CANDLE_TIME)
 
 
 def millis_to_time(ms: Column | str) -> Column:

@@ -11,12 +11,23 @@ from tickloom.functions.times import millis_to_iso, millis_to_time, parse_candle
 from tickloom.schemas import CANDLE_MESSAGE
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """Pin the columns of ``df``: each is computed once per row.
+
+    A filter on parsed columns is pushed below the projection that parses them, and
+    then parses the text again for every condition. Filters stay above a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def parse_messages(topic: DataFrame) -> DataFrame:
     """Topic rows to ``key, broker_time, data``; text that is not JSON gives NULL fields."""
-    return topic.select(
-        F.col("key").cast("string").alias("key"),
-        F.col("timestamp").alias("broker_time"),
-        F.from_json(F.col("value").cast("string"), CANDLE_MESSAGE).alias("data"),
+    return computed_once(
+        topic.select(
+            F.col("key").cast("string").alias("key"),
+            F.col("timestamp").alias("broker_time"),
+            F.from_json(F.col("value").cast("string"), CANDLE_MESSAGE).alias("data"),
+        )
     )
 
 
@@ -58,7 +69,7 @@ def normalise_candles(topic: DataFrame, closed_only: bool = True, positive_volum
             F.col("broker_time"),
         ).alias("event_timestamp"),
     )
-    return clean_ticks(ticks, positive_volume)
+    return clean_ticks(computed_once(ticks), positive_volume)
 
 
 def publish_candles(topic: DataFrame) -> DataFrame:

@@ -7,8 +7,15 @@ with one row per (symbol, grain).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.session import staged
+
+# How a result that two branches need is kept; ``staged`` writes it to the shared folder.
+Stage = Callable[[DataFrame], DataFrame]
+
 QUOTE, VWAP = 0, 1
 ARRIVAL_ORDER = ("arrival", "side", "seq")
 MESSAGE_COLUMNS = ("symbol", *ARRIVAL_ORDER, "value", "window_start", "window_end")
@@ -30,45 +37,48 @@ def pair_asof(
     time: str = "event_timestamp",
     price: str = "price",
     order: str | None = None,
+    stage: Stage = staged,
 ) -> DataFrame:
     """Give each window the last quote of its symbol with ``time < window_end``.
 
     Window ends on the ``slide`` grid let quotes be cut down to the last one per
-    slide before anything is shuffled by symbol (``slide=None`` for ends off any
+    slide, map-side, before they meet the windows (``slide=None`` for ends off any
     grid: quotes then stay as they are). ``order`` decides between quotes of equal
     time. Windows without an earlier quote are left out.
+
+    A quote sorts by its time, so "the last one so far" is a running maximum: within
+    a grain by a window, over earlier grains by the carry table.
     """
+    at = F.col(time).cast("timestamp_ntz")
+    seq = F.col(order) if order else F.lit(0)
+    quote = F.struct(at.alias("quote_time"), seq.alias("seq"), F.col(price).alias("close"))
     if slide is None:
-        at, rank = F.col(time).cast("timestamp_ntz"), 1
-        last = quotes.select("symbol", at.alias("_at"), at.alias("quote_time"), F.col(price).alias("close"))
+        rank, quote_rows = 1, quotes.select("symbol", at.alias("_at"), quote.alias("_quote"))
     else:
-        newest = F.struct(time, order) if order else F.col(time)
         rank = -1
-        last = (
-            quotes.groupBy("symbol", F.window(time, slide)["end"].cast("timestamp_ntz").alias("_at"))
-            .agg(F.max(F.col(time).cast("timestamp_ntz")).alias("quote_time"), F.max_by(price, newest).alias("close"))
-            .select("symbol", "_at", "quote_time", "close")
-        )
-    quote_rows = last.select(
-        "symbol", "_at", F.lit(rank).alias("_rank"), F.struct("quote_time", "close").alias("_quote")
-    )
+        step_end = F.window(time, slide)["end"].cast("timestamp_ntz")
+        quote_rows = quotes.groupBy("symbol", step_end.alias("_at")).agg(F.max(quote).alias("_quote"))
     kept = [c for c in windows.columns if c != "symbol"]
     window_rows = windows.select(
         "symbol", F.col("window_end").alias("_at"), F.lit(0).alias("_rank"), F.struct(*kept).alias("_window")
     )
-    rows = quote_rows.unionByName(window_rows, allowMissingColumns=True).withColumn(
-        "_grain", F.window("_at", grain)["start"]
-    )
+    rows = quote_rows.withColumn("_rank", F.lit(rank)).unionByName(window_rows, allowMissingColumns=True)
+
     so_far = Window.partitionBy("symbol", "_grain").orderBy("_at", "_rank")
     earlier = Window.partitionBy("symbol").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
+    local = stage(
+        rows.withColumn("_grain", F.window("_at", grain)["start"])
+        .withColumn("_last", F.max("_quote").over(so_far))
+        .select("symbol", "_grain", "_window", "_last")
+    )
     carry = (
-        rows.groupBy("symbol", "_grain")
-        .agg(F.max_by("_quote", F.when(F.col("_quote").isNotNull(), F.col("_at"))).alias("_tail"))
-        .select("symbol", "_grain", F.last("_tail", True).over(earlier).alias("_before"))
+        local.groupBy("symbol", "_grain")
+        .agg(F.max("_last").alias("_tail"))
+        .select("symbol", "_grain", F.max("_tail").over(earlier).alias("_before"))
     )
-    found = rows.withColumn("_last", F.last("_quote", True).over(so_far)).filter(F.col("_window").isNotNull())
     return (
-        found.join(carry, ["symbol", "_grain"])
+        local.filter(F.col("_window").isNotNull())
+        .join(carry, ["symbol", "_grain"])
         .withColumn("_last", F.coalesce("_last", "_before"))
         .filter(F.col("_last").isNotNull())
         .select("symbol", *(F.col(f"_window.{c}") for c in kept), "_last.quote_time", "_last.close")
@@ -130,7 +140,7 @@ def compact_quotes(messages: DataFrame, grid: str = "1 minute") -> DataFrame:
     )
 
 
-def fold_arrivals(messages: DataFrame, grain: str = "1 hour") -> DataFrame:
+def fold_arrivals(messages: DataFrame, grain: str = "1 hour", stage: Stage = staged) -> DataFrame:
     """Run the two-slot pairing over messages in arrival order; adds ``before`` and ``emits``.
 
     A message overwrites its slot; when both slots are full they are paired and
@@ -138,46 +148,42 @@ def fold_arrivals(messages: DataFrame, grain: str = "1 hour") -> DataFrame:
     ``before`` it, and does so exactly if that one did not emit itself: in an
     unbroken run of side changes every second message emits, starting with the
     first change. The place of the last message that was no change therefore
-    decides, and that is a running maximum: inside a grain by a window, across
-    grains by the carry table.
+    decides, and that is a running maximum: within a grain by a window, over
+    earlier grains by the carry table. The messages are shuffled once.
     """
     in_grain = Window.partitionBy("symbol", "_grain").orderBy(*ARRIVAL_ORDER)
+    so_far = in_grain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     grains = Window.partitionBy("symbol").orderBy("_grain")
     earlier = grains.rowsBetween(Window.unboundedPreceding, -1)
 
     payload = F.struct("side", "value", "window_start", "window_end")
-    local = (
+    unchanged = F.when((F.col("_i") > 1) & (F.col("_prev.side") == F.col("side")), F.col("_i"))
+    local = stage(
         messages.select(*MESSAGE_COLUMNS)
         .withColumn("_grain", F.window("arrival", grain)["start"])
         .withColumns({"_i": F.row_number().over(in_grain), "_prev": F.lag(payload).over(in_grain)})
-        .withColumn("_same", F.when((F.col("_i") > 1) & (F.col("_prev.side") == F.col("side")), F.col("_i")))
+        .withColumn("_unchanged", F.max(unchanged).over(so_far))
     )
+    # A grain's first message is compared with the last one of the grain before.
+    starts = F.col("_before").isNull() | (F.col("_before.side") == F.col("_first_side"))
     carry = (
         local.groupBy("symbol", "_grain")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min_by("side", "_i").alias("_first_side"),
             F.max_by(payload, "_i").alias("_tail"),
-            F.max("_same").alias("_same_at"),
+            F.max("_unchanged").alias("_unchanged_at"),
         )
         .withColumns({"_before": F.lag("_tail").over(grains), "_offset": F.coalesce(F.sum("_n").over(earlier), F.lit(0))})
-        .withColumn(
-            "_starts_run",
-            F.col("_before").isNull() | (F.col("_before.side") == F.col("_first_side")),
-        )
-        .withColumn(
-            "_reset", F.col("_offset") + F.coalesce("_same_at", F.when(F.col("_starts_run"), F.lit(1)))
-        )
-        .select("symbol", "_grain", "_before", "_offset", "_starts_run", F.max("_reset").over(earlier).alias("_carried"))
+        .withColumn("_start", F.when(starts, F.lit(1)))
+        .withColumn("_reset", F.col("_offset") + F.coalesce("_unchanged_at", "_start"))
+        .select("symbol", "_grain", "_before", "_offset", "_start", F.max("_reset").over(earlier).alias("_carried"))
     )
-    reset = F.when((F.col("_i") == 1) & F.col("_starts_run"), F.col("_i")).otherwise(F.col("_same"))
-    so_far = in_grain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.coalesce(F.col("_offset") + F.coalesce("_unchanged", "_start"), F.col("_carried"))
     return (
         local.join(carry, ["symbol", "_grain"])
-        .withColumn("_at", F.col("_offset") + F.col("_i"))
-        .withColumn("_run", F.greatest(F.max(F.col("_offset") + reset).over(so_far), F.col("_carried")))
         .withColumn("before", F.coalesce("_prev", "_before"))
-        .withColumn("emits", (F.col("_at") - F.col("_run")) % 2 == 1)
+        .withColumn("emits", (F.col("_offset") + F.col("_i") - run) % 2 == 1)
         .select(*MESSAGE_COLUMNS, "before", "emits")
     )
 
@@ -200,9 +206,9 @@ def pairs_of(folded: DataFrame) -> DataFrame:
     )
 
 
-def pair_latest(messages: DataFrame, grain: str = "1 hour") -> DataFrame:
+def pair_latest(messages: DataFrame, grain: str = "1 hour", stage: Stage = staged) -> DataFrame:
     """Pairs of the two-slot pairing, one row each."""
-    return pairs_of(fold_arrivals(messages, grain))
+    return pairs_of(fold_arrivals(messages, grain, stage))
 
 
 def pending(folded: DataFrame) -> DataFrame:

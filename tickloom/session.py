@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -55,3 +55,15 @@ def scratch(spark: SparkSession, tag: str) -> str:
         base = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/tickloom/{tag}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    For results that several branches of a plan need: they are computed once, in
+    columns, and outlive lost executors. The folder is left to whatever expires the
+    checkpoint folder.
+    """
+    path = scratch(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -90,7 +90,7 @@ def stream_pairs(
         if batch_id > 0:
             slots = spark.read.schema(PENDING).parquet(f"{state}/slot={(batch_id - 1) % 2}")
             led = led.unionByName(slots.withColumn("arrival", F.lit(_FIRST).cast("timestamp_ntz")))
-        folded = fold_arrivals(led, grain).persist()
+        folded = fold_arrivals(led, grain, stage=lambda rows: rows).persist()
         try:
             on_pairs(pairs_of(folded), batch_id)
             left = pending(folded).select(*PENDING.fieldNames())
