@@ -1,0 +1,157 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from tickloom.operators.indicators import ema_of_array, ordered_history, with_indicators
+
+NAMES = ["SMA_200", "EMA_50", "EMA_12", "EMA_26", "RSI_14", "MACD"]
+DAY0 = datetime(2020, 1, 1)
+
+
+def bars(spark, closes, symbol="A", step=timedelta(days=1)):
+    rows = [(DAY0 + i * step, symbol, c) for i, c in enumerate(closes)]
+    return spark.createDataFrame(rows, "datetime timestamp_ntz, symbol string, close double")
+
+
+def brute(closes):
+    """The indicator definitions, row by row."""
+
+    def ema(t, span, rows):
+        frame = closes[max(0, t - rows + 1) : t + 1]
+        if any(x is None for x in frame):
+            return None
+        d = 1 - 2 / (span + 1)
+        weights = [d ** (len(frame) - 1 - j) for j in range(len(frame))]
+        return sum(x * w for x, w in zip(frame, weights)) / sum(weights)
+
+    gains, losses = [], []
+    for t, x in enumerate(closes):
+        prev = closes[t - 1] if t else None
+        move = None if x is None or prev is None else x - prev
+        gains.append(move if move is not None and move > 0 else 0.0)
+        losses.append(-move if move is not None and move < 0 else 0.0)
+    out = []
+    for t in range(len(closes)):
+        known = [x for x in closes[max(0, t - 199) : t + 1] if x is not None]
+        gain, loss = gains[max(0, t - 13) : t + 1], losses[max(0, t - 13) : t + 1]
+        g, ls = sum(gain) / len(gain), sum(loss) / len(loss)
+        e12, e26 = ema(t, 12, 200), ema(t, 26, 300)
+        out.append(
+            {
+                "SMA_200": sum(known) / len(known) if known else None,
+                "EMA_50": ema(t, 50, 300),
+                "EMA_12": e12,
+                "EMA_26": e26,
+                "RSI_14": 100.0 if ls == 0 else 100 - 100 / (1 + g / ls),
+                "MACD": None if e12 is None or e26 is None else e12 - e26,
+            }
+        )
+    return out
+
+
+def wave(n, seed=7):
+    value, state, out = 100.0, seed, []
+    for _ in range(n):
+        state = (state * 1103515245 + 12345) % 2**31
+        value = round(max(1.0, value + (state % 401 - 200) / 100), 2)
+        out.append(value)
+    return out
+
+
+def check(rows, closes):
+    want = brute(closes)
+    assert len(rows) == len(want)
+    for row, expect in zip(rows, want):
+        for name in NAMES:
+            if expect[name] is None:
+                assert row[name] is None, (name, row)
+            else:
+                assert row[name] == pytest.approx(expect[name], abs=1e-8), (name, row)
+
+
+def ordered(df):
+    return df.orderBy("symbol", "datetime").collect()
+
+
+def test_known_first_values(spark):
+    rows = ordered(with_indicators(bars(spark, [2439.29, 2458.83, 2462.99])))
+    got = [[round(r[n], 6) for n in ("SMA_200", "EMA_50", "RSI_14", "MACD")] for r in rows]
+    assert got == [
+        [2439.29, 2439.29, 100.0, 0.0],
+        [2449.06, 2449.2554, 100.0, 0.438397],
+        [2453.703333, 2454.017924, 100.0, 0.687607],
+    ]
+
+
+@pytest.mark.parametrize("size", [None, "1D"])
+def test_long_series_matches_definition(spark, size):
+    closes = wave(720)
+    check(ordered(with_indicators(bars(spark, closes), NAMES, size=size, rows_per_grain=16, rows_per_block=310)), closes)
+
+
+@pytest.mark.parametrize("rows_per_grain,rows_per_block", [(1, 300), (7, 64), (500, 100), (16, 1000), (2000, 50)])
+def test_any_block_size_gives_the_same(spark, rows_per_grain, rows_per_block):
+    """Also blocks shorter than the halo and grains longer than a block."""
+    closes = wave(700, seed=3)
+    got = with_indicators(
+        bars(spark, closes), NAMES, rows_per_grain=rows_per_grain, rows_per_block=rows_per_block
+    )
+    check(ordered(got), closes)
+
+
+def test_gaps_in_time_and_a_dominant_symbol(spark):
+    """Frames count rows, not days; symbols do not mix however uneven they are."""
+    long, short = wave(900, seed=5), wave(40, seed=9)
+    gappy = spark.createDataFrame(
+        [(DAY0 + timedelta(days=i * 3 + (500 if i > 450 else 0)), "LONG", c) for i, c in enumerate(long)]
+        + [(DAY0 + timedelta(days=i * 97), "SHORT", c) for i, c in enumerate(short)],
+        "datetime timestamp_ntz, symbol string, close double",
+    )
+    rows = ordered(with_indicators(gappy, NAMES, rows_per_grain=32, rows_per_block=320))
+    check([r for r in rows if r.symbol == "LONG"], long)
+    check([r for r in rows if r.symbol == "SHORT"], short)
+
+
+def test_null_close_poisons_the_ema_but_not_the_average(spark):
+    closes = wave(420, seed=11)
+    closes[60] = None
+    check(ordered(with_indicators(bars(spark, closes), NAMES, rows_per_grain=16, rows_per_block=310)), closes)
+
+
+def test_ema_of_a_constant_is_the_constant(spark):
+    rows = ordered(with_indicators(bars(spark, [42.5] * 350), NAMES))
+    for row in rows:
+        assert row.EMA_50 == pytest.approx(42.5) and row.MACD == pytest.approx(0.0, abs=1e-10)
+        assert row.RSI_14 == 100.0
+
+
+def test_rsi_stays_in_range(spark):
+    for row in ordered(with_indicators(bars(spark, wave(200, seed=21)), ["RSI_14"])):
+        assert 0.0 <= row.RSI_14 <= 100.0
+
+
+def test_returns(spark):
+    rows = ordered(with_indicators(bars(spark, [10.0, 12.0, 11.0]), ["prev_close", "delta", "gain", "loss"]))
+    assert [(r.prev_close, r.delta, r.gain, r.loss) for r in rows] == [
+        (None, None, 0.0, 0.0),
+        (10.0, 2.0, 2.0, 0.0),
+        (12.0, -1.0, 0.0, 1.0),
+    ]
+
+
+def test_array_form_agrees(spark):
+    closes = wave(320, seed=2)
+    closes[5] = None
+    frame = Window.partitionBy("symbol").orderBy("datetime").rowsBetween(-299, 0)
+    df = bars(spark, closes).withColumn("h", ordered_history("close", "datetime", frame))
+    rows = df.withColumn("EMA_50", ema_of_array(F.col("h"), 50)).orderBy("datetime").collect()
+    for row, want in zip(rows, brute(closes)):
+        assert row.EMA_50 == (None if want["EMA_50"] is None else pytest.approx(want["EMA_50"], abs=1e-8))
+    empty = spark.range(1).select(ema_of_array(F.array().cast("array<double>"), 50).alias("e")).first()
+    assert empty.e is None
+
+
+def test_unknown_name_is_refused(spark):
+    with pytest.raises(ValueError, match="unknown indicators"):
+        with_indicators(bars(spark, [1.0]), ["MACD_SIGNAL"])
