@@ -137,8 +137,9 @@ def test_bars_and_rollup(spark):
         (9.0, 9.0, 9.0, 9.0, 4.0),
     ]
     assert tuple(rollup_bars(hourly, "1D").first()) == (datetime(2024, 1, 1), "A", 10.0, 12.0, 8.0, 9.0, 8.0)
-    history = bar_history(ticks, "A", "1H", 1).collect()
-    assert [r.close for r in history] == [9.0]
+    named = ticks.withColumn("symbol", F.concat(F.lit("MCX:"), F.col("symbol"), F.lit("1!")))
+    history = bar_history(named, "A", "MCX", "1H", 1, contract=1).collect()
+    assert [(r.symbol, r.close) for r in history] == [("MCX:A1!", 9.0)]
 
 
 @pytest.mark.parametrize("n", [3, 1500])

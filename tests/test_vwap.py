@@ -36,6 +36,15 @@ def test_sliding_windows(spark, nested):
     }
 
 
+def test_sizes_that_are_no_multiple_of_the_slide(spark):
+    rows = [(f"{i // 2}:{i % 2 * 30}", 10 + i % 7, 1 + i % 3) for i in range(60)]
+    both = [
+        sorted(tuple(r) for r in flat_windows(vwap(clean_ticks(ticks(spark, rows)), "5 minutes", "2 minutes", nested=n)).collect())
+        for n in (True, False)
+    ]
+    assert both[0] == both[1] and len(both[0]) > 0
+
+
 def test_windows_are_half_open(spark):
     got = by_end(vwap(clean_ticks(ticks(spark, [("5:0", 7, 1)]))))
     assert sorted(got) == [6, 7, 8, 9, 10]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from tickloom.schemas import Interval, interval
@@ -12,6 +14,15 @@ CANDLE_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(text: str) -> int | None:
+    """Seconds of a plain duration such as ``5 minutes``; None for any other form."""
+    found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day|week)s?\s*", text.lower())
+    return int(found[1]) * _UNIT_SECONDS[found[2]] if found else None
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

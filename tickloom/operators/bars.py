@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.text import format_symbol
 from tickloom.functions.times import bar_start
 from tickloom.operators.blocks import tail_grains
 from tickloom.schemas import BAR_COLUMNS, Interval, interval
@@ -66,8 +67,15 @@ def last_n_bars(bars: DataFrame, n: int, size: str | Interval = "1D") -> DataFra
 
 
 def bar_history(
-    ticks: DataFrame, symbol: str, size: str | Interval = "1D", n_bars: int = 10, **columns: Column | str
+    ticks: DataFrame,
+    symbol: str,
+    exchange: str = "NSE",
+    size: str | Interval = "1D",
+    n_bars: int = 10,
+    contract: int | None = None,
+    **columns: Column | str,
 ) -> DataFrame:
-    """Last ``n_bars`` bars of one symbol (full name), ascending by time."""
-    one = ticks.filter(F.col("symbol") == symbol)
+    """Last ``n_bars`` bars of one instrument, ascending by time; columns as for ``ohlcv``."""
+    name = format_symbol(F.lit(symbol), F.lit(exchange), contract)
+    one = ticks.filter(F.col("symbol") == name)
     return last_n_bars(ohlcv(one, size, **columns), n_bars, size).orderBy("datetime")

@@ -14,8 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_GRAIN = 256
-ROWS_PER_BLOCK = 16384
+# A block with its halo of up to 299 rows and a grain too many at either end stays
+# below the 4096 rows a window step buffers without going through its spillable sorter.
+ROWS_PER_GRAIN = 128
+ROWS_PER_BLOCK = 3500
 
 
 def grain_start(time: Column | str, seconds: int) -> Column:

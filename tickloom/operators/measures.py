@@ -55,13 +55,10 @@ def latest_measures(measures: DataFrame) -> DataFrame:
     Many versions of one record combine map-side; two values under the same
     version resolve to the larger one, so reruns agree.
     """
-    entries = F.array_sort(F.map_entries("dimensions"))
     newest = F.max(F.struct("version", "measure_value"))
     return (
-        measures.groupBy(entries.alias("_dims"), "measure_name", "time")
+        measures.groupBy("dimensions", "measure_name", "time")
         .agg(newest.alias("m"))
-        .select(
-            F.map_from_entries("_dims").alias("dimensions"), "measure_name", "m.measure_value", "time", "m.version"
-        )
+        .select("dimensions", "measure_name", "m.measure_value", "time", "m.version")
         .select(*MEASURE.fieldNames())
     )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numbers import ratio
+from tickloom.functions.times import duration_seconds
 
 
 def _sums(df: DataFrame, window: Column, weighted: str = "price_x_volume", volume: str = "volume") -> DataFrame:
@@ -15,6 +16,12 @@ def _sums(df: DataFrame, window: Column, weighted: str = "price_x_volume", volum
     )
 
 
+def _whole_slides(size: str, slide: str) -> bool:
+    """True when windows are made of more than one whole slide."""
+    length, step = duration_seconds(size), duration_seconds(slide)
+    return bool(length and step) and length > step and length % step == 0
+
+
 def vwap(
     ticks: DataFrame,
     size: str = "5 minutes",
@@ -28,8 +35,8 @@ def vwap(
     """``window, symbol, weighted_price_sum, volume_sum, vwap`` per half-open window.
 
     In batch, ticks are first summed per slide and only those panes are spread
-    over the windows holding them (``nested``, for sizes that are a multiple of
-    the slide): a tick is hashed once, not once per window, and any hot symbol or
+    over the windows holding them (``nested``, where the size is a multiple of the
+    slide): a tick is hashed once, not once per window, and any hot symbol or
     minute shrinks map-side. A stream keeps one aggregate, so that every output
     mode works, and needs a ``watermark`` to let go of old state.
     """
@@ -38,7 +45,7 @@ def vwap(
             raise ValueError("a stream needs a watermark, or its state grows without end")
         timed = ticks.withWatermark("event_timestamp", watermark)
         sums = _sums(timed, F.window("event_timestamp", size, slide))
-    elif nested and size != slide:
+    elif nested and _whole_slides(size, slide):
         panes = _sums(ticks, F.window("event_timestamp", slide))
         panes = panes.withColumn("pane", F.col("window.start"))
         sums = _sums(panes, F.window("pane", size, slide), "weighted_price_sum", "volume_sum")

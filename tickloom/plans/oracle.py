@@ -178,9 +178,16 @@ FROM windows""",
     "bars_daily": _tick_bars("day"),
     "bars_weekly": _tick_bars("week"),
     "bars_monthly": _tick_bars("month"),
+    "bars_rollup": _tick_bars("month"),
     "daily_bars": f"WITH {_BARS} {_BAR_ROWS}",
     "last_n_bars": f"""WITH {_BARS} {_BAR_ROWS}
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 1460""",
+    "bar_history": f"""WITH {_TICKS}
+SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS datetime, 'EVT:' || symbol AS symbol,
+       arg_min(price, (event_timestamp, event_id)) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, (event_timestamp, event_id)) AS close, sum(volume) AS volume
+FROM ticks WHERE symbol = 'purchase' GROUP BY 1, 2
+QUALIFY row_number() OVER (ORDER BY datetime DESC) <= 200""",
     "returns": f"""WITH {_SERIES}
 SELECT symbol, datetime, close, round(prev_close, 2) AS prev_close, round(delta, 2) AS delta,
        round(gain, 2) AS gain, round(loss, 2) AS loss FROM moves""",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tickloom.functions.text import format_symbol, search_hits
 from tickloom.functions.times import iso_to_millis, millis_to_iso, ntz, parse_candle_time
-from tickloom.operators.bars import last_n_bars, ohlcv
+from tickloom.operators.bars import bar_history, last_n_bars, ohlcv, rollup_bars
 from tickloom.operators.candles import normalise_candles, only_symbols, publish_candles
 from tickloom.operators.indicators import with_indicators
 from tickloom.operators.measures import flat_dimensions, latest_measures, measures_long
@@ -133,6 +133,12 @@ def _bars(size: str) -> Query:
     return query
 
 
+def q_bars_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly bars from daily ones."""
+    daily = ohlcv(views.ticks(spark, sf_dir), "1D", order=F.struct("event_timestamp", "event_id"))
+    return rollup_bars(daily, "1M")
+
+
 def q_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.daily_bars(spark, sf_dir)
 
@@ -141,6 +147,12 @@ def q_last_n_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_n_bars(views.daily_bars(spark, sf_dir), 1460, "1D")
 
 
+def q_bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 200 hourly bars of one instrument, its name put together like a user's request."""
+    ticks = views.ticks(spark, sf_dir).withColumn("symbol", F.concat(F.lit("EVT:"), F.col("symbol")))
+    return bar_history(ticks, "purchase", "EVT", "1H", 200, order=F.struct("event_timestamp", "event_id"))
+
+
 # -- indicators ------------------------------------------------------------
 
 
@@ -360,8 +372,10 @@ QUERIES: dict[str, Query] = {
     "bars_daily": _bars("1D"),
     "bars_weekly": _bars("1W"),
     "bars_monthly": _bars("1M"),
+    "bars_rollup": q_bars_rollup,
     "daily_bars": q_daily_bars,
     "last_n_bars": q_last_n_bars,
+    "bar_history": q_bar_history,
     "returns": q_returns,
     "sma_200": _indicators("SMA_200"),
     "rsi_14": _indicators("RSI_14"),
