@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.candles import normalise_candles
-from tickloom.operators.measures import measures_long
 from tickloom.operators.pairing import QUOTE, VWAP
 from tickloom.schemas import CANDLE_MESSAGE, MEASURE
 from tickloom.session import use_rocksdb
@@ -205,13 +204,15 @@ def test_pairs_become_measures(spark, tmp_path):
 
 
 def test_a_higher_version_replaces_a_stored_record(spark, tmp_path):
-    log = BatchTable(str(tmp_path / "store"))
+    store = str(tmp_path / "store")
     schema = "symbol string, close double, vwap double, window_start timestamp_ntz, window_end timestamp_ntz"
     for batch_id, (version, close) in enumerate([(5, 1.0), (9, 2.0), (7, 3.0)]):
         pair = spark.createDataFrame([("A", close, 1.0, T0, T0 + timedelta(minutes=5))], schema)
-        log.write(measures_long(pair, version=F.lit(version).cast("long")), batch_id)
-    stored = {r.measure_name: r.measure_value for r in pair_jobs.stored_measures(spark, log.path).collect()}
-    assert log.read(spark, MEASURE).count() == 6 and stored["close"] == 2.0
+        pair_jobs.keep_measures(store, version=F.lit(version).cast("long"))(pair, batch_id)
+    stored = {r.measure_name: r.measure_value for r in pair_jobs.stored_measures(spark, store).collect()}
+    assert BatchTable(store).read(spark, MEASURE).count() == 6 and stored["close"] == 2.0
+    assert pair_jobs.stored_measures(spark, store, since=T0.date()).count() == 2
+    assert pair_jobs.stored_measures(spark, store, since=T0.date() + timedelta(days=1)).count() == 0
 
 
 def test_messages_from_topics(spark):

@@ -106,6 +106,16 @@ pairs AS (
          CASE WHEN side = 0 THEN prev_end ELSE window_end END AS window_end
   FROM runs WHERE (pos - run_start) % 2 = 1)"""
 
+_MEASURES = f"""WITH {_PAIRS}
+SELECT symbol, 'quotes' AS source_topic, CAST(window_start AS VARCHAR) AS window_start,
+       CAST(window_end AS VARCHAR) AS window_end, CAST(window_end AS VARCHAR) AS event_ts,
+       'close' AS measure_name, close AS measure_value, window_end AS time, epoch_ms(window_end) AS version
+FROM pairs
+UNION ALL
+SELECT symbol, 'vwap', CAST(window_start AS VARCHAR), CAST(window_end AS VARCHAR), NULL,
+       'vwap', vwap, window_end, epoch_ms(window_end) + 1
+FROM pairs"""
+
 _WINDOW_ROWS = "SELECT symbol, window_start, window_end, weighted_price_sum, volume_sum, vwap FROM windows"
 _BAR_ROWS = "SELECT datetime, symbol, open, high, low, close, volume FROM bars"
 _BAR_YEAR_ROWS = (
@@ -204,15 +214,7 @@ FROM simple {_EMAS}""",
 SELECT w.symbol, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
 FROM windows w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp""",
     "pair_latest": f"WITH {_PAIRS} SELECT * FROM pairs",
-    "measures_long": f"""WITH {_PAIRS}
-SELECT symbol, 'quotes' AS source_topic, CAST(window_start AS VARCHAR) AS window_start,
-       CAST(window_end AS VARCHAR) AS window_end, CAST(window_end AS VARCHAR) AS event_ts,
-       'close' AS measure_name, close AS measure_value, window_end AS time, epoch_ms(window_end) AS version
-FROM pairs
-UNION ALL
-SELECT symbol, 'vwap', CAST(window_start AS VARCHAR), CAST(window_end AS VARCHAR), NULL,
-       'vwap', vwap, window_end, epoch_ms(window_end) + 1
-FROM pairs""",
+    "measures_long": _MEASURES,
     "measures_latest": f"""WITH {_TICKS}
 SELECT symbol, 'close' AS measure_name, arg_max(price, (event_timestamp, price)) AS measure_value,
        date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS time, max(epoch_us(event_timestamp)) AS version
@@ -226,5 +228,16 @@ FROM ticks GROUP BY symbol, date_trunc('hour', event_timestamp)""",
     "vwap_stream_update": f"WITH {_WINDOWS} {_WINDOW_ROWS}",
     "vwap_stream_latest": _LATEST,
     "vwap_stream_late": _closed_windows("2 MINUTE"),
+    "vwap_stream_json": f"""WITH {_CANDLES},
+closed AS (SELECT * FROM candles WHERE volume > 0 AND (form <> 1 OR volume % 2 = 0)),
+windows AS (
+  SELECT symbol, date_trunc('minute', event_timestamp) - i * INTERVAL 1 MINUTE AS window_start,
+         sum(price * volume) AS pv, sum(volume) AS volume_sum
+  FROM closed, range(5) AS r(i) GROUP BY 1, 2)
+SELECT symbol AS key, window_start + INTERVAL 5 MINUTE AS calculation_time, window_start,
+       window_start + INTERVAL 5 MINUTE AS window_end, symbol, {_settled("pv / volume_sum", 8)} AS vwap, volume_sum
+FROM windows
+WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(event_timestamp) FROM closed) - INTERVAL 2 MINUTE""",
+    "measures_store": _MEASURES,
     "pair_stream": f"WITH {_PAIRS} SELECT * FROM pairs",
 }

@@ -18,13 +18,13 @@ from tickloom.operators.pairing import compact_quotes, pair_asof, pair_latest, q
 from tickloom.operators.vwap import flat_windows, latest_closed, vwap, vwap_messages
 from tickloom.plans import views
 from tickloom.plans.medallion import bronze_to_silver, silver_to_gold
-from tickloom.schemas import BAR, BAR_COLUMNS
+from tickloom.schemas import BAR, BAR_COLUMNS, VWAP_MESSAGE
 from tickloom.session import scratch, use_rocksdb
 from tickloom.sources import catalog, files
 from tickloom.sources.payloads import bars_to_payload, payload_to_bars
 from tickloom.streaming import pair_jobs
 from tickloom.streaming.runners import AVAILABLE_NOW, BatchTable, newest_per_key, start_batches
-from tickloom.streaming.vwap_jobs import publish_newest, stream_vwap
+from tickloom.streaming.vwap_jobs import publish_newest, publish_vwap, stream_vwap
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,17 +60,17 @@ def q_symbol_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalise_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = normalise_candles(views.candle_topic(spark, sf_dir), closed_only=False)
+    clean = normalise_candles(views.candle_topic(views.table(spark, sf_dir, "events")), closed_only=False)
     return clean.withColumn("event_timestamp", ntz("event_timestamp"))
 
 
 def q_closed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = normalise_candles(views.candle_topic(spark, sf_dir), closed_only=True)
+    clean = normalise_candles(views.candle_topic(views.table(spark, sf_dir, "events")), closed_only=True)
     return clean.withColumn("event_timestamp", ntz("event_timestamp"))
 
 
 def q_publish_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_candles(views.candle_topic(spark, sf_dir))
+    return publish_candles(views.candle_topic(views.table(spark, sf_dir, "events")))
 
 
 # -- scalar functions ------------------------------------------------------
@@ -336,23 +336,57 @@ def q_vwap_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_windows(log.read(spark, windows.schema))
 
 
-def q_pair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_vwap_stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candle messages of all forms in, VWAP messages out, each closed window once."""
+    use_rocksdb(spark)
+    out = scratch(spark, "topic")
+    events = views.event_stream(spark, views.events_path(sf_dir))
+    ticks = normalise_candles(views.candle_topic(events))
+    publish_vwap(
+        ticks, out, scratch(spark, "checkpoint"), trigger=AVAILABLE_NOW, fmt="json", round_to=None
+    ).awaitTermination()
+    message = F.from_json("value", VWAP_MESSAGE)
+    written = spark.read.schema("key string, value string").json(out).select("key", message.alias("m"))
+    fields = written.select(
+        "key",
+        ntz(F.to_timestamp("m.calculation_time")).alias("calculation_time"),
+        ntz(F.to_timestamp("m.window_start")).alias("window_start"),
+        ntz(F.to_timestamp("m.window_end")).alias("window_end"),
+        "m.symbol",
+        F.col("m.vwap").cast("double").alias("vwap"),
+        F.col("m.volume_sum").cast("double").alias("volume_sum"),
+    )
+    return _settled(fields, "vwap", places=8)
+
+
+def _stream_pairs(spark: SparkSession, sf_dir: str, on_pairs: Callable[[DataFrame, int], None]) -> None:
     """Quotes and VWAP windows arriving in two steps; the slots survive the restart between them."""
     ticks = views.ticks(spark, sf_dir)
     quotes = compact_quotes(quote_messages(ticks, seq="event_id"))
     messages = quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir)))
     _, middle = _halves(spark, sf_dir)
     source, state, checkpoint = scratch(spark, "messages"), scratch(spark, "slots"), scratch(spark, "checkpoint")
-    log = BatchTable(scratch(spark, "pairs"))
     for part in (messages.filter(F.col("arrival") < middle), messages.filter(F.col("arrival") >= middle)):
         files.write_parquet(part, source, mode="append")
         arriving = spark.readStream.schema(pair_jobs.PENDING).parquet(source)
         pair_jobs.stream_pairs(
-            arriving, state, checkpoint, log.write, grain="1 day", trigger=AVAILABLE_NOW
+            arriving, state, checkpoint, on_pairs, grain="1 day", trigger=AVAILABLE_NOW
         ).awaitTermination()
+
+
+def q_pair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = BatchTable(scratch(spark, "pairs"))
+    _stream_pairs(spark, sf_dir, log.write)
     return log.read(spark, pair_jobs.PAIR).drop("batch_id")
 
 
+def q_measures_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed pairs kept as measures; the store read at its highest versions."""
+    path = scratch(spark, "measures")
+    _stream_pairs(spark, sf_dir, pair_jobs.keep_measures(path, version=_by_window_end()))
+    return flat_dimensions(pair_jobs.stored_measures(spark, path), DIMENSIONS)
+
+
 QUERIES: dict[str, Query] = {
     "ticks": q_ticks,
     "symbol_filter": q_symbol_filter,
@@ -395,5 +429,7 @@ QUERIES: dict[str, Query] = {
     "vwap_stream_update": _vwap_stream("5 minutes", "update"),
     "vwap_stream_latest": q_vwap_stream_latest,
     "vwap_stream_late": q_vwap_stream_late,
+    "vwap_stream_json": q_vwap_stream_json,
     "pair_stream": q_pair_stream,
+    "measures_store": q_measures_store,
 }

@@ -44,15 +44,23 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ticks(raw_ticks(table(spark, sf_dir, "events")))
 
 
+def event_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Events files read as a stream; all files there now make one micro-batch."""
+    return spark.readStream.schema(EVENTS).parquet(path)
+
+
+def events_path(sf_dir: str) -> str:
+    """The events table as a glob, since a stream takes a single file only through one."""
+    return f"{sf_dir}/{{events}}.parquet"
+
+
 def tick_stream_of(spark: SparkSession, path: str) -> DataFrame:
-    """Events files read as a stream of ticks; all files there now make one micro-batch."""
-    events = spark.readStream.schema(EVENTS).parquet(path)
+    events = event_stream(spark, path)
     return clean_ticks(raw_ticks(events).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")))
 
 
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A glob, since a stream takes a single file only through one.
-    return tick_stream_of(spark, f"{sf_dir}/{{events}}.parquet")
+    return tick_stream_of(spark, events_path(sf_dir))
 
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,13 +71,13 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ohlcv(orders, "1D", time="o_orderdate", price="o_totalprice", volume=F.lit(1.0), order="o_orderkey")
 
 
-def candle_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def candle_topic(events: DataFrame) -> DataFrame:
     """Events as topic rows in four message forms, by event id:
 
     simplified with microseconds; raw kline (finished for even volumes); simplified
     with bare numbers and whole seconds; simplified with neither symbol nor time.
     """
-    t = raw_ticks(table(spark, sf_dir, "events"))
+    t = raw_ticks(events)
     at = F.col("event_timestamp").cast("timestamp")
     price, volume = F.col("price").cast("string"), F.col("volume").cast("string")
     micros = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("@timestamp")

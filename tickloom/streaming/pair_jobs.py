@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -101,16 +102,21 @@ def stream_pairs(
     return start_batches(messages, handle, checkpoint, mode="append", trigger=trigger, skip_empty=False)
 
 
-def keep_measures(path: str, **names: str) -> Callable[[DataFrame, int], None]:
-    """A pair handler that stores long measure records, replacing a repeated batch."""
-    log = BatchTable(path)
+def keep_measures(path: str, **settings) -> Callable[[DataFrame, int], None]:
+    """A pair handler that stores long measure records by day, replacing a repeated batch."""
+    log = BatchTable(path, ["day"])
 
     def handle(pairs: DataFrame, batch_id: int) -> None:
-        log.write(measures_long(pairs, **names), batch_id)
+        records = measures_long(pairs, **settings)
+        log.write(records.withColumn("day", F.to_date("time")), batch_id)
 
     return handle
 
 
-def stored_measures(spark: SparkSession, path: str) -> DataFrame:
-    """Current records of a measure store: the highest version of each."""
-    return latest_measures(BatchTable(path).read(spark, MEASURE))
+def stored_measures(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """Current records of a measure store, the highest version of each; ``since`` prunes days.
+
+    All versions of a record carry its time and so lie under one day.
+    """
+    log = BatchTable(path).read(spark, T.StructType([*MEASURE.fields, T.StructField("day", T.DateType())]))
+    return latest_measures(log if since is None else log.filter(F.col("day") >= F.lit(since)))

@@ -77,11 +77,12 @@ def wait(query: StreamingQuery, timeout: float | None = None) -> bool:
 class BatchTable:
     """A Parquet log with one folder per micro-batch; a repeated batch replaces its own folder."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, partition_by: Sequence[str] = ()):
+        self.path, self.partition_by = path, list(partition_by)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        writer = rows.write.mode("overwrite").partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
