@@ -127,8 +127,10 @@ def compact_quotes(messages: DataFrame, grid: str = "1 minute") -> DataFrame:
     """
     step = F.window(F.col("arrival") - F.expr("interval 1 microsecond"), grid)["start"]
     row = F.struct("arrival", "seq", "value")
-    ends = messages.groupBy("symbol", step.alias("_step")).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    kept = F.when(F.col("_first") == F.col("_last"), F.array("_first")).otherwise(F.array("_first", "_last"))
+    ends = messages.groupBy("symbol", step.alias("_step")).agg(
+        F.min(row).alias("_first"), F.max(row).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    kept = F.when(F.col("_n") == 1, F.array("_first")).otherwise(F.array("_first", "_last"))
     return ends.select("symbol", F.explode(kept).alias("m")).select(
         "symbol",
         "m.arrival",
@@ -151,7 +153,7 @@ def fold_arrivals(messages: DataFrame, grain: str = "1 hour", stage: Stage = sta
     decides, and that is a running maximum: within a grain by a window, over
     earlier grains by the carry table. The messages are shuffled once.
     """
-    in_grain = Window.partitionBy("symbol", "_grain").orderBy(*ARRIVAL_ORDER)
+    in_grain = Window.partitionBy("symbol", "_grain").orderBy(*ARRIVAL_ORDER, "value")
     so_far = in_grain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     grains = Window.partitionBy("symbol").orderBy("_grain")
     earlier = grains.rowsBetween(Window.unboundedPreceding, -1)
@@ -214,5 +216,5 @@ def pair_latest(messages: DataFrame, grain: str = "1 hour", stage: Stage = stage
 def pending(folded: DataFrame) -> DataFrame:
     """The filled slot each symbol is left with, as a message (none if it is empty)."""
     rest = [c for c in MESSAGE_COLUMNS if c != "symbol"]
-    newest = F.max_by(F.struct(*rest, "emits"), F.struct(*ARRIVAL_ORDER))
+    newest = F.max_by(F.struct(*rest, "emits"), F.struct(*ARRIVAL_ORDER, "value"))
     return folded.groupBy("symbol").agg(newest.alias("m")).filter(~F.col("m.emits")).select("symbol", *(f"m.{c}" for c in rest))

@@ -19,7 +19,7 @@ from tickloom.operators.vwap import flat_windows, latest_closed, vwap, vwap_mess
 from tickloom.plans import views
 from tickloom.plans.medallion import bronze_to_silver, silver_to_gold
 from tickloom.schemas import BAR, BAR_COLUMNS, VWAP_MESSAGE
-from tickloom.session import scratch, use_rocksdb
+from tickloom.session import scratch, staged, use_rocksdb
 from tickloom.sources import catalog, files
 from tickloom.sources.payloads import bars_to_payload, payload_to_bars
 from tickloom.streaming import pair_jobs
@@ -305,33 +305,16 @@ def _vwap_stream(watermark: str, mode: str) -> Query:
     return query
 
 
-def q_vwap_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_rocksdb(spark)
-    log = BatchTable(scratch(spark, "newest"))
-    ticks = views.tick_stream(spark, sf_dir)
-    publish_newest(
-        ticks, scratch(spark, "checkpoint"), log.write, as_of=AS_OF, trigger=AVAILABLE_NOW, round_to=None
-    ).awaitTermination()
-    written = log.read(spark, stream_vwap(ticks).schema)
-    return _show_windows(newest_per_key(written, ["symbol"]))
-
-
-def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
-    """The events and the middle of their time span (one row of two bounds)."""
-    events = views.table(spark, sf_dir, "events")
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    return events, F.lit(bounds.lo + (bounds.hi - bounds.lo) / 2).cast("timestamp_ntz")
-
-
 def q_vwap_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, then the first half of them once more: the repeats are too late to count."""
     use_rocksdb(spark)
     events, middle = _halves(spark, sf_dir)
-    source, checkpoint = scratch(spark, "events"), scratch(spark, "checkpoint")
+    late, checkpoint = scratch(spark, "late"), scratch(spark, "checkpoint")
     log = BatchTable(scratch(spark, "windows"))
-    for part in (events, events.filter(F.col("ts") < middle)):
-        files.write_parquet(part, source, mode="append")
-        windows = stream_vwap(views.tick_stream_of(spark, source), "2 minutes", round_to=None)
+    for part in (events.limit(0), events.filter(F.col("ts") < middle)):
+        files.write_parquet(part, late, mode="append")
+        arriving = views.event_stream(spark, views.events_path(sf_dir)).unionByName(views.event_stream(spark, late))
+        windows = stream_vwap(views.stream_ticks(arriving), "2 minutes", round_to=None)
         start_batches(windows, log.write, checkpoint, mode="append", trigger=AVAILABLE_NOW).awaitTermination()
     return _show_windows(log.read(spark, windows.schema))
 
@@ -363,7 +346,7 @@ def _stream_pairs(spark: SparkSession, sf_dir: str, on_pairs: Callable[[DataFram
     """Quotes and VWAP windows arriving in two steps; the slots survive the restart between them."""
     ticks = views.ticks(spark, sf_dir)
     quotes = compact_quotes(quote_messages(ticks, seq="event_id"))
-    messages = quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir)))
+    messages = staged(quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir))))
     _, middle = _halves(spark, sf_dir)
     source, state, checkpoint = scratch(spark, "messages"), scratch(spark, "slots"), scratch(spark, "checkpoint")
     for part in (messages.filter(F.col("arrival") < middle), messages.filter(F.col("arrival") >= middle)):

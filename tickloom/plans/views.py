@@ -54,13 +54,13 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir}/{{events}}.parquet"
 
 
-def tick_stream_of(spark: SparkSession, path: str) -> DataFrame:
-    events = event_stream(spark, path)
+def stream_ticks(events: DataFrame) -> DataFrame:
+    """Streamed events as ticks, times as instants."""
     return clean_ticks(raw_ticks(events).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")))
 
 
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tick_stream_of(spark, events_path(sf_dir))
+    return stream_ticks(event_stream(spark, events_path(sf_dir)))
 
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

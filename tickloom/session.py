@@ -37,8 +37,9 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state off-heap; applies to streams started afterwards."""
+    """Keep streaming state off-heap and commit changes only; for streams started afterwards."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def scratch(spark: SparkSession, tag: str) -> str:

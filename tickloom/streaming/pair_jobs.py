@@ -91,13 +91,20 @@ def stream_pairs(
         if batch_id > 0:
             slots = spark.read.schema(PENDING).parquet(f"{state}/slot={(batch_id - 1) % 2}")
             led = led.unionByName(slots.withColumn("arrival", F.lit(_FIRST).cast("timestamp_ntz")))
-        folded = fold_arrivals(led, grain, stage=lambda rows: rows).persist()
+        kept = []
+
+        def keep(rows: DataFrame) -> DataFrame:
+            kept.append(rows.persist())
+            return kept[0]
+
+        folded = fold_arrivals(led, grain, stage=keep)
         try:
             on_pairs(pairs_of(folded), batch_id)
             left = pending(folded).select(*PENDING.fieldNames())
             left.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
         finally:
-            folded.unpersist()
+            for rows in kept:
+                rows.unpersist()
 
     return start_batches(messages, handle, checkpoint, mode="append", trigger=trigger, skip_empty=False)
 
