@@ -81,13 +81,13 @@ def tick_rows(seed, n):
 
 
 def test_equal_quotes_of_one_step_stay_two(spark):
-    """Two alike messages break a run of side changes where one would not."""
-    ticks = [("A", minute(0), 1.0, 0), ("A", minute(6), 2.0, 0), ("A", minute(6), 2.0, 0)]
+    """The first of two alike quotes takes the waiting VWAP, the second waits for the next."""
+    ticks = [("A", minute(6), 2.0, 0), ("A", minute(6), 2.0, 0)]
     windows = [("A", minute(0), minute(5), 1.0), ("A", minute(2), minute(7), 2.0)]
     quotes = quote_messages(spark.createDataFrame(ticks, TICKS))
     vwaps = vwap_arrivals(spark.createDataFrame(windows, WINDOWS))
     got = pair_latest(compact_quotes(quotes).unionByName(vwaps))
-    assert sorted((r.close, r.vwap) for r in got.collect()) == [(1.0, 1.0), (2.0, 2.0)]
+    assert sorted((r.close, r.vwap) for r in got.collect()) == [(2.0, 1.0), (2.0, 2.0)]
 
 
 def window_rows(seed, n):
