@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tickloom.operators import blocks
 from tickloom.operators.pairing import (
     QUOTE,
     VWAP,
@@ -53,8 +54,9 @@ def random_messages(seed, n, symbols="AAAAAB", alternate=0.6):
 
 
 @pytest.mark.parametrize("seed,alternate", [(1, 0.0), (2, 0.6), (3, 0.97), (4, 1.0)])
-@pytest.mark.parametrize("grain", ["7 minutes", "1 hour", "30 days"])
-def test_fold_equals_message_by_message(spark, seed, alternate, grain):
+@pytest.mark.parametrize("grain", ["7 minutes", "1 hour", "30 days", None])
+def test_fold_equals_message_by_message(spark, monkeypatch, seed, alternate, grain):
+    monkeypatch.setattr(blocks, "ROWS_PER_PIECE", 9)
     messages = random_messages(seed, 240, alternate=alternate)
     folded = fold_arrivals(spark.createDataFrame(messages, PENDING), grain)
     pairs, left = brute_fold(messages)
@@ -112,8 +114,9 @@ def test_first_and_last_quote_per_step_suffice(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("slide,grain", [("1 minute", "1 day"), ("1 minute", "8 minutes"), (None, "8 minutes")])
-def test_asof_is_the_last_earlier_quote(spark, seed, slide, grain):
+@pytest.mark.parametrize("slide,grain", [("1 minute", None), ("1 minute", "8 minutes"), (None, "8 minutes"), (None, None)])
+def test_asof_is_the_last_earlier_quote(spark, monkeypatch, seed, slide, grain):
+    monkeypatch.setattr(blocks, "ROWS_PER_PIECE", 7)
     ticks, windows = tick_rows(seed, 60), window_rows(seed, 80)
     got = pair_asof(
         spark.createDataFrame(windows, WINDOWS), spark.createDataFrame(ticks, TICKS), slide, grain, order="event_id"

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators.blocks import with_blocks
+from tickloom.operators.blocks import with_blocks, with_pieces
 from tickloom.operators.indicators import with_indicators
 from tickloom.plans.queries import QUERIES
 
@@ -84,6 +84,25 @@ def test_blocks_are_bounded_and_lose_nothing(spark):
     assert cut.filter("_halo").count() < 0.15 * 20005
 
 
+def test_pieces_follow_the_rows_not_the_clock(spark):
+    """A crowded quarter of an hour among quiet years is cut finely."""
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "COLD").otherwise("HOT").alias("symbol"),
+        F.expr(
+            "CASE WHEN id % 3 = 0 THEN timestampadd(HOUR, cast(id as int), timestamp_ntz'2015-01-01 00:00:00')"
+            " ELSE timestampadd(MILLISECOND, cast(id * 30 as int), timestamp_ntz'2020-01-01 00:00:00') END"
+        ).alias("at"),
+        "id",
+    )
+    cut = with_pieces(rows, "symbol", "at", rows=1000).cache()
+    assert cut.count() == 30000 == cut.select("id").distinct().count()
+    sizes = {(r.symbol, r._piece): r["count"] for r in cut.groupBy("symbol", "_piece").count().collect()}
+    assert max(sizes.values()) <= 1000 + 34 and len(sizes) == 30
+    bounds = cut.groupBy("symbol", "_piece").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    ordered = [(r.symbol, r.lo, r.hi) for r in bounds.orderBy("symbol", "_piece").collect()]
+    assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
+
+
 @pytest.mark.parametrize("name", ["indicators", "pair_asof", "pair_latest", "last_n_bars"])
 def test_results_do_not_depend_on_broadcasting(spark, sf_dir, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import blocks
 from tickloom.operators.candles import normalise_candles
 from tickloom.operators.pairing import QUOTE, VWAP
 from tickloom.schemas import CANDLE_MESSAGE, MEASURE
@@ -177,8 +178,9 @@ def pair_run(spark, tmp_path, on_pairs):
     assert wait(query, 120)
 
 
-@pytest.mark.parametrize("sizes", [[1] * 7, [3, 4], [7]])
-def test_pairs_do_not_depend_on_batching(spark, tmp_path, sizes):
+@pytest.mark.parametrize("sizes,piece", [([1] * 7, 100), ([3, 4], 100), ([3, 4], 1), ([7], 2)])
+def test_pairs_do_not_depend_on_batching(spark, monkeypatch, tmp_path, sizes, piece):
+    monkeypatch.setattr(blocks, "ROWS_PER_PIECE", piece)
     log, at = BatchTable(str(tmp_path / "pairs")), 0
     for n, size in enumerate(sizes):
         message_file(spark, str(tmp_path / "messages"), n, SCRIPT[at : at + size])

@@ -7,7 +7,8 @@ number of rows, whatever share of the table one symbol holds.
 A *grain* is a fixed span of time. Bars come at most once per interval, so a
 grain of ``r`` intervals holds at most ``r`` rows of a symbol: the bound follows
 from the data model, not from measuring. Grain counts combine map-side, and the
-grain table is smaller than the series by up to that factor.
+grain table is smaller than the series by up to that factor. Rows that come at any
+rate are cut by measured counts instead (``with_pieces``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # below the 4096 rows a window step buffers without going through its spillable sorter.
 ROWS_PER_GRAIN = 128
 ROWS_PER_BLOCK = 3500
+ROWS_PER_PIECE = 100_000
 
 
 def grain_start(time: Column | str, seconds: int) -> Column:
@@ -81,3 +83,29 @@ def tail_grains(
         .select(key, "_grain")
     )
     return df.withColumn("_grain", grain_start(time, seconds)).join(wanted, [key, "_grain"], "left_semi").drop("_grain")
+
+
+def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, seconds: int = 1) -> DataFrame:
+    """Add ``_piece``: consecutive pieces of about ``rows`` rows of each key, however dense.
+
+    For rows without an interval that bounds them. Rows are counted per moment (a
+    second), moments are added up to pieces, so a crowded hour falls into many pieces
+    and a quiet year into one. The running count is taken within spans of an hour and
+    over the spans, so that no task orders all the moments of a key.
+    """
+    rows = rows or ROWS_PER_PIECE
+    moments = df.groupBy(key, grain_start(time, seconds).alias("_moment")).agg(F.count(F.lit(1)).alias("_n"))
+    moments = moments.withColumn("_span", grain_start("_moment", seconds * 3600))
+    earlier_spans = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    earlier_moments = Window.partitionBy(key, "_span").orderBy("_moment").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        moments.groupBy(key, "_span")
+        .agg(F.sum("_n").alias("_rows"))
+        .select(key, "_span", F.coalesce(F.sum("_rows").over(earlier_spans), F.lit(0)).alias("_before"))
+    )
+    places = (
+        moments.withColumn("_inside", F.coalesce(F.sum("_n").over(earlier_moments), F.lit(0)))
+        .join(spans, [key, "_span"])
+        .select(key, "_moment", F.expr(f"(_before + _inside) div {rows}").alias("_piece"))
+    )
+    return df.withColumn("_moment", grain_start(time, seconds)).join(places, [key, "_moment"]).drop("_moment")

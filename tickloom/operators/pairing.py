@@ -1,8 +1,9 @@
 """Pairing quotes with VWAP windows: by event time and by arrival.
 
-Both work on time grains of one symbol, so a symbol with most of the rows is
-spread over many tasks; what has to cross a grain border is carried by a table
-with one row per (symbol, grain).
+Both work on consecutive grains of one symbol's rows, so a symbol with most of the
+rows is spread over many tasks; what has to cross a grain border is carried by a
+table with one row per (symbol, grain). A grain is a span of time where the rows in
+it are bounded, else (``grain=None``) a piece of about equally many rows.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.times import duration_seconds
+from tickloom.operators.blocks import with_pieces
 from tickloom.session import staged
 
 # How a result that two branches need is kept; ``staged`` writes it to the shared folder.
@@ -25,6 +28,12 @@ def _no_time() -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
+def _with_grains(rows: DataFrame, time: str, grain: str | None) -> DataFrame:
+    if grain is None:
+        return with_pieces(rows, "symbol", time).withColumnRenamed("_piece", "_grain")
+    return rows.withColumn("_grain", F.window(time, grain)["start"])
+
+
 # -- by event time ---------------------------------------------------------
 
 
@@ -32,7 +41,7 @@ def pair_asof(
     windows: DataFrame,
     quotes: DataFrame,
     slide: str | None = "1 minute",
-    grain: str = "1 day",
+    grain: str | None = None,
     *,
     time: str = "event_timestamp",
     price: str = "price",
@@ -42,8 +51,9 @@ def pair_asof(
     """Give each window the last quote of its symbol with ``time < window_end``.
 
     Window ends on the ``slide`` grid let quotes be cut down to the last one per
-    slide, map-side, before they meet the windows (``slide=None`` for ends off any
-    grid: quotes then stay as they are). ``order`` decides between quotes of equal
+    slide, map-side, before they meet the windows, and a grain is then 1500 slides.
+    ``slide=None`` is for ends off any grid: quotes stay as they are, and grains are
+    cut by row count. ``order`` decides between quotes of equal
     time. Windows without an earlier quote are left out.
 
     A quote sorts by its time, so "the last one so far" is a running maximum: within
@@ -56,6 +66,7 @@ def pair_asof(
         rank, quote_rows = 1, quotes.select("symbol", at.alias("_at"), quote.alias("_quote"))
     else:
         rank = -1
+        grain = grain or f"{1500 * (duration_seconds(slide) or 60)} seconds"
         step_end = F.window(time, slide)["end"].cast("timestamp_ntz")
         quote_rows = quotes.groupBy("symbol", step_end.alias("_at")).agg(F.max(quote).alias("_quote"))
     kept = [c for c in windows.columns if c != "symbol"]
@@ -67,7 +78,7 @@ def pair_asof(
     so_far = Window.partitionBy("symbol", "_grain").orderBy("_at", "_rank")
     earlier = Window.partitionBy("symbol").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
     local = stage(
-        rows.withColumn("_grain", F.window("_at", grain)["start"])
+        _with_grains(rows, "_at", grain)
         .withColumn("_last", F.max("_quote").over(so_far))
         .select("symbol", "_grain", "_window", "_last")
     )
@@ -142,7 +153,7 @@ def compact_quotes(messages: DataFrame, grid: str = "1 minute") -> DataFrame:
     )
 
 
-def fold_arrivals(messages: DataFrame, grain: str = "1 hour", stage: Stage = staged) -> DataFrame:
+def fold_arrivals(messages: DataFrame, grain: str | None = None, stage: Stage = staged) -> DataFrame:
     """Run the two-slot pairing over messages in arrival order; adds ``before`` and ``emits``.
 
     A message overwrites its slot; when both slots are full they are paired and
@@ -151,7 +162,8 @@ def fold_arrivals(messages: DataFrame, grain: str = "1 hour", stage: Stage = sta
     unbroken run of side changes every second message emits, starting with the
     first change. The place of the last message that was no change therefore
     decides, and that is a running maximum: within a grain by a window, over
-    earlier grains by the carry table. The messages are shuffled once.
+    earlier grains by the carry table. Given a ``grain``, the messages are shuffled
+    once.
     """
     in_grain = Window.partitionBy("symbol", "_grain").orderBy(*ARRIVAL_ORDER, "value")
     so_far = in_grain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -161,8 +173,7 @@ def fold_arrivals(messages: DataFrame, grain: str = "1 hour", stage: Stage = sta
     payload = F.struct("side", "value", "window_start", "window_end")
     unchanged = F.when((F.col("_i") > 1) & (F.col("_prev.side") == F.col("side")), F.col("_i"))
     local = stage(
-        messages.select(*MESSAGE_COLUMNS)
-        .withColumn("_grain", F.window("arrival", grain)["start"])
+        _with_grains(messages.select(*MESSAGE_COLUMNS), "arrival", grain)
         .withColumns({"_i": F.row_number().over(in_grain), "_prev": F.lag(payload).over(in_grain)})
         .withColumn("_unchanged", F.max(unchanged).over(so_far))
     )
@@ -208,7 +219,7 @@ def pairs_of(folded: DataFrame) -> DataFrame:
     )
 
 
-def pair_latest(messages: DataFrame, grain: str = "1 hour", stage: Stage = staged) -> DataFrame:
+def pair_latest(messages: DataFrame, grain: str | None = None, stage: Stage = staged) -> DataFrame:
     """Pairs of the two-slot pairing, one row each."""
     return pairs_of(fold_arrivals(messages, grain, stage))
 

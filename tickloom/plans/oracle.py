@@ -127,9 +127,10 @@ _LATEST = (
 )
 
 
-def _tick_bars(unit: str) -> str:
+def _tick_bars(unit: str | None = None, minutes: int = 0) -> str:
+    start = f"date_trunc('{unit}', event_timestamp)" if unit else f"time_bucket(INTERVAL {minutes} MINUTE, event_timestamp)"
     return f"""WITH {_TICKS}
-SELECT date_trunc('{unit}', event_timestamp)::TIMESTAMP AS datetime, symbol,
+SELECT {start}::TIMESTAMP AS datetime, symbol,
        arg_min(price, (event_timestamp, event_id)) AS open, max(price) AS high, min(price) AS low,
        arg_max(price, (event_timestamp, event_id)) AS close, sum(volume) AS volume
 FROM ticks GROUP BY 1, 2"""
@@ -184,7 +185,10 @@ SELECT symbol AS key,
        || ',"volume_sum":' || CAST(volume_sum AS VARCHAR) || '}}' AS value
 FROM windows""",
     "vwap_latest_closed": _LATEST,
+    "bars_1m": _tick_bars("minute"),
+    "bars_45m": _tick_bars(minutes=45),
     "bars_1h": _tick_bars("hour"),
+    "bars_4h": _tick_bars(minutes=240),
     "bars_daily": _tick_bars("day"),
     "bars_weekly": _tick_bars("week"),
     "bars_monthly": _tick_bars("month"),

@@ -371,7 +371,7 @@ def _stream_pairs(spark: SparkSession, sf_dir: str, on_pairs: Callable[[DataFram
         files.write_parquet(part, source, mode="append")
         arriving = spark.readStream.schema(pair_jobs.PENDING).parquet(source)
         pair_jobs.stream_pairs(
-            arriving, state, checkpoint, on_pairs, grain="1 day", trigger=AVAILABLE_NOW
+            arriving, state, checkpoint, on_pairs, trigger=AVAILABLE_NOW
         ).awaitTermination()
 
 
@@ -403,7 +403,10 @@ QUERIES: dict[str, Query] = {
     "vwap_plain": q_vwap_plain,
     "vwap_json": q_vwap_json,
     "vwap_latest_closed": q_vwap_latest_closed,
+    "bars_1m": _bars("1"),
+    "bars_45m": _bars("45"),
     "bars_1h": _bars("1H"),
+    "bars_4h": _bars("4H"),
     "bars_daily": _bars("1D"),
     "bars_weekly": _bars("1W"),
     "bars_monthly": _bars("1M"),

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.numbers import to_double
 from tickloom.functions.times import ntz
+from tickloom.operators import blocks
 from tickloom.operators.measures import latest_measures, measures_long
 from tickloom.operators.pairing import MESSAGE_COLUMNS, fold_arrivals, pairs_of, pending, quote_messages, vwap_arrivals
 from tickloom.schemas import CANDLE_MESSAGE, MEASURE, VWAP_MESSAGE
@@ -38,6 +39,7 @@ PAIR = T.StructType(
 )
 # Before every arrival, so that a slot left filled comes first in the next batch.
 _FIRST = "1900-01-01 00:00:00"
+_UNCUT = "36500 days"
 
 
 def quotes_from_topic(topic: DataFrame) -> DataFrame:
@@ -72,14 +74,14 @@ def stream_pairs(
     checkpoint: str,
     on_pairs: Callable[[DataFrame, int], None],
     *,
-    grain: str = "1 hour",
+    grain: str | None = None,
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """Two-slot pairing of a message stream, state kept across batches and restarts.
 
     Each micro-batch is folded by the batch operator, led by the slots the last one
-    left filled, so a symbol with most of the messages is still spread over tasks and
-    nothing runs row by row. The slots live in two Parquet folders used in turn: batch
+    left filled, so a symbol with most of a batch's messages is still spread over tasks
+    and nothing runs row by row. The slots live in two Parquet folders used in turn: batch
     n reads what n-1 wrote and cannot damage it, hence a repeated batch gives the same
     pairs. Empty batches are handled too, they hand the slots on. ``on_pairs`` must
     replace what it wrote for the same batch id.
@@ -97,7 +99,9 @@ def stream_pairs(
             kept.append(rows.persist())
             return kept[0]
 
-        folded = fold_arrivals(led, grain, stage=keep)
+        # A small batch is not worth cutting; counting it reads what is persisted.
+        span = grain or (_UNCUT if batch.count() <= blocks.ROWS_PER_PIECE else None)
+        folded = fold_arrivals(led, span, stage=keep)
         try:
             on_pairs(pairs_of(folded), batch_id)
             left = pending(folded).select(*PENDING.fieldNames())
