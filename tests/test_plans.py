@@ -33,7 +33,7 @@ def test_no_single_task_no_cross_join_no_python(spark, sf_dir, name):
     "name,columns",
     [
         ("vwap_sliding", {"ts", "event_type", "value", "props"}),
-        ("ema_50", {"o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"}),
+        ("daily_bars", {"o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"}),
         ("measures_latest", {"ts", "event_type", "value", "props"}),
     ],
 )

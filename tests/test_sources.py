@@ -176,8 +176,8 @@ def test_scratch_refuses_a_cluster_without_a_shared_folder(spark, monkeypatch):
     class Context:
         master = "yarn"
 
-        def getConf(self):
-            return Conf()
+        def getCheckpointDir(self):
+            return None
 
     class Session:
         conf, sparkContext = Conf(), Context()

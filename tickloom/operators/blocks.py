@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # below the 4096 rows a window step buffers without going through its spillable sorter.
 ROWS_PER_GRAIN = 128
 ROWS_PER_BLOCK = 3500
-ROWS_PER_PIECE = 100_000
+ROWS_PER_PIECE = 250_000
 
 
 def grain_start(time: Column | str, seconds: int) -> Column:

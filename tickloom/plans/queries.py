@@ -144,7 +144,7 @@ def q_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_last_n_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return last_n_bars(views.daily_bars(spark, sf_dir), 1460, "1D")
+    return last_n_bars(staged(views.daily_bars(spark, sf_dir)), 1460, "1D")
 
 
 def q_bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ def q_bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _indicators(*names: str, keep: tuple[str, ...] = ("symbol", "datetime", "close")) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bars = views.daily_bars(spark, sf_dir).select(*keep)
+        bars = staged(views.daily_bars(spark, sf_dir).select(*keep))
         return _settled(with_indicators(bars, names), *names)
 
     return query
@@ -166,12 +166,12 @@ def _indicators(*names: str, keep: tuple[str, ...] = ("symbol", "datetime", "clo
 
 def q_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("prev_close", "delta", "gain", "loss")
-    bars = views.daily_bars(spark, sf_dir).select("symbol", "datetime", "close")
+    bars = staged(views.daily_bars(spark, sf_dir).select("symbol", "datetime", "close"))
     return _rounded(with_indicators(bars, names), 2, *names)
 
 
 def q_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(with_indicators(views.bars_with_year(views.daily_bars(spark, sf_dir))), *GOLD_COLUMNS)
+    return _settled(with_indicators(staged(views.bars_with_year(views.daily_bars(spark, sf_dir)))), *GOLD_COLUMNS)
 
 
 # -- VWAP ------------------------------------------------------------------

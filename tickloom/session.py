@@ -49,12 +49,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     ``spark.checkpoint.dir`` is refused, because an executor's own disk is gone
     when the executor is lost.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tickloom/{tag}-{uuid.uuid4().hex}"
 
 
