@@ -10,12 +10,23 @@ from tickloom.functions.numbers import ratio
 from tickloom.functions.times import duration_seconds
 
 
-def _sums(df: DataFrame, window: Column, weighted: str = "price_x_volume", volume: str = "volume") -> DataFrame:
-    return df.groupBy(window.alias("window"), "symbol").agg(
+def _sums(df: DataFrame, group: Column, weighted: str = "price_x_volume", volume: str = "volume") -> DataFrame:
+    return df.groupBy(group, "symbol").agg(
         F.sum(weighted).alias("weighted_price_sum"), F.sum(volume).alias("volume_sum")
     )
 
 
+def _nested_sums(ticks: DataFrame, size: str, slide: str) -> DataFrame:
+    """Sums per slide, then per window. Start times alone are the keys, half a window struct."""
+    panes = _sums(ticks, F.window("event_timestamp", slide)["start"].alias("pane"))
+    spread = panes.withColumn("start", F.window("pane", size, slide)["start"])
+    sums = _sums(spread, F.col("start"), "weighted_price_sum", "volume_sum")
+    end = F.col("start") + F.expr(f"interval {duration_seconds(size)} seconds")
+    return sums.select(
+        F.struct("start", end.alias("end")).alias("window"), "symbol", "weighted_price_sum", "volume_sum"
+    )
+
+
 def _whole_slides(size: str, slide: str) -> bool:
     """True when windows are made of more than one whole slide."""
     length, step = duration_seconds(size), duration_seconds(slide)
@@ -44,13 +55,11 @@ def vwap(
         if watermark is None:
             raise ValueError("a stream needs a watermark, or its state grows without end")
         timed = ticks.withWatermark("event_timestamp", watermark)
-        sums = _sums(timed, F.window("event_timestamp", size, slide))
+        sums = _sums(timed, F.window("event_timestamp", size, slide).alias("window"))
     elif nested and _whole_slides(size, slide):
-        panes = _sums(ticks, F.window("event_timestamp", slide))
-        panes = panes.withColumn("pane", F.col("window.start"))
-        sums = _sums(panes, F.window("pane", size, slide), "weighted_price_sum", "volume_sum")
+        sums = _nested_sums(ticks, size, slide)
     else:
-        sums = _sums(ticks, F.window("event_timestamp", size, slide))
+        sums = _sums(ticks, F.window("event_timestamp", size, slide).alias("window"))
     if positive_volume:
         sums = sums.filter(F.col("volume_sum") > 0)
     return sums.withColumn("vwap", ratio(F.col("weighted_price_sum"), F.col("volume_sum"), round_to))
