@@ -1,13 +1,14 @@
 """SMA, truncated EMA, RSI and MACD.
 
-All frames count rows. A trailing sum over ``L`` rows is built by doubling,
+All frames count rows. A trailing sum over ``L`` rows is put together from shorter
+ones laid end to end,
 
-    S[2w](t) = S[w](t) + d**w * S[w](t - w),
+    S[v + w](t) = S[v](t) + d**v * S[w](t - v),
 
-and by joining the powers of two that make up ``L``; ``d`` is 1 for a plain sum
-and the decay for an exponential one. That is about log2(L) ``lag`` columns in
-place of an array (or a rescanned frame) of ``L`` values per row, it never
-subtracts, and all indicators share the same window steps, one sort and one
+four equal ones per step and then the powers of four that make up ``L``; ``d`` is 1
+for a plain sum and the decay for an exponential one. That is some log(L) ``lag``
+columns in place of an array (or a rescanned frame) of ``L`` values per row, it
+never subtracts, and all indicators share the same window steps, one sort and one
 exchange. Rows before the start of a series count as 0; a NULL value makes
 exactly the sums that contain it NULL.
 """
@@ -22,6 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tickloom.operators.blocks import ROWS_PER_BLOCK, ROWS_PER_GRAIN, with_blocks
 from tickloom.schemas import Interval, interval
 
+# Sums joined per window step: a window step costs more than a lag column.
+RADIX = 4
+
 # Frame lengths of the indicator set.
 SMA_ROWS = 200
 RSI_ROWS = 14
@@ -38,8 +42,18 @@ class Trailing:
     decay: float = 1.0
 
 
+def _pieces(rows: int) -> list[int]:
+    """Powers of ``RADIX`` that add up to ``rows``, largest first."""
+    pieces, width = [], 1
+    while rows:
+        rows, digit = divmod(rows, RADIX)
+        pieces = [width] * digit + pieces
+        width *= RADIX
+    return pieces
+
+
 def trailing_sums(df: DataFrame, sums: Sequence[Trailing], over: WindowSpec) -> DataFrame:
-    """Add every trailing sum, one window step per doubling for all of them together."""
+    """Add every trailing sum, one window step per power of ``RADIX`` for all of them together."""
 
     def part(s: Trailing, width: int) -> str:
         return s.source if width == 1 else f"_{s.name}_{width}"
@@ -47,22 +61,22 @@ def trailing_sums(df: DataFrame, sums: Sequence[Trailing], over: WindowSpec) ->
     def shifted(s: Trailing, width: int, by: int) -> Column:
         return F.lit(s.decay**by) * F.lag(part(s, width), by, 0.0).over(over)
 
-    keep = df.columns
-    width = 1
-    while any(2 * width <= s.rows for s in sums):
-        df = df.withColumns(
-            {part(s, 2 * width): F.col(part(s, width)) + shifted(s, width, width) for s in sums if 2 * width <= s.rows}
-        )
-        width *= 2
-    totals = {}
-    for s in sums:
-        pieces = [1 << bit for bit in reversed(range(s.rows.bit_length())) if s.rows >> bit & 1]
+    def joined(s: Trailing, pieces: Sequence[int]) -> Column:
+        """Sums of these widths end to end, newest first."""
         age, total = pieces[0], F.col(part(s, pieces[0]))
         for piece in pieces[1:]:
             total = total + shifted(s, piece, age)
             age += piece
-        totals[s.name] = total
-    return df.select(*keep, *(c.alias(name) for name, c in totals.items()))
+        return total
+
+    keep = df.columns
+    width = 1
+    while any(RADIX * width <= s.rows for s in sums):
+        df = df.withColumns(
+            {part(s, RADIX * width): joined(s, [width] * RADIX) for s in sums if RADIX * width <= s.rows}
+        )
+        width *= RADIX
+    return df.select(*keep, *(joined(s, _pieces(s.rows)).alias(s.name) for s in sums))
 
 
 def ema_decay(span: int) -> float:

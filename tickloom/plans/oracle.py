@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 
-def _settled(value: str, places: int = 5) -> str:
+def _settled(value: str, places: int = 3) -> str:
     """Rounding with exact ties lifted clear of summation noise, as the Spark side does."""
     return f"round({value} + 1e-{places + 3}, {places})"
 

@@ -37,7 +37,7 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
-def _settled(df: DataFrame, *names: str, places: int = 5) -> DataFrame:
+def _settled(df: DataFrame, *names: str, places: int = 3) -> DataFrame:
     """Round computed means for comparison.
 
     A mean of two-decimal prices can lie exactly between two roundings, where the
