@@ -122,7 +122,7 @@ _BAR_YEAR_ROWS = (
     "SELECT datetime, symbol, open, high, low, close, volume, CAST(year(datetime) AS INTEGER) AS year FROM bars"
 )
 _LATEST = (
-    f"WITH {_WINDOWS} {_WINDOW_ROWS} WHERE window_end <= TIMESTAMP '2024-01-15 12:00:00'"
+    f"WITH {_WINDOWS} {_WINDOW_ROWS} WHERE window_end <= (SELECT max(ts) FROM events)"
     " QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1"
 )
 

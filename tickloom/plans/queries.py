@@ -30,7 +30,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 WINDOW_COLUMNS = ["symbol", "window_start", "window_end", "weighted_price_sum", "volume_sum", "vwap"]
 GOLD_COLUMNS = ["SMA_200", "EMA_50", "RSI_14", "MACD"]
-AS_OF = datetime(2024, 1, 15, 12)
 
 
 def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
@@ -202,10 +201,15 @@ def q_vwap_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vwap_messages(_windows(spark, sf_dir))
 
 
+def _newest_event(spark: SparkSession, sf_dir: str) -> datetime:
+    return views.table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+
+
 def q_vwap_latest_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only ticks before ``AS_OF`` can be in a window closed by then, so the scan skips the rest."""
-    ticks = views.ticks(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(AS_OF).cast("timestamp_ntz"))
-    return _show_windows(latest_closed(flat_windows(vwap(ticks, round_to=None)), AS_OF))
+    """As of the newest event; later ticks cannot be in a window closed by then."""
+    as_of = _newest_event(spark, sf_dir)
+    ticks = views.ticks(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(as_of).cast("timestamp_ntz"))
+    return _show_windows(latest_closed(flat_windows(vwap(ticks, round_to=None)), as_of))
 
 
 # -- pairing and measures --------------------------------------------------
@@ -307,10 +311,11 @@ def _vwap_stream(watermark: str, mode: str) -> Query:
 
 def q_vwap_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_rocksdb(spark)
+    as_of = _newest_event(spark, sf_dir)
     log = BatchTable(scratch(spark, "newest"))
     ticks = views.tick_stream(spark, sf_dir)
     publish_newest(
-        ticks, scratch(spark, "checkpoint"), log.write, as_of=AS_OF, trigger=AVAILABLE_NOW, round_to=None
+        ticks, scratch(spark, "checkpoint"), log.write, as_of=as_of, trigger=AVAILABLE_NOW, round_to=None
     ).awaitTermination()
     written = log.read(spark, stream_vwap(ticks).schema)
     return _show_windows(newest_per_key(written, ["symbol"]))
