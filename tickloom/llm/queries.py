@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import read
+from tickloom.llm.pii import pseudonymise
 from tickloom.llm.sharding import interleave
 from tickloom.llm.url_filter import HostRule, judge_urls
 
@@ -16,6 +17,8 @@ URL_RULES = (
     HostRule("net", "/fr/", "block"),
 )
 
+PII_KEY = "corpus"  # set your own; whoever has it can undo the pseudonyms
+
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the longest fitting rule, else by the character models."""
@@ -24,6 +27,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("llr", 6).alias("llr"))
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal values replaced by their keyed pseudonyms."""
+    return pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards, row counts at most one apart, each shard like the mixture."""
     rows = read(spark, sf_dir, "documents").select(
@@ -45,6 +53,7 @@ def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_pseudonyms": op7_pseudonyms,
     "op2_url_filter": op2_url_filter,
     "op9_interleave": op9_interleave,
 }
