@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import read
+from tickloom.llm.packing import pack, tokenise
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.sharding import interleave
 from tickloom.llm.url_filter import HostRule, judge_urls
@@ -27,6 +29,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("llr", 6).alias("llr"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of at most 2048."""
+    pieces = tokenise(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end=0)
+    return pack(pieces, limit=2048)
+
+
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal values replaced by their keyed pseudonyms."""
     return pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
@@ -53,6 +61,7 @@ def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
     "op7_pseudonyms": op7_pseudonyms,
     "op2_url_filter": op2_url_filter,
     "op9_interleave": op9_interleave,
