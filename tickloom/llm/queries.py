@@ -6,6 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import read
+from tickloom.llm import language_id, toxicity
+from tickloom.llm.html_extract import extract
+from tickloom.llm.ngram_join import similar_sets
 from tickloom.llm.packing import pack, tokenise
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.sharding import interleave
@@ -19,6 +22,7 @@ URL_RULES = (
     HostRule("net", "/fr/", "block"),
 )
 
+LANGUAGES = ("de", "en", "es", "fr")
 PII_KEY = "corpus"  # set your own; whoever has it can undo the pseudonyms
 
 
@@ -35,11 +39,32 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, limit=2048)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; its source stands for its host, ``lang`` is what it declares."""
+    docs = read(spark, sf_dir, "documents")
+    found = language_id.identify(docs, LANGUAGES, text=F.col("text"), declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "source", "lang", "language", F.round("confidence", 6).alias("confidence"), "accepted")
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 5-word shingles, and its component at 80 % similarity."""
+    return similar_sets(read(spark, sf_dir, "documents"))
+
+
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal values replaced by their keyed pseudonyms."""
     return pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; labels whose documents are held out teach nothing."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(F.col("text"), docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards, row counts at most one apart, each shard like the mixture."""
     rows = read(spark, sf_dir, "documents").select(
@@ -60,10 +85,20 @@ def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    out = extract(read(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
+    "op5_language": op5_language,
+    "op6_ngram_join": op6_ngram_join,
     "op7_pseudonyms": op7_pseudonyms,
     "op2_url_filter": op2_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op9_interleave": op9_interleave,
+    "op10_html": op10_html,
 }
 ORACLE: dict[str, str] = {}
