@@ -264,7 +264,7 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", siz
     Only rows that may go, or may repeat, are shuffled; the rest pass a bitmap of those.
     """
     found = similar_sets(docs, key=key, text=text, size=size, percent=percent)
-    by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max((F.col("doc_id") <=> F.col("component_id")).cast("int")).alias("stays"))
+    by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")).alias("stays"))
     odd = staged(by_id.where("rows > 1 or stays = 0 or doc_id is null"))
     doubted = maybe(quoted(key).cast("long"), docs, bitmap(odd.where("doc_id is not null").select("doc_id")))
     flagged = docs.withColumn("_doubted", doubted)
