@@ -233,6 +233,8 @@ def _island(limit: int, epoch: int):
                 out = {
                     "grp": [row["grp"]],
                     "island": [row["island"]],
+                    "sizes": pa.array([row["sizes"]], pa.list_(pa.int64())),
+                    "counts": pa.array([row["counts"]], pa.list_(pa.int64())),
                     "flat": pa.array([[s for b in best for s in b]], pa.list_(pa.int32())),
                     "bins": pa.array([[len(b) for b in best]], pa.list_(pa.int32())),
                     "n": pa.array([n], pa.int32()),
@@ -290,23 +292,20 @@ def pack(pieces: DataFrame, *, limit: int = 2048, per_group: int = PIECES_PER_GR
 
 
 def _packed(rows: DataFrame, limit: int, level: int, islands: int, epochs: int) -> DataFrame:
-    spark = rows.sparkSession
     by_size = rows.groupBy("grp", "length").agg(F.count("*").alias("n"))  # at most limit rows a group
     problems = by_size.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("length", "n"))).alias("h"))
-    problems = problems.select(
-        "grp", F.col("h.length").alias("sizes"), F.col("h.n").alias("counts"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(islands - 1).cast("long"))
+    guests = F.lit(None).cast("array<struct<flat: array<int>, bins: array<int>>>")
+    state = problems.select(
+        "grp", F.explode(every).alias("island"), F.col("h.length").alias("sizes"), F.col("h.n").alias("counts"), guests.alias("guests")
     )
-    problems = staged(problems.withColumn("island", F.col("island").cast("long")))
-    result = "grp long, island long, flat array<int>, bins array<int>, n int, spread double"
-    guest = "array<struct<flat: array<int>, bins: array<int>>>"
-    state = problems.withColumn("guests", F.lit(None).cast(guest))
+    result = "grp long, island long, sizes array<long>, counts array<long>, flat array<int>, bins array<int>, n int, spread double"
     for epoch in range(epochs):
-        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        elites = staged(state.repartition(width, "grp", "island").mapInArrow(_island(limit, epoch), result))
-        if epoch + 1 < epochs:
-            sent = elites.withColumn("island", (F.col("island") + 1) % islands).unionByName(elites)
-            met = sent.groupBy("grp", "island").agg(F.collect_list(F.struct("flat", "bins")).alias("guests"))  # two
-            state = problems.join(met, ["grp", "island"])
+        elites = state.repartition("grp", "island").mapInArrow(_island(limit, epoch), result)
+        met = elites.withColumn("island", F.explode(F.array("island", (F.col("island") + 1) % islands)))
+        state = met.groupBy("grp", "island").agg(
+            F.any_value("sizes").alias("sizes"), F.any_value("counts").alias("counts"), F.collect_list(F.struct("flat", "bins")).alias("guests")
+        )  # two guests
     best = elites.groupBy("grp").agg(F.min_by(F.struct("flat", "bins"), F.struct("n", "spread", "island")).alias("b"))
     best = best.select("grp", "b.flat", "b.bins")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "grp")
