@@ -13,6 +13,7 @@ from tickloom.llm.packing import pack, tokenise
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.sharding import interleave
 from tickloom.llm.url_filter import HostRule, judge_urls
+from tickloom.llm.vector_dedup import link_vectors
 
 URL_RULES = (
     HostRule("com", "/", "allow"),
@@ -26,6 +27,11 @@ LANGUAGES = ("de", "en", "es", "fr")
 PII_KEY = "corpus"  # set your own; whoever has it can undo the pseudonyms
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at cosine 0.9, whatever their labels."""
+    return link_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the longest fitting rule, else by the character models."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -92,6 +98,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
     "op3_packing": op3_packing,
     "op5_language": op5_language,
     "op6_ngram_join": op6_ngram_join,
