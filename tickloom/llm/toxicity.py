@@ -18,9 +18,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
@@ -44,58 +46,71 @@ def plain(token: str) -> str:
 
 @dataclass
 class Model:
-    """Log-probability ratios by gram, by context for grams not seen there, and the curve."""
+    """Log-probability ratios by hash of a gram, by hash of a context for grams not seen there, and the curve."""
 
-    grams: dict[str, float] = field(default_factory=dict)
-    contexts: dict[str, float] = field(default_factory=dict)
+    grams: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.float32))
+    contexts: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.float32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
     base: float = 0.0
 
-    def ratio(self, token: str) -> float:
-        """log P(token | toxic) - log P(token | ordinary)."""
-        word = plain(token)
-        if not word:
-            return 0.0
-        chars, total = "\u0002" * (ORDER - 1) + word + "\u0003", 0.0
-        for i in range(len(word) + 1):
-            gram = chars[i : i + ORDER]
-            known = self.grams.get(gram)
-            total += self.contexts.get(gram[:-1], 0.0) if known is None else known
-        return total
 
-    def lookup(self) -> Ratios:
-        return Ratios(self)
+def _hashes(grams: list[str]) -> np.ndarray:
+    """What Spark's xxhash64 gives for each string."""
+    return np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64).view(np.int64)
+
+
+def _found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key is in a sorted table, and its value or 0."""
+    at = np.minimum(np.searchsorted(table[0], keys), max(len(table[0]) - 1, 0))
+    if not len(table[0]):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    known = table[0][at] == keys
+    return known, np.where(known, table[1][at], 0.0)
 
 
 class Ratios(dict):
-    """A token's ratio, computed once; forgotten when too many are held."""
+    """log P(token | toxic) - log P(token | ordinary) by token; computed once, forgotten when too many are held."""
 
-    def __init__(self, model: Model, most: int = 400_000):
+    def __init__(self, model: Model, most: int = 300_000):
         super().__init__()
         self.model, self.most = model, most
 
-    def __missing__(self, token: str) -> float:
-        if len(self) >= self.most:
+    def learn(self, tokens: set[str]) -> None:
+        if len(self) + len(tokens) > self.most:
             self.clear()
-        value = self[token] = self.model.ratio(token)
-        return value
-
-
-def features(text: str | None, ratios: Ratios) -> np.ndarray:
-    """Ratios per character over the whole text and its worst run, worst word, worst three words."""
-    words = (text or "").lower().split()
-    if not words:
-        return np.zeros(FEATURES)
-    value = np.fromiter(map(ratios.__getitem__, words), np.float64, len(words))
-    size = np.fromiter(map(len, words), np.float64, len(words)) + 1
-    total, chars = np.cumsum(value), np.cumsum(size)
-    whole = total[-1] / chars[-1]
-    if len(words) > WINDOW:
-        run = np.max((total[WINDOW:] - total[:-WINDOW]) / (chars[WINDOW:] - chars[:-WINDOW]))
-    else:
-        run = whole
-    top = value if len(words) <= 3 else np.partition(value, len(words) - 3)[-3:]
-    return np.array([whole * 10, run, top.max() / 10, top.sum() / 30])
+        new = [t for t in tokens if t not in self]
+        grams: list[str] = []
+        ends = []
+        for token in new:
+            if word := plain(token):
+                chars = "\u0002" * (ORDER - 1) + word + "\u0003"
+                grams.extend([chars[i : i + ORDER] for i in range(len(word) + 1)])
+            ends.append(len(grams))
+        known, value = _found(self.model.grams, _hashes(grams))
+        rest = np.flatnonzero(~known)
+        value[rest] = _found(self.model.contexts, _hashes([grams[i][:-1] for i in rest]))[1]
+        total = np.concatenate([[0.0], np.cumsum(value)])
+        ends = np.array([0, *ends])
+        self.update(zip(new, (total[ends[1:]] - total[ends[:-1]]).tolist(), strict=True))
+
+
+def features(texts: list[str | None], ratios: Ratios) -> np.ndarray:
+    """Ratios per character over each whole text and its worst run, its worst word and worst three words."""
+    out = np.zeros((len(texts), FEATURES))
+    split = [(t or "").lower().split() for t in texts]
+    ratios.learn(set().union(*split))
+    for row, words in zip(out, split, strict=True):
+        if not words:
+            continue
+        value = np.fromiter(map(ratios.__getitem__, words), np.float64, len(words))
+        size = np.fromiter(map(len, words), np.float64, len(words)) + 1
+        total, chars = np.cumsum(value), np.cumsum(size)
+        whole = run = total[-1] / chars[-1]
+        if len(words) > WINDOW:
+            run = np.max((total[WINDOW:] - total[:-WINDOW]) / (chars[WINDOW:] - chars[:-WINDOW]))
+        top = value if len(words) <= 3 else np.partition(value, len(words) - 3)[-3:]
+        row[:] = whole * 10, run, top.max() / 10, top.sum() / 30
+    return out
 
 
 def _labelled(labels: DataFrame, key: str, label: str, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +206,14 @@ def kneser_ney(grams: DataFrame, order: int = ORDER, discount: float = DISCOUNT)
     return by_gram, by_context.where("ratio <> 0")
 
 
+def _table(ratios: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and their ratios: 12 bytes a gram, bounded by the labelled texts."""
+    rows = ratios.select(F.xxhash64(key).alias("h"), F.col("ratio").cast("float").alias("ratio")).toArrow()
+    keys, values = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of a logistic regression with a weak ridge, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -221,18 +244,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     counted = rows.mapInArrow(_word_counts(ids[~curve], toxic[~curve]), "word string, t long, o long")
     words = staged(counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
     grams, contexts = kneser_ney(staged(gram_table(words)))
-    model = Model(
-        grams=dict(grams.toPandas().itertuples(index=False, name=None)),
-        contexts=dict(contexts.toPandas().itertuples(index=False, name=None)),
-        base=base,
-    )
+    model = Model(_table(grams, "gram"), _table(contexts, "context"), base=base)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios = held.value.lookup()
-        for found, label in _texts(batches, ids[curve], toxic[curve]):
+        ratios = Ratios(held.value)
+        for part in batched(_texts(batches, ids[curve], toxic[curve]), 128):
+            x = features([t for t, _ in part], ratios)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([features(found, ratios).tolist()], pa.list_(pa.float64())), pa.array([label], pa.int32())], names=["x", "y"]
+                [pa.array(x.tolist(), pa.list_(pa.float64())), pa.array([y for _, y in part], pa.int32())], names=["x", "y"]
             )
 
     seen = rows.mapInArrow(measured, "x array<double>, y int").toPandas()
@@ -248,13 +268,14 @@ def toxicity(text: Column, docs: DataFrame, model: Model) -> Column:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ratios = held.value.lookup()
+        ratios = Ratios(held.value)
         weights, base = held.value.weights, held.value.base
         for batch in batches:
-            if not held.value.grams:
+            if not len(held.value.grams[0]):
                 yield pa.array([base] * len(batch), pa.float64())
                 continue
-            x = np.array([features(t.as_py(), ratios) for t in batch]).reshape(-1, FEATURES)
+            x = [features(batch.slice(lo, 128).to_pylist(), ratios) for lo in range(0, len(batch), 128)]
+            x = np.concatenate([np.zeros((0, FEATURES)), *x])
             yield pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), pa.float64())
 
     return F.arrow_udf(score, "double", ArrowUDFType.SCALAR_ITER)(text)
