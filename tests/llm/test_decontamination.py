@@ -1,0 +1,110 @@
+"""Leaks against every window of every text."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from tickloom.llm import decontamination as d
+
+
+def bag(words):
+    k = min(d.WORDS, len(words))
+    return Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if k else Counter()
+
+
+def weight(grams):
+    return sum(n * sum(map(len, g)) for g, n in grams.items())
+
+
+def brute(text, items, least=d.LEAST):
+    words, out = d.words_of(text), {}
+    for item, body in items:
+        own = d.words_of(body)
+        if not own:
+            continue
+        a = bag(own)
+        for start in range(len(words) - len(own) + 1):
+            b = bag(words[start : start + len(own)])
+            both = weight(a & b)
+            score = both / (weight(a) + weight(b) - both)
+            if score >= least and score > out.get(item, (0, 0))[0]:
+                out[item] = (score, start, len(own))
+    return out
+
+
+@pytest.fixture(scope="module")
+def case():
+    rng = random.Random(9)
+    vocabulary = [f"{rng.choice('abcdef')}{i}" for i in range(150)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 5, 8, 20, 20, 33, 50])))) for i in range(40)]
+    items += [(40, None), (41, ""), (42, "!!! ..."), (43, items[7][1]), (43, items[8][1])]
+    docs = []
+    for i in range(160):
+        words = rng.choices(vocabulary + ["unseen", "words"], k=rng.randint(0, 80))
+        if i % 2:
+            body = items[rng.randrange(40)][1].split()
+            body = [w if rng.random() > rng.choice([0, 0, 0.01, 0.03]) else "edited" for w in body]
+            at = rng.randint(0, len(words))
+            words[at:at] = [w.upper() + rng.choice(["", ",", "!"]) for w in body]
+        if i % 7 == 0:
+            words.insert(len(words) // 2, "---")
+        docs.append((i, "\n ".join(words)))
+    docs += [(200, None), (201, ""), (201, ""), (None, items[9][1]), (202, items[12][1] + " x" * 20_000 + " " + items[12][1])]
+    return docs, items
+
+
+def test_equals_all_windows(spark, case):
+    docs, items = case
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS item_id", "1 AS f")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in d.find_leaks(df, bench).collect()), key=str)
+    want = []
+    for doc, text in docs[:-1]:
+        for item, body in items:
+            for score, start, n in brute(text, [(item, body)]).values():
+                want.append((doc, item, start, n, round(score, 9)))
+    long = brute(docs[-1][1][:2000], items)
+    want += [(202, i, s, n, round(x, 9)) for i, (x, s, n) in long.items()]
+    want += [(202, 43, s, n, round(x, 9)) for b in (items[-2], items[-1]) for x, s, n in brute(docs[-1][1][:2000], [b]).values() if 43 not in long]
+    assert {g[:2] for g in got} == {w[:2] for w in want}
+    assert got == sorted(want, key=str)
+    kept = d.without_leaks(df, bench)
+    assert kept.columns == df.columns
+    hit = {w[0] for w in want}
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((doc for doc, _ in docs if doc not in hit), key=str)
+
+
+def test_blocks_find_the_same(spark, case, monkeypatch):
+    docs, items = case
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, d.find_leaks(df, bench).collect()))
+    monkeypatch.setattr(d, "BLOCK_WORDS", 150)
+    assert sorted(map(str, d.find_leaks(df, bench).collect())) == whole
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert d.find_leaks(docs, bench.limit(0)).count() == 0
+    assert d.without_leaks(docs, bench.limit(0)).count() == 1
+    assert d.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_query(spark):
+    from tickloom.llm.queries import op4_leaks
+
+    sf = "/root/testdata/sf0.01"
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    exact = set()
+    for doc, text in docs:
+        joined = f" {' '.join(d.words_of(text))} "
+        exact |= {(doc, item) for item, body in items if f" {' '.join(d.words_of(body))} " in joined}
+    rows = {(r.doc_id, r.item_id): r for r in op4_leaks(spark, sf).collect()}
+    assert exact and exact <= rows.keys()
+    text_of = dict(docs)
+    for (doc, item), r in rows.items():
+        want = brute(text_of[doc], [x for x in items if x[0] == item])[item]
+        assert (round(want[0], 6), want[1], want[2]) == (r.similarity, r.start, r.n_words)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import read
 from tickloom.llm import language_id, toxicity
+from tickloom.llm.decontamination import find_leaks
 from tickloom.llm.html_extract import extract
 from tickloom.llm.ngram_join import similar_sets
 from tickloom.llm.packing import pack, tokenise
@@ -45,6 +46,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, limit=2048)
 
 
+def op4_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with their best window."""
+    found = find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; its source stands for its host, ``lang`` is what it declares."""
     docs = read(spark, sf_dir, "documents")
@@ -100,6 +107,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op3_packing": op3_packing,
+    "op4_leaks": op4_leaks,
     "op5_language": op5_language,
     "op6_ngram_join": op6_ngram_join,
     "op7_pseudonyms": op7_pseudonyms,
