@@ -1,0 +1,131 @@
+"""Language identification and toxicity: held-out accuracy, definitions, edges."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import functions as F
+
+from tickloom.llm import language_id, toxicity
+from tickloom.llm.queries import LANGUAGES, op5_language, op8_toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_languages_of_documents(spark):
+    rows = op5_language(spark, SF).toPandas()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert (rows.language == rows.lang).mean() > 0.995 and rows.accepted.mean() > 0.995
+
+
+def test_text_alone_and_missing_evidence(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("test", F.xxhash64("doc_id") % 4 == 0)
+    table = language_id.fit_trigrams(docs.where("not test"), F.col("text"), F.col("lang"), LANGUAGES)
+    found = language_id.identify(docs.where("test"), LANGUAGES, text=F.col("text"), table=table).toPandas()
+    assert (found.language == found.lang).mean() > 0.99
+
+
+def test_evidence_decides_where_the_text_does_not(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('de', 'es')")
+    table = language_id.fit_trigrams(docs, F.col("text"), F.col("lang"), LANGUAGES)
+    known = docs.select("text", "lang", F.concat(F.lit("www.site."), "lang").alias("host"))
+    short = spark.createDataFrame([("q", "de", "www.site.de"), ("q", "es", "www.site.es"), ("q", None, "new.site.es"), ("q", None, "www.site.de")], known.schema)
+    rows = language_id.identify(
+        known.union(short), LANGUAGES, text=F.col("text"), declared=F.col("lang"), host=F.col("host"), suffix=language_id.address_suffix(F.col("host")), table=table
+    )
+    got = [r.language for r in rows.where("text = 'q'").orderBy("host", "lang").collect()]
+    assert got == ["es", "de", "de", "es"]
+
+
+def test_language_edges(spark):
+    rows = [(None, None, None), ("", "en", "h"), ("12 !? 34", "en", "h"), ("the and of the", "EN", "h"), ("the and of the", "xx", None), ("the of and " * 30_000, "en", "h")]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").selectExpr("*", "'old' AS language", "1 AS _logs", "2 AS prior")
+    out = language_id.identify(df, LANGUAGES, text=F.col("text"), declared=F.col("lang"), host=F.col("source"))
+    assert out.columns == ["text", "lang", "source", "_logs", "prior", "language", "confidence", "accepted"]
+    got = {(r.text or "-")[:5]: (r.language, r.accepted) for r in out.collect()}
+    assert got["-"] == got["12 !?"] == ("und", False) and got["the a"] == ("en", True) and got["the o"] == ("en", True)
+    assert language_id.identify(df.limit(0), LANGUAGES, text=F.col("text"), declared=F.col("lang")).count() == 0
+    html = spark.createDataFrame([('<!DOCTYPE html><HTML class=x lang="pt-BR">',), ("<html>",), (None,)], "h string")
+    assert [r[0] for r in html.select(language_id.markup_language(F.col("h"))).collect()] == ["pt", None, None]
+
+
+def test_gibberish_is_no_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    table = language_id.fit_trigrams(docs, F.col("text"), F.col("lang"), LANGUAGES)
+    rng = np.random.default_rng(0)
+    odd = spark.createDataFrame([(" ".join("".join(rng.choice(list("qxzjkvwпжфщыъ"), 6)) for _ in range(60)),)], "text string")
+    assert language_id.identify(odd, LANGUAGES, text=F.col("text"), table=table).first().accepted is False
+
+
+def test_toxicity_of_held_out_documents(spark):
+    rows = op8_toxicity(spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
+    assert sorted(rows.doc_id) == sorted(docs.doc_id) and rows.score.between(0, 1).all()
+    assert (rows.held_out == rows.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
+    assert (rows.predicted == (rows.score >= 0.3).astype(int)).all()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
+    held = rows[rows.held_out].merge(labels, on="doc_id")
+    rank = held.score.rank()
+    toxic = held.toxic == 1
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / toxic.sum() / (~toxic).sum()
+    assert auc > 0.85
+
+
+def test_kneser_ney_tables(spark):
+    words = pd.DataFrame({"word": ["abc", "abd", "b", "zz"], "t": [5, 0, 2, 0], "o": [1, 3, 0, 4]})
+    grams = toxicity.gram_table(spark.createDataFrame(words), 3)
+    by_gram, by_context = toxicity.kneser_ney(grams, 3)
+    got = {r.gram: r.ratio for r in by_gram.collect()}
+    counts = {c: Counter() for c in "to"}
+    for w in words.itertuples():
+        s = "\u0002\u0002" + w.word + "\u0003"
+        for i in range(len(s) - 2):
+            counts["t"][s[i : i + 3]] += w.t
+            counts["o"][s[i : i + 3]] += w.o
+    types = set(counts["t"]) | set(counts["o"])
+    two = Counter(g[1:] for g in types)
+    one = Counter(g[1:] for g in two)
+    d = toxicity.DISCOUNT
+
+    def shared(g):
+        p = 1 / len(one)
+        for table, s in ((one, g[2:]), (two, g[1:])):
+            around = [n for x, n in table.items() if x[:-1] == s[:-1]]
+            p = (max(table[s] - d, 0) + d * len(around) * p) / sum(around)
+        return p
+
+    for g in types:
+        p = {}
+        for c in "to":
+            total = sum(n for x, n in counts[c].items() if x[:-1] == g[:-1])
+            kinds = sum(1 for x, n in counts[c].items() if x[:-1] == g[:-1] and n)
+            p[c] = (max(counts[c][g] - d, 0) + d * kinds * shared(g)) / total if total else shared(g)
+        assert math.isclose(got[g], math.log(p["t"]) - math.log(p["o"]), abs_tol=1e-9)
+    assert by_context.count()
+
+
+def test_hashes_are_sparks(spark):
+    texts = ["", "a", "été", "\u0002\u0002word\u0003", "x" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = {r.t: r.h for r in df.select("t", F.xxhash64("t").alias("h")).collect()}
+    assert [want[t] for t in texts] == toxicity._hashes(texts).tolist()
+    assert xxhash.xxh64_intdigest(b"a", 42) == want["a"] % (1 << 64)
+
+
+def test_toxicity_edges(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, "idiot"), (3, "a " * 50_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    scores = [r[0] for r in docs.select(toxicity.toxicity(F.col("text"), docs, model)).collect()]
+    assert len(set(scores)) == 1 and 0 <= scores[0] <= 1
+    none = toxicity.fit(docs, labels.limit(0))
+    assert docs.select(toxicity.toxicity(F.col("text"), docs, none)).first()[0] == 0.0
+    many = spark.createDataFrame([(i, f"word{i % 7} " + ("nasty" if i % 5 == 0 else "nice") + " x" * (i % 50)) for i in range(400)] + [(999, None)], "doc_id long, text string")
+    marks = many.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic")).where("doc_id < 400")
+    model = toxicity.fit(many, marks.union(marks))
+    odd = spark.createDataFrame([("you are nasty",), ("so nice",), (None,), ("",)], "text string")
+    scores = [r[0] for r in odd.select(toxicity.toxicity(F.col("text"), odd, model)).collect()]
+    assert scores[0] > 0.5 > scores[1] and scores[2] == scores[3] < 0.5

@@ -25,6 +25,7 @@ SLOTS = 1 << 16  # hashed trigrams of a language's model
 TEMPER = 1 / 3  # neighbouring trigrams share two of three bytes
 STRENGTH = 20.0  # documents that a prior weighs
 UNKNOWN_SHARE = 1e-3
+UNSEEN = -30.0
 LEAST = 0.5  # posterior below which a document is rejected
 
 
@@ -72,7 +73,9 @@ def fit_trigrams(docs: DataFrame, text: Column, label: Column, languages: tuple[
     rows = counted.groupBy("at", "slot").agg(F.sum("n").alias("n")).toPandas()  # languages x SLOTS at most
     table = np.full((len(names), SLOTS), 0.5)
     table[rows["at"], rows["slot"]] += rows["n"]
-    return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    model = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    model[table.max(axis=1) < 1] = UNSEEN  # a language without any text
+    return model
 
 
 def likelihoods(text: Column, docs: DataFrame, table: np.ndarray) -> Column:
@@ -134,7 +137,7 @@ def identify(
     if table is None:
         table = fit_trigrams(docs, text, F.lower(declared), languages)
     kept = [c for c in docs.columns if c.lower() not in {o.lower() for o in out}]
-    logs, site, zone, said = fresh(docs, "_logs", "_site", "_zone", "_said")
+    logs, site, zone, said, prior = fresh(docs, "_logs", "_site", "_zone", "_said", "_prior")
     scored = docs.select(
         *[quoted(c) for c in kept],
         likelihoods(text, docs, table).alias(logs),
@@ -164,12 +167,12 @@ def identify(
     zones = zones.select(zone, *smoothed(zones, [F.lit(p) for p in corpus]))
     sites = totals.groupBy(site, zone).agg(*each).join(zones, zone)
     sites = sites.select(site, zone, *[c.alias(f"q{i}") for i, c in enumerate(smoothed(sites, [F.col(f"p{i}") for i in range(n)]))])
-    prior = F.array(*[F.log(F.col(f"q{i}") * (1 - UNKNOWN_SHARE)) for i in range(n)], F.log(F.lit(UNKNOWN_SHARE)))
-    sites = staged(sites.select(site, zone, prior.alias("prior")))
+    weight = F.array(*[F.log(F.col(f"q{i}") * (1 - UNKNOWN_SHARE)) for i in range(n)], F.log(F.lit(UNKNOWN_SHARE)))
+    sites = staged(sites.select(site, zone, weight.alias(prior)))
 
     default = F.array(*[F.lit(float(np.log(p * (1 - UNKNOWN_SHARE)))) for p in corpus], F.log(F.lit(UNKNOWN_SHARE)))
     joined = scored.join(sites, [site, zone], "left")
-    weights = F.zip_with(logs, F.coalesce("prior", default), lambda a, b: a + b)
+    weights = F.zip_with(logs, F.coalesce(prior, default), lambda a, b: a + b)
     weights = F.zip_with(weights, F.element_at(lines, F.col(said) + 1), lambda a, b: a + b)
     posterior = _normal(weights)
     best = F.array_max(posterior)
