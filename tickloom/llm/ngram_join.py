@@ -8,11 +8,14 @@ n - ceil(t n) + l and m - ceil(t m) + l of them, for any l. Each document picks
 the estimated cost of longer postings and of the candidates that remain is least, and
 a pair must share as many prefix shingles as the smaller of its two l demands.
 
-Candidates are found in two rounds. The first compares each node with the least node
-of its postings; what that links falls into components. The second compares the pairs of a
-posting that are still in different components, so that no link between components is
-missed, while a large group of near copies costs one comparison per member and not one
-per pair. Every candidate is verified on the whole sets.
+Candidates are found in rounds. In the first ones each node is compared with one head of
+each of its postings, at first the node that meets most others (an original rather
+than its edited copies), then nodes drawn at random; what they link falls into
+components. Nodes that share most with the same head form a cluster, where those outside
+the largest component are compared with all others in tiles. The last round compares
+the pairs of a posting that are in different components and clusters. So no link between
+components is missed, while a large group of near copies costs a few comparisons per
+member and no written pairs. Every candidate is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -24,16 +27,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.llm.common import quoted
-from tickloom.llm.components import bitmap, components, maybe, maybe_in
+from tickloom.llm.components import bitmap, components, maybe
 from tickloom.session import staged
 
 WORDS = 5
 PERCENT = 80
 SKETCH = 1 << 22  # counters of the document-count sketch
 SKETCH_CHUNKS = 64
+HEAD_ROUNDS = 2
+TILE = 512  # nodes of a tile
 VERIFY_COST, UNSEEN = 20.0, 0.2  # of a candidate against a posting entry; expected partners of a rare shingle
 
 _M = (1 << 64) - 1
@@ -175,28 +180,76 @@ def _profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key binary, demand int, prefix array<long>")
 
 
-def _sets(docs: DataFrame, keys: DataFrame, size: int) -> DataFrame:
-    """(key, hashes) of the sets whose key is in ``keys``, each once; made again from the texts."""
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(keys))
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(key, hashes) of the sets of ``wanted`` (key, doc_id), each once; made again from those rows' texts.
+
+    A bitmap of the ids keeps other texts from being read into words; the join decides.
+    """
+    some = docs.where(maybe(F.col("doc_id"), docs, bitmap(wanted.where("doc_id is not null").select("doc_id"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingler(size), set()
+        shingles = Shingler(size)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 key, sets = [], []
                 for text in batch.slice(lo, 512).column(0):
                     hashes = shingles(text.as_py())
-                    digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-                    if len(hashes) and digest not in seen:
-                        if maybe_in(np.frombuffer(digest[:8], np.int64), held.value)[0]:
-                            seen.add(digest)
-                            key.append(digest)
-                            sets.append(hashes.view(np.int64))
-                        if len(seen) > 200_000:
-                            seen.clear()
+                    if len(hashes):
+                        key.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
+                        sets.append(hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "hashes"])
 
-    return docs.select("text").mapInArrow(run, "key binary, hashes array<long>")
+    made = some.select("text").mapInArrow(run, "key binary, hashes array<long>")
+    return staged(made.join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _within(percent: int):
+    """Links between the nodes of a part's tile pairs: each outsider against all of other roots, one link per root."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        for _, tile in rows.groupby(["cluster", "i", "j"], sort=False):
+            if tile["root"].nunique() < 2:
+                continue
+            sets = [np.asarray(h) for h in tile["hashes"]]
+            size = np.array([len(h) for h in sets])
+            owner, flat = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            owner, flat = owner[order], flat[order]
+            node, root, own = (tile[c].to_numpy() for c in ("node", "root", "own"))
+            cross = tile["i"].iloc[0] != tile["j"].iloc[0]
+            for x in np.flatnonzero(own == tile["i"].iloc[0]):
+                lo, hi = np.searchsorted(flat, sets[x], "left"), np.searchsorted(flat, sets[x], "right")
+                many = hi - lo
+                at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                both = np.bincount(owner[at], minlength=len(sets))
+                hit = (100 * both >= percent * (size + size[x] - both)) & (root != root[x])
+                if cross:
+                    hit &= own != own[x]
+                for r in np.unique(root[hit]):
+                    out.append((int(node[x]), int(node[hit & (root == r)][0])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
+def _outsiders(members: DataFrame) -> DataFrame:
+    """``members`` (cluster, node, root, size) for every pair of tiles in which a node outside its cluster's largest root is compared.
+
+    The largest root's nodes are dealt to tiles of their own, which never meet each other.
+    """
+    counts = members.groupBy("cluster", "root").agg(F.count("*").alias("m"))
+    main = counts.groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("inner"), F.sum("m").alias("all"))
+    main = main.where("all > inner")
+    tiles = lambda c: F.ceil(F.col(c) / TILE).cast("int")
+    dealt = members.join(main, "cluster").withColumn("out", F.ceil((F.col("all") - F.col("inner")) / TILE).cast("int"))
+    dealt = dealt.withColumn("inn", tiles("inner"))
+    inside = F.col("root") == F.col("main")
+    place = F.xxhash64("node")
+    own = F.when(inside, F.col("out") + F.pmod(place, F.col("inn"))).otherwise(F.pmod(place, F.col("out"))).cast("int")
+    last = F.when(inside, F.col("out") - 1).otherwise(F.col("out") + F.col("inn") - 1)
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select("cluster", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
 def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -211,44 +264,84 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
     Shingles count as equal when their 64-bit hashes are.
     """
     rows = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
+    needed = lambda n, m: F.ceil(percent * (n + m) / (100 + percent))  # noqa: E731  shared shingles of a link
     base = staged(_profiles(rows, size, percent).withColumn("row", F.monotonically_increasing_id()))
     nodes = staged(base.where("n > 0").groupBy("key").agg(F.min("row").alias("node")))
-    own = base.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    own = own.select(F.col("row").alias("node"), "n", "demand", "prefix")
-    entries = own.select("node", F.explode("prefix").alias("shingle"))
-    heads = entries.groupBy("shingle").agg(F.min("node").alias("head"), F.count("*").alias("many")).where("many > 1")
-    shared = staged(entries.join(heads, "shingle").select("shingle", "node", "head"))
-    facts = staged(own.select("node", "n", "demand").join(nodes, "node"))
-
-    def plausible(pairs: DataFrame) -> DataFrame:
-        """(a, b) of pairs that share enough prefix shingles and whose sizes allow a link; with n of both."""
-        of = lambda side: facts.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("demand").alias(f"d_{side}"), F.col("key").alias(f"key_{side}"))
+    own = base.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    entries = own.select("node", F.posexplode("prefix").alias("pos", "shingle"))
+    posted = entries.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1").select("shingle")
+    met = entries.join(posted, "shingle")
+    # shingles met nowhere else are missing in every partner: an entry after too many of them leads to no link
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
+    met = staged(met.join(own.select("node", "n"), "node").withColumn("alone", F.col("pos") + 1 - rank))
+    smallest = met.groupBy("shingle").agg(F.min("n").alias("least_n"))
+    shared = met.join(smallest, "shingle").where(F.col("n") - F.col("alone") >= needed(F.col("n"), F.col("least_n")))
+    shared = staged(shared.select("shingle", "node", "pos"))
+    facts = staged(own.select("node", "doc_id", "n", "demand", "key").join(shared.groupBy("node").agg(F.count("*").alias("met")), "node"))
+
+    def plausible(pairs: DataFrame, part: float) -> DataFrame:
+        """Pairs (a, b, shares, last_a, last_b) that may link, with their facts.
+
+        They share this part of what they demand, and what is left of each set when the
+        prefix shingles before the last shared one that the other lacks are taken away
+        is large enough.
+        """
+        of = lambda side: facts.select(*[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "demand", "key")], F.col("node").alias(side))
         both = pairs.join(of("a"), "a").join(of("b"), "b")
-        fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        return staged(both.where((F.col("shares") >= F.least("d_a", "d_b")) & fits).drop("shares", "d_a", "d_b"))
+        asked = needed(F.col("n_a"), F.col("n_b"))
+        left = F.least(*[F.col(f"n_{s}") - (F.col(f"last_{s}") + 1 - F.col("shares")) for s in "ab"])
+        left = left if part == 1.0 else F.least("n_a", "n_b")
+        return staged(both.where((F.col("shares") >= part * F.least("demand_a", "demand_b")) & (left >= asked)))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("key_a").alias("key")).unionAll(pairs.select(F.col("key_b").alias("key"))).distinct()
-        made = _sets(rows, wanted, size).join(wanted, "key", "left_semi").dropDuplicates(["key"])
-        sets = staged(made)
-        of = lambda side: sets.select(F.col("key").alias(f"key_{side}"), F.col("hashes").alias(f"set_{side}"))
-        both = pairs.join(of("a"), "key_a").join(of("b"), "key_b")
+        """The pairs (a, b) whose whole sets are similar."""
+        side = lambda s: pairs.select(F.col(f"key_{s}").alias("key"), F.col(f"doc_id_{s}").alias("doc_id"))
+        sets = _sets(rows, side("a").unionAll(side("b")).distinct(), size)
+        of = lambda s: sets.select(F.col("key").alias(f"key_{s}"), F.col("hashes").alias(f"set_{s}"))
+        both = pairs.select("a", "b", "n_a", "n_b", "key_a", "key_b").join(of("a"), "key_a").join(of("b"), "key_b")
         inner = F.size(F.array_intersect("set_a", "set_b"))
         return both.where(100 * inner >= percent * (F.col("n_a") + F.col("n_b") - inner)).select("a", "b")
 
-    first = shared.where("node <> head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shares"))
-    links = staged(linked(plausible(first)))
+    def parted(links: DataFrame | None) -> DataFrame:
+        """Entries of the postings whose nodes are not yet of one component, with their roots."""
+        if links is None:
+            return shared.withColumn("root", F.col("node"))
+        placed = shared.join(components(links), "node", "left").select("shingle", "node", "pos", F.coalesce("root", "node").alias("root"))
+        ends = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        return staged(placed.join(ends.where("lo <> hi").select("shingle"), "shingle"))
+
+    links = clusters = None
+    for turn in range(HEAD_ROUNDS):
+        still = parted(links)
+        order = F.col("met") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        ranked = still.join(facts.select("node", "met"), "node") if turn == 0 else still
+        heads = ranked.groupBy("shingle").agg(F.max_by("node", order).alias("head"), F.max_by("root", order).alias("head_root"))
+        beside = still.join(heads, "shingle").where("node <> head and root <> head_root")
+        pairs = beside.groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shares"))
+        pairs = plausible(pairs, 0.5)
+        if turn == 0:  # a node's cluster: the head it shares most with
+            clusters = staged(pairs.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("shares", "a")).alias("cluster")))
+        found = linked(pairs)
+        links = staged(found if links is None else links.unionAll(found))
+
+    # within clusters all whole sets meet in tiles, without writing pairs
     roots = components(links)
-
-    placed = shared.join(roots, "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    still = staged(placed.join(mixed, "shingle").join(facts.select("node", "n"), "node"))
-    left, right = (still.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n")]) for s in "ab")
-    meet = left.join(right, "shingle").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    members = clusters.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
+    tiled = staged(_outsiders(members).join(facts.select("node", "key", "doc_id"), "node"))
+    sets = _sets(rows, tiled.select("key", "doc_id").distinct(), size)
+    parts = -(-tiled.count() // TILE) or 1
+    tiled = tiled.join(sets, "key").withColumn("part", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(parts)))
+    found = tiled.select("part", "cluster", "i", "j", "node", "root", "own", "hashes").groupBy("part").applyInPandas(_within(percent), "a long, b long")
+    links = staged(links.unionAll(found))
+
+    # between clusters the pairs of a posting meet
+    still = parted(links).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
+    left, right = (still.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "pos", "cluster")]) for s in "ab")
+    meet = left.join(right, "shingle").where("node_a < node_b and root_a <> root_b and cluster_a <> cluster_b")
+    pairs = meet.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
+        F.count("*").alias("shares"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b")
     )
-    second = meet.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("shares"))
-    links = staged(links.unionAll(linked(plausible(second))))
+    links = staged(links.unionAll(linked(plausible(pairs, 1.0))))
     roots = components(links)
 
     placed = base.select("doc_id", "n", "key", "row").join(nodes, "key", "left").join(roots, "node", "left")
