@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window, functions as F
 
+from tickloom.operators.bars import last_n_bars
 from tickloom.operators.indicators import ema_of_array, ordered_history, with_indicators
 
 NAMES = ["SMA_200", "EMA_50", "EMA_12", "EMA_26", "RSI_14", "MACD"]
@@ -155,3 +156,14 @@ def test_array_form_agrees(spark):
 def test_unknown_name_is_refused(spark):
     with pytest.raises(ValueError, match="unknown indicators"):
         with_indicators(bars(spark, [1.0]), ["MACD_SIGNAL"])
+
+
+def test_bars_without_symbol_or_time_are_left_out_alike(spark):
+    rows = [("A", datetime(2024, 1, d), float(d)) for d in range(1, 6)] + [(None, datetime(2024, 1, 9), 1.0), ("A", None, 2.0)]
+    bars = spark.createDataFrame(rows, "symbol string, datetime timestamp_ntz, close double")
+    whole, cut = (sorted(map(tuple, with_indicators(bars, size=s).collect())) for s in (None, "1D"))
+    assert whole == cut and len(whole) == 5
+    for n in (1000, 1001):
+        kept = last_n_bars(bars, n)
+        assert kept.columns == bars.columns and kept.count() == 5
+    assert sorted(r.close for r in last_n_bars(bars, 2).collect()) == [4.0, 5.0]

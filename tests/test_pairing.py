@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.operators import blocks
 from tickloom.operators.pairing import (
@@ -135,3 +136,26 @@ def test_messages_without_measure_or_bounds_are_skipped(spark):
     assert [r.value for r in quote_messages(ticks).collect()] == [2.0]
     windows = [("A", None, minute(5), 1.0), ("A", minute(0), None, 1.0), ("A", minute(0), minute(5), None)]
     assert vwap_arrivals(spark.createDataFrame(windows, WINDOWS)).count() == 0
+
+
+def test_windows_off_the_grid(spark):
+    ticks = spark.createDataFrame([("A", T0, 1.0, 1), ("A", T0 + timedelta(minutes=9, seconds=10), 2.0, 2)], "symbol string, event_timestamp timestamp_ntz, price double, event_id long")
+    windows = spark.createDataFrame([("A", T0 + timedelta(minutes=9, seconds=30), 5.0)], "symbol string, window_end timestamp_ntz, vwap double")
+    assert [r.close for r in pair_asof(windows, ticks).collect()] == [2.0]
+    with pytest.raises(Exception, match="off the grid"):
+        pair_asof(windows, ticks, slide="1 minute").collect()
+    whole = windows.withColumns({"window_start": F.col("window_end"), "window_end": F.col("window_end")})
+    with pytest.raises(Exception, match="off the grid"):
+        vwap_arrivals(whole, grid="1 minute").collect()
+
+
+def test_distinct_quotes_keep_the_same_ends(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("AB"), T0 + timedelta(seconds=rng.randint(0, 600)), 1.0 * i, i - 50) for i in range(200)]
+    ticks = spark.createDataFrame(rows, "symbol string, at timestamp_ntz, price double, id long")
+    quotes = quote_messages(ticks, "at", "price", "id")
+    plain, keyed = (sorted(map(str, compact_quotes(quotes, distinct=d).collect())) for d in (False, True))
+    assert plain == keyed
+    windows = spark.createDataFrame([(s, T0 + timedelta(minutes=m), 1.0) for s in "AB" for m in range(12)], "symbol string, window_end timestamp_ntz, vwap double")
+    named = {"time": "at", "order": "id"}
+    assert sorted(map(str, pair_asof(windows, ticks, **named).collect())) == sorted(map(str, pair_asof(windows, ticks, slide="1 minute", **named).collect()))

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators.bars import last_n_bars
 from tickloom.operators.blocks import with_blocks, with_pieces
 from tickloom.operators.indicators import with_indicators
 from tickloom.plans.queries import QUERIES
@@ -117,3 +118,20 @@ def test_results_do_not_depend_on_broadcasting(spark, sf_dir, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     keys = list(want.columns)
     assert got.sort_values(keys).reset_index(drop=True).equals(want.sort_values(keys).reset_index(drop=True))
+
+
+@pytest.mark.parametrize("name", ["bars_1m", "bars_1h", "bars_monthly", "bars_rollup", "bar_history", "pair_asof"])
+def test_order_keys_keep_hash_aggregates(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_no_number_of_bars_gathers_a_symbol_in_one_task(spark, sf_dir):
+    """Rows are only ranked within a symbol's stretch of time, whatever n is."""
+    bars = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderpriority").alias("symbol"), F.col("o_orderdate").alias("datetime"), F.col("o_totalprice").alias("close")
+    )
+    for n in (1, 1000, 1001, 10**6):
+        text = plan(last_n_bars(bars, n))
+        ranks = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)\)", text)
+        assert ranks and all("_grain" in r for r in ranks)

@@ -87,6 +87,27 @@ def test_catalog_follows_the_files(spark, bars, tmp_path, caplog):
     table = catalog.scan_table(spark, "tests", "follow")
     assert "trades" in table.columns and "volume" not in table.columns
     assert "volume" in caplog.text and table.count() == 4
+    assert {r.trades for r in table.collect()} == {3}
+    files.write_csv_by_year(bars.drop("volume").withColumns({"trades": F.lit(3), "extra": F.lit("x")}), path)
+    catalog.register_table(spark, "tests", "follow", path)
+    rows = catalog.scan_table(spark, "tests", "follow").collect()
+    assert len(rows) == 4 and {(r.trades, r.extra) for r in rows} == {(3, "x")}
+    assert [t.name for t in spark.catalog.listTables("tests") if t.name.startswith("follow")] == ["follow"]
+
+
+def test_landing_again_replaces_one_file(spark, tmp_path):
+    header = "datetime,symbol,open,high,low,close,volume\n"
+    line = "{}-06-01 01:00:00,X:A,1,2,0.5,{},10\n"
+    bronze = str(tmp_path / "bronze")
+    for name, year, close in (("a_2023", 2023, 1), ("b_2023", 2023, 2), ("a_2024", 2024, 3), ("a_2023", 2023, 4)):
+        (tmp_path / f"{name}.csv").write_text(header + line.format(year, close))
+        files.land_csv(spark, str(tmp_path / f"{name}.csv"), bronze)
+    rows = files.read_landed(spark, bronze).collect()
+    assert sorted((r.year, r.file, r.close) for r in rows) == [(2023, "a_2023.csv", 4.0), (2023, "b_2023.csv", 2.0), (2024, "a_2024.csv", 3.0)]
+    (tmp_path / "nameless.csv").write_text(header + line.format(2025, 5))
+    with pytest.raises(Exception, match="no year in the file name"):
+        files.land_csv(spark, str(tmp_path / "nameless.csv"), bronze)
+    assert files.read_landed(spark, bronze).count() == 3
 
 
 def test_catalog_parquet(spark, bars, tmp_path):

@@ -146,6 +146,19 @@ def test_newest_closed_window_per_trigger(spark, feed, tmp_path):
     assert [(r.batch_id, end(r), r.vwap) for r in rows] == [(0, 5, 10.0), (1, 6, 20.0), (2, 6, 22.5), (3, 6, 37.8)]
 
 
+def test_windows_that_close_after_their_last_refresh(spark, tmp_path):
+    """One tick a minute, the cut five seconds later, a restart before every file."""
+    feed = Feed(spark, str(tmp_path / "in"))
+    log = BatchTable(str(tmp_path / "newest"))
+    assert log.read(spark, stream_vwap(feed.ticks()).schema).count() == 0
+    for minute in range(5):
+        feed.add([(f"00:0{minute}:30.000", 10 + minute, 1)])
+        cut = T0 + timedelta(minutes=minute, seconds=35)
+        assert wait(publish_newest(feed.ticks(), str(tmp_path / "cp"), log.write, as_of=cut, trigger=AVAILABLE_NOW), 120)
+    rows = log.read(spark, stream_vwap(feed.ticks()).schema).orderBy("batch_id").collect()
+    assert [(end(r), r.vwap) for r in rows] == [(1, 10.0), (2, 10.5), (3, 11.0), (4, 11.5)]
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     log, rows = BatchTable(str(tmp_path / "t")), spark.createDataFrame([(1,)], "x long")
     log.write(rows, 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -63,6 +64,24 @@ def ntz(ts: Column | str) -> Column:
     return _col(ts).cast("timestamp_ntz")
 
 
+def order_key(ts: Column | str, seq: Column | str) -> Column:
+    """One fixed-width number that orders by time and then by a whole number.
+
+    A single decimal keeps ``min_by`` and ``max_by`` in hash aggregates, where a struct
+    would have every map task sort its rows. NULL without a time; a NULL number is 0.
+    """
+    micros = F.unix_micros(_col(ts).cast("timestamp")).cast("decimal(38,0)")
+    number = F.coalesce(_col(seq).cast("decimal(20,0)"), F.lit(0)) + F.lit(Decimal(2**63)).cast("decimal(20,0)")
+    return (micros * F.lit(Decimal(10**20)).cast("decimal(21,0)") + number).cast("decimal(38,0)")
+
+
+def on_grid(ts: Column, step: str) -> Column:
+    """``ts``, or an error where it is no multiple of ``step``."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    off = micros % (duration_seconds(step) * 1_000_000) != 0
+    return F.when(off, F.raise_error(F.concat(ts.cast("string"), F.lit(f" is off the grid of {step}")))).otherwise(ts)
+
+
 def localise(ts: Column | str, zone: str) -> Column:
     """UTC to the wall time of ``zone``, e.g. to reproduce locally stamped bars."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz(ts))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.text import format_symbol
 from tickloom.functions.times import bar_start
-from tickloom.operators.blocks import tail_grains
+from tickloom.operators.blocks import newest_rows
 from tickloom.schemas import BAR_COLUMNS, Interval, interval
 
 
@@ -51,19 +51,13 @@ def rollup_bars(bars: DataFrame, size: str | Interval) -> DataFrame:
 
 
 def last_n_bars(bars: DataFrame, n: int, size: str | Interval = "1D") -> DataFrame:
-    """The ``n`` most recent bars of each symbol.
+    """The ``n`` most recent bars of each symbol, by one plan for every ``n``.
 
-    Up to the optimizer's group-limit threshold Spark trims every partition to
-    ``n`` rows per symbol before the shuffle. Beyond it, whole time grains older
-    than the last ``n`` rows are dropped first, so a long series never meets in
-    one task.
+    Bars without a symbol or a time belong to no series and are left out. Bars are
+    ranked within stretches of time and by the counts of the newer stretches, so
+    neither a long series nor a large ``n`` meets in one task.
     """
-    spark = bars.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > limit:
-        bars = tail_grains(bars, "symbol", "datetime", interval(size).seconds, n)
-    newest = Window.partitionBy("symbol").orderBy(F.col("datetime").desc())
-    return bars.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
+    return newest_rows(bars, "symbol", "datetime", interval(size).seconds, n)
 
 
 def bar_history(

@@ -22,6 +22,11 @@ ROWS_PER_BLOCK = 3500
 ROWS_PER_PIECE = 250_000
 
 
+def in_a_series(df: DataFrame, key: str, time: str) -> DataFrame:
+    """Rows that have a key and a time; the others belong to no series."""
+    return df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+
+
 def grain_start(time: Column | str, seconds: int) -> Column:
     """Start of the grain holding ``time``."""
     return F.window(time, f"{seconds} seconds")["start"]
@@ -51,7 +56,9 @@ def with_blocks(
     A later block starting at row ``t`` needs it only if ``t - (s + n) < halo``,
     and then ``t div B <= (s + n + halo - 1) div B``: the copies below cover that
     for any grain size, so the bounds matter for balance and never for the result.
+    Rows without a key or a time are left out.
     """
+    df = in_a_series(df, key, time)
     seconds = bar_seconds * rows_per_grain
     before = Window.partitionBy(key).orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
     first_row = F.coalesce(F.sum("_n").over(before), F.lit(0))
@@ -70,19 +77,25 @@ def with_blocks(
     return blocks.withColumn("_halo", F.col("_block") != F.col("_own")).drop("_grain", "_own", "_last")
 
 
-def tail_grains(
+def newest_rows(
     df: DataFrame, key: str, time: str, bar_seconds: int, n: int, rows_per_grain: int = ROWS_PER_GRAIN
 ) -> DataFrame:
-    """Keep the newest grains of each key that together hold its last ``n`` rows."""
+    """The last ``n`` rows of each key; rows without a key or a time are left out.
+
+    A row's rank is the number of rows in newer grains and its place in its own.
+    """
     seconds = bar_seconds * rows_per_grain
     after = Window.partitionBy(key).orderBy(F.col("_grain").desc()).rowsBetween(Window.unboundedPreceding, -1)
     wanted = (
-        _grain_counts(df, key, time, seconds)
+        _grain_counts(in_a_series(df, key, time), key, time, seconds)
         .withColumn("_newer", F.coalesce(F.sum("_n").over(after), F.lit(0)))
         .filter(F.col("_newer") < n)
-        .select(key, "_grain")
+        .select(key, "_grain", "_newer")
     )
-    return df.withColumn("_grain", grain_start(time, seconds)).join(wanted, [key, "_grain"], "left_semi").drop("_grain")
+    placed = in_a_series(df, key, time).withColumn("_grain", grain_start(time, seconds)).join(wanted, [key, "_grain"])
+    newest = Window.partitionBy(key, "_grain").orderBy(F.col(time).desc())
+    rank = F.col("_newer") + F.row_number().over(newest)
+    return placed.withColumn("_rank", rank).filter(F.col("_rank") <= n).select(*df.columns)
 
 
 def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, seconds: int = 1) -> DataFrame:
@@ -91,8 +104,10 @@ def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, sec
     For rows without an interval that bounds them. Rows are counted per moment (a
     second), moments are added up to pieces, so a crowded hour falls into many pieces
     and a quiet year into one. The running count is taken within spans of an hour and
-    over the spans, so that no task orders all the moments of a key.
+    over the spans, so that no task orders all the moments of a key. Rows without a
+    key or a time are left out.
     """
+    df = in_a_series(df, key, time)
     rows = rows or ROWS_PER_PIECE
     moments = df.groupBy(key, grain_start(time, seconds).alias("_moment")).agg(F.count(F.lit(1)).alias("_n"))
     moments = moments.withColumn("_span", grain_start("_moment", seconds * 3600))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tickloom.operators.blocks import ROWS_PER_BLOCK, ROWS_PER_GRAIN, with_blocks
+from tickloom.operators.blocks import ROWS_PER_BLOCK, ROWS_PER_GRAIN, in_a_series, with_blocks
 from tickloom.schemas import Interval, interval
 
 # Sums joined per window step: a window step costs more than a lag column.
@@ -95,7 +95,8 @@ def _series(
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows and the window to compute over: whole series, or blocks when ``size`` bounds them."""
     if size is None:
-        return bars.withColumn("_halo", F.lit(False)), Window.partitionBy(key).orderBy(time)
+        whole = in_a_series(bars, key, time).withColumn("_halo", F.lit(False))
+        return whole, Window.partitionBy(key).orderBy(time)
     cut = with_blocks(bars, key, time, interval(size).seconds, halo, rows_per_grain, rows_per_block)
     return cut, Window.partitionBy(key, "_block").orderBy(time)
 
@@ -119,7 +120,8 @@ def with_indicators(
     each series in one task (rows not spaced by an interval).
 
     Average gain and loss are simple means over 14 rows; no loss gives RSI 100.
-    The SMA skips NULL closes, an EMA over a NULL is NULL.
+    The SMA skips NULL closes, an EMA over a NULL is NULL. Bars without a key or a
+    time belong to no series and are left out.
     """
     columns = bars.columns
     unknown = [n for n in names if n not in HALO]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.times import duration_seconds
+from tickloom.functions.times import duration_seconds, on_grid, order_key
 from tickloom.operators.blocks import with_pieces
 from tickloom.session import staged
 
@@ -21,6 +21,7 @@ Stage = Callable[[DataFrame], DataFrame]
 
 QUOTE, VWAP = 0, 1
 ARRIVAL_ORDER = ("arrival", "side", "seq")
+PAYLOAD = ("side", "value", "window_start", "window_end")
 MESSAGE_COLUMNS = ("symbol", *ARRIVAL_ORDER, "value", "window_start", "window_end")
 
 
@@ -40,7 +41,7 @@ def _with_grains(rows: DataFrame, time: str, grain: str | None) -> DataFrame:
 def pair_asof(
     windows: DataFrame,
     quotes: DataFrame,
-    slide: str | None = "1 minute",
+    slide: str | None = None,
     grain: str | None = None,
     *,
     time: str = "event_timestamp",
@@ -50,11 +51,14 @@ def pair_asof(
 ) -> DataFrame:
     """Give each window the last quote of its symbol with ``time < window_end``.
 
-    Window ends on the ``slide`` grid let quotes be cut down to the last one per
-    slide, map-side, before they meet the windows, and a grain is then 1500 slides.
-    ``slide=None`` is for ends off any grid: quotes stay as they are, and grains are
-    cut by row count. ``order`` decides between quotes of equal
-    time. Windows without an earlier quote are left out.
+    By default windows may end anywhere: quotes stay as they are, and grains are cut
+    by row count. Where all windows end on a grid, ``slide`` names it: quotes are then
+    cut down to the last one per slide, map-side, before they meet the windows, and a
+    grain is 1500 slides; a window that ends off the grid fails the query. ``order``, a
+    whole number that differs between quotes of equal time, decides between them and
+    keeps the cut in fixed-width hash aggregates; without it the larger price
+    counts. Windows without an earlier quote, and rows without symbol or time, are
+    left out.
 
     A quote sorts by its time, so "the last one so far" is a running maximum: within
     a grain by a window, over earlier grains by the carry table.
@@ -68,7 +72,14 @@ def pair_asof(
         rank = -1
         grain = grain or f"{1500 * (duration_seconds(slide) or 60)} seconds"
         step_end = F.window(time, slide)["end"].cast("timestamp_ntz")
-        quote_rows = quotes.groupBy("symbol", step_end.alias("_at")).agg(F.max(quote).alias("_quote"))
+        steps = quotes.filter(at.isNotNull()).groupBy("symbol", step_end.alias("_at"))
+        if order:
+            key = order_key(at, seq)
+            last = [F.max_by(c, key).alias(n) for c, n in ((at, "quote_time"), (seq, "seq"), (F.col(price), "close"))]
+            quote_rows = steps.agg(*last).select("symbol", "_at", F.struct("quote_time", "seq", "close").alias("_quote"))
+        else:
+            quote_rows = steps.agg(F.max(quote).alias("_quote"))
+        windows = windows.withColumn("window_end", on_grid(F.col("window_end"), slide))
     kept = [c for c in windows.columns if c != "symbol"]
     window_rows = windows.select(
         "symbol", F.col("window_end").alias("_at"), F.lit(0).alias("_rank"), F.struct(*kept).alias("_window")
@@ -82,10 +93,16 @@ def pair_asof(
         .withColumn("_last", F.max("_quote").over(so_far))
         .select("symbol", "_grain", "_window", "_last")
     )
+    ends = local.groupBy("symbol", "_grain")
+    if order:
+        key, parts = order_key(F.col("_last.quote_time"), F.col("_last.seq")), ("quote_time", "seq", "close")
+        ends = ends.agg(*(F.max_by(f"_last.{c}", key).alias(c) for c in parts))
+        tail = F.when(F.col("quote_time").isNotNull(), F.struct(*parts))
+        ends = ends.select("symbol", "_grain", tail.alias("_tail"))
+    else:
+        ends = ends.agg(F.max("_last").alias("_tail"))
     carry = (
-        local.groupBy("symbol", "_grain")
-        .agg(F.max("_last").alias("_tail"))
-        .select("symbol", "_grain", F.max("_tail").over(earlier).alias("_before"))
+        ends.select("symbol", "_grain", F.max("_tail").over(earlier).alias("_before"))
     )
     return (
         local.filter(F.col("_window").isNotNull())
@@ -114,8 +131,15 @@ def quote_messages(
     )
 
 
-def vwap_arrivals(windows: DataFrame, time: str = "window_end", seq: str | None = None) -> DataFrame:
-    """Flat windows as VWAP messages; those lacking a value or a bound are skipped."""
+def vwap_arrivals(
+    windows: DataFrame, time: str = "window_end", seq: str | None = None, grid: str | None = None
+) -> DataFrame:
+    """Flat windows as VWAP messages; those lacking a value or a bound are skipped.
+
+    ``grid`` is what ``compact_quotes`` was given: an arrival off it fails the query.
+    """
+    if grid is not None:
+        windows = windows.withColumn(time, on_grid(F.col(time), grid))
     whole = F.col("vwap").isNotNull() & F.col("window_start").isNotNull() & F.col("window_end").isNotNull()
     return windows.filter(whole).select(
         "symbol",
@@ -128,19 +152,34 @@ def vwap_arrivals(windows: DataFrame, time: str = "window_end", seq: str | None
     )
 
 
-def compact_quotes(messages: DataFrame, grid: str = "1 minute") -> DataFrame:
+def compact_quotes(messages: DataFrame, grid: str = "1 minute", distinct: bool = False) -> DataFrame:
     """First and last quote per symbol and grid step; enough when VWAPs arrive on the grid.
 
+    Have ``vwap_arrivals(grid=)`` check that they do. ``distinct`` promises that no two
+    quotes of a symbol share time and ``seq``; the ends are then found by fixed-width
+    hash aggregates.
+
     Between two VWAP messages only the first quote can complete a pair and only
     the last one can be remembered, and a run of two tells the same as a longer
     one. A step holds the quotes after the previous grid point up to and including
     its own, since a quote arriving with a VWAP message is taken first.
     """
     step = F.window(F.col("arrival") - F.expr("interval 1 microsecond"), grid)["start"]
-    row = F.struct("arrival", "seq", "value")
-    ends = messages.groupBy("symbol", step.alias("_step")).agg(
-        F.min(row).alias("_first"), F.max(row).alias("_last"), F.count(F.lit(1)).alias("_n")
-    )
+    row, steps = F.struct("arrival", "seq", "value"), messages.groupBy("symbol", step.alias("_step"))
+    if distinct:
+        key, parts = order_key(F.col("arrival"), F.col("seq")), ("arrival", "seq", "value")
+        ends = steps.agg(
+            *(F.min_by(c, key).alias(f"a_{c}") for c in parts),
+            *(F.max_by(c, key).alias(f"b_{c}") for c in parts),
+            F.count(F.lit(1)).alias("_n"),
+        ).select(
+            "symbol",
+            F.struct(*(F.col(f"a_{c}").alias(c) for c in parts)).alias("_first"),
+            F.struct(*(F.col(f"b_{c}").alias(c) for c in parts)).alias("_last"),
+            "_n",
+        )
+    else:
+        ends = steps.agg(F.min(row).alias("_first"), F.max(row).alias("_last"), F.count(F.lit(1)).alias("_n"))
     kept = F.when(F.col("_n") == 1, F.array("_first")).otherwise(F.array("_first", "_last"))
     return ends.select("symbol", F.explode(kept).alias("m")).select(
         "symbol",
@@ -170,7 +209,7 @@ def fold_arrivals(messages: DataFrame, grain: str | None = None, stage: Stage =
     grains = Window.partitionBy("symbol").orderBy("_grain")
     earlier = grains.rowsBetween(Window.unboundedPreceding, -1)
 
-    payload = F.struct("side", "value", "window_start", "window_end")
+    payload = F.struct(*PAYLOAD)
     unchanged = F.when((F.col("_i") > 1) & (F.col("_prev.side") == F.col("side")), F.col("_i"))
     local = stage(
         _with_grains(messages.select(*MESSAGE_COLUMNS), "arrival", grain)
@@ -184,9 +223,10 @@ def fold_arrivals(messages: DataFrame, grain: str | None = None, stage: Stage =
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min_by("side", "_i").alias("_first_side"),
-            F.max_by(payload, "_i").alias("_tail"),
+            *(F.max_by(c, "_i").alias(c) for c in PAYLOAD),
             F.max("_unchanged").alias("_unchanged_at"),
         )
+        .withColumn("_tail", payload)
         .withColumns({"_before": F.lag("_tail").over(grains), "_offset": F.coalesce(F.sum("_n").over(earlier), F.lit(0))})
         .withColumn("_start", F.when(starts, F.lit(1)))
         .withColumn("_reset", F.col("_offset") + F.coalesce("_unchanged_at", "_start"))

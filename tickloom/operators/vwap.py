@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -94,12 +95,14 @@ def latest_closed(windows: DataFrame, as_of: datetime | Column | None = None) ->
     )
 
 
-def vwap_messages(windows: DataFrame, calculation_time: bool = True, volume_sum: bool = True) -> DataFrame:
-    """Flat windows to ``key, value`` messages."""
+def vwap_messages(
+    windows: DataFrame, calculation_time: bool = True, volume_sum: bool = True, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Flat windows to ``key, value`` messages; ``extra`` columns stay beside them."""
     fields = ["window_start", "window_end", "symbol", "vwap"]
     columns = [F.col(f) for f in fields]
     if calculation_time:
         columns.insert(0, F.col("window_end").alias("calculation_time"))
     if volume_sum:
         columns.append(F.col("volume_sum"))
-    return windows.select(F.col("symbol").cast("string").alias("key"), F.to_json(F.struct(*columns)).alias("value"))
+    return windows.select(F.col("symbol").cast("string").alias("key"), F.to_json(F.struct(*columns)).alias("value"), *extra)

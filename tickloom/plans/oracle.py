@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-
-
-def _settled(value: str, places: int = 3) -> str:
-    """Rounding with exact ties lifted clear of summation noise, as the Spark side does."""
-    return f"round({value} + 1e-{places + 3}, {places})"
+_SMA = "round(sma + 1e-9, 6)"  # exact ties lifted clear of summation noise, as the Spark side does
 
 
 _TICKS = """
@@ -28,7 +24,7 @@ spread AS (
 windows AS (
   SELECT symbol, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
          round(sum(price_x_volume), 4) AS weighted_price_sum, sum(volume) AS volume_sum,
-         {_settled("sum(price_x_volume) / sum(volume)", 8)} AS vwap
+         round(sum(price_x_volume) / sum(volume), 8) AS vwap
   FROM spread GROUP BY symbol, window_start HAVING sum(volume) > 0)"""
 
 _CANDLES = """
@@ -79,8 +75,8 @@ _GOLD = _SERIES + _ema("e50", 50, 300) + _ema("e12", 12, 200) + _ema("e26", 26,
 _EMAS = "JOIN e12 USING (symbol, rn) JOIN e26 USING (symbol, rn)"
 _GOLD_ROWS = f"""
 SELECT datetime, symbol, open, high, low, close, volume, CAST(year(datetime) AS INTEGER) AS year,
-       {_settled("sma")} AS "SMA_200", {_settled("e50.value")} AS "EMA_50", {_settled("rsi")} AS "RSI_14",
-       {_settled("e12.value - e26.value")} AS "MACD"
+       {_SMA} AS "SMA_200", round(e50.value, 4) AS "EMA_50", round(rsi, 8) AS "RSI_14",
+       round(e12.value - e26.value, 4) AS "MACD"
 FROM simple JOIN e50 USING (symbol, rn) {_EMAS}"""
 
 _PAIRS = _WINDOWS + """,
@@ -141,19 +137,48 @@ def _closed_windows(delay: str) -> str:
 WHERE window_end <= (SELECT max(event_timestamp) FROM ticks) - INTERVAL {delay}"""
 
 
+def _last_of_known(n: int) -> str:
+    return f"""WITH {_BARS} {_BAR_ROWS} WHERE day(datetime) NOT IN (13, 17)
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= {n}"""
+
+
+_EMA_50 = f"""WITH {_SERIES}{_ema("e50", 50, 300)}
+SELECT symbol, datetime, close, round(e50.value, 4) AS "EMA_50" FROM simple JOIN e50 USING (symbol, rn)"""
+
+_CLEAN_CANDLES = f"""WITH {_CANDLES}
+SELECT symbol, price, volume, event_timestamp, price * volume AS price_x_volume FROM candles WHERE volume > 0"""
+
+_PUBLISHED = """
+SELECT symbol AS key,
+       '{"symbol":"' || symbol || '","@timestamp":"' || strftime(closed_at, '%Y-%m-%dT%H:%M:%S.%fZ')
+       || '","close":"' || CAST(price AS VARCHAR) || '","volume":"' || CAST(volume AS VARCHAR) || '"}' AS value
+FROM (SELECT event_type AS symbol, value AS price, date_trunc('milliseconds', ts) AS closed_at,
+             CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume FROM events)
+WHERE volume % 2 = 0"""
+
+_TOPIC_PAIRS = _PAIRS.replace("  FROM ticks\n  UNION ALL", "  FROM raw WHERE price IS NOT NULL AND event_id % 7 <> 0\n  UNION ALL", 1).replace(
+    "SELECT symbol, window_end, 1, 0, vwap, window_start, window_end FROM windows)",
+    "SELECT symbol, window_end, 1, 0, vwap, window_start, window_end FROM windows WHERE minute(window_end) % 5 NOT IN (0, 1))",
+    1,
+)
+
+# the newest closed window of each symbol; the silent one's is the last of the first quarter
+_SPARSE = f"""WITH span AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events), {_TICKS.replace(
+    "FROM events)", "FROM events WHERE event_type <> 'purchase' OR ts < (SELECT lo + (hi - lo) / 4 FROM span))", 1
+)}{_WINDOWS.removeprefix(_TICKS)} {_WINDOW_ROWS} WHERE window_end <= (SELECT hi FROM span)
+QUALIFY rank() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1"""
+
+
 ORACLE: dict[str, str] = {
     "ticks": f"WITH {_TICKS} SELECT * FROM ticks",
     "symbol_filter": f"WITH {_TICKS} SELECT * FROM ticks WHERE symbol = 'purchase'",
-    "normalise_candles": f"""WITH {_CANDLES}
-SELECT symbol, price, volume, event_timestamp, price * volume AS price_x_volume FROM candles WHERE volume > 0""",
+    "normalise_candles": _CLEAN_CANDLES,
     "closed_candles": f"""WITH {_CANDLES}
 SELECT symbol, price, volume, event_timestamp, price * volume AS price_x_volume FROM candles
 WHERE volume > 0 AND (form <> 1 OR volume % 2 = 0)""",
-    "publish_candles": f"""WITH {_CANDLES}
-SELECT symbol AS key,
-       '{{"symbol":"' || symbol || '","@timestamp":"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')
-       || '","close":"' || CAST(price AS VARCHAR) || '","volume":"' || CAST(volume AS VARCHAR) || '"}}' AS value
-FROM candles WHERE form = 1 AND volume % 2 = 0""",
+    "publish_candles": _PUBLISHED,
+    "topic_roundtrip": _PUBLISHED,
+    "topic_stream": _CLEAN_CANDLES,
     "parse_times": """
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts) END AS parsed FROM events""",
     "epoch_iso": """
@@ -172,7 +197,7 @@ SELECT p_partkey, p_brand || p_partkey AS symbol, p_name AS description, p_type
     "vwap_sliding": f"WITH {_WINDOWS} {_WINDOW_ROWS}",
     "vwap_plain": f"""WITH {_TICKS}
 SELECT symbol, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
-       {_settled("sum(price * volume) / nullif(sum(volume), 0)", 8)} AS vwap
+       round(sum(price * volume) / nullif(sum(volume), 0), 8) AS vwap
 FROM (SELECT *, date_trunc('minute', event_timestamp) - i * INTERVAL 1 MINUTE AS window_start
       FROM raw, range(5) AS r(i))
 GROUP BY symbol, window_start""",
@@ -186,6 +211,12 @@ SELECT symbol AS key,
 FROM windows""",
     "vwap_latest_closed": _LATEST,
     "bars_1m": _tick_bars("minute"),
+    "bars_3m": _tick_bars(minutes=3),
+    "bars_5m": _tick_bars(minutes=5),
+    "bars_15m": _tick_bars(minutes=15),
+    "bars_30m": _tick_bars(minutes=30),
+    "bars_2h": _tick_bars(minutes=120),
+    "bars_3h": _tick_bars(minutes=180),
     "bars_45m": _tick_bars(minutes=45),
     "bars_1h": _tick_bars("hour"),
     "bars_4h": _tick_bars(minutes=240),
@@ -196,6 +227,8 @@ FROM windows""",
     "daily_bars": f"WITH {_BARS} {_BAR_ROWS}",
     "last_n_bars": f"""WITH {_BARS} {_BAR_ROWS}
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 1460""",
+    "last_n_bars_1000": _last_of_known(1000),
+    "last_n_bars_1001": _last_of_known(1001),
     "bar_history": f"""WITH {_TICKS}
 SELECT date_trunc('hour', event_timestamp)::TIMESTAMP AS datetime, 'EVT:' || symbol AS symbol,
        arg_min(price, (event_timestamp, event_id)) AS open, max(price) AS high, min(price) AS low,
@@ -205,19 +238,23 @@ QUALIFY row_number() OVER (ORDER BY datetime DESC) <= 200""",
     "returns": f"""WITH {_SERIES}
 SELECT symbol, datetime, close, round(prev_close, 2) AS prev_close, round(delta, 2) AS delta,
        round(gain, 2) AS gain, round(loss, 2) AS loss FROM moves""",
-    "sma_200": f"""WITH {_SERIES} SELECT symbol, datetime, close, {_settled("sma")} AS "SMA_200" FROM simple""",
-    "rsi_14": f"""WITH {_SERIES} SELECT symbol, datetime, close, {_settled("rsi")} AS "RSI_14" FROM simple""",
-    "ema_50": f"""WITH {_SERIES}{_ema("e50", 50, 300)}
-SELECT symbol, datetime, close, {_settled("e50.value")} AS "EMA_50" FROM simple JOIN e50 USING (symbol, rn)""",
+    "sma_200": f"""WITH {_SERIES} SELECT symbol, datetime, close, {_SMA} AS "SMA_200" FROM simple""",
+    "rsi_14": f"""WITH {_SERIES} SELECT symbol, datetime, close, round(rsi, 8) AS "RSI_14" FROM simple""",
+    "ema_50": _EMA_50,
+    "ema_from_history": _EMA_50,
     "macd": f"""WITH {_SERIES}{_ema("e12", 12, 200)}{_ema("e26", 26, 300)}
-SELECT symbol, datetime, close, {_settled("e12.value")} AS "EMA_12", {_settled("e26.value")} AS "EMA_26",
-       {_settled("e12.value - e26.value")} AS "MACD"
+SELECT symbol, datetime, close, round(e12.value, 5) AS "EMA_12", round(e26.value, 4) AS "EMA_26",
+       round(e12.value - e26.value, 4) AS "MACD"
 FROM simple {_EMAS}""",
     "indicators": f"WITH {_GOLD} {_GOLD_ROWS}",
     "pair_asof": f"""WITH {_WINDOWS}
 SELECT w.symbol, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
 FROM windows w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp""",
+    "pair_asof_offgrid": f"""WITH {_WINDOWS}, late AS (SELECT symbol, window_end + INTERVAL 30 SECOND AS window_end, vwap FROM windows)
+SELECT w.symbol, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
+FROM late w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp""",
     "pair_latest": f"WITH {_PAIRS} SELECT * FROM pairs",
+    "pair_topics": f"WITH {_TOPIC_PAIRS} SELECT * FROM pairs",
     "measures_long": _MEASURES,
     "measures_latest": f"""WITH {_TICKS}
 SELECT symbol, 'close' AS measure_name, arg_max(price, (event_timestamp, price)) AS measure_value,
@@ -226,11 +263,14 @@ FROM ticks GROUP BY symbol, date_trunc('hour', event_timestamp)""",
     "csv_roundtrip": f"WITH {_BARS} {_BAR_YEAR_ROWS}",
     "silver_roundtrip": f"WITH {_BARS} {_BAR_ROWS}",
     "gold_roundtrip": f"WITH {_GOLD} {_GOLD_ROWS}",
+    "gold_text_times": f"""WITH {_GOLD.replace("GROUP BY 1, 2)", "WHERE day(o_orderdate) <> 13 GROUP BY 1, 2)", 1)} {_GOLD_ROWS}""",
+    "land_csv": f"WITH {_BARS} {_BAR_YEAR_ROWS}",
     "catalog_scan": f"WITH {_BARS} {_BAR_YEAR_ROWS}",
     "vwap_stream_append": _closed_windows("2 MINUTE"),
     "vwap_stream_append0": _closed_windows("0 SECOND"),
     "vwap_stream_update": f"WITH {_WINDOWS} {_WINDOW_ROWS}",
     "vwap_stream_latest": _LATEST,
+    "vwap_stream_sparse": _SPARSE,
     "vwap_stream_late": _closed_windows("2 MINUTE"),
     "vwap_stream_json": f"""WITH {_CANDLES},
 closed AS (SELECT * FROM candles WHERE volume > 0 AND (form <> 1 OR volume % 2 = 0)),
@@ -239,7 +279,7 @@ windows AS (
          sum(price * volume) AS pv, sum(volume) AS volume_sum
   FROM closed, range(5) AS r(i) GROUP BY 1, 2)
 SELECT symbol AS key, window_start + INTERVAL 5 MINUTE AS calculation_time, window_start,
-       window_start + INTERVAL 5 MINUTE AS window_end, symbol, {_settled("pv / volume_sum", 8)} AS vwap, volume_sum
+       window_start + INTERVAL 5 MINUTE AS window_end, symbol, round(pv / volume_sum, 8) AS vwap, volume_sum
 FROM windows
 WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(event_timestamp) FROM closed) - INTERVAL 2 MINUTE""",
     "measures_store": _MEASURES,

@@ -4,24 +4,26 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tickloom.functions.text import format_symbol, search_hits
-from tickloom.functions.times import iso_to_millis, millis_to_iso, ntz, parse_candle_time
+from tickloom.functions.times import iso_to_millis, millis_to_iso, ntz, order_key, parse_candle_time
 from tickloom.operators.bars import bar_history, last_n_bars, ohlcv, rollup_bars
+from tickloom.operators.blocks import with_blocks
 from tickloom.operators.candles import normalise_candles, only_symbols, publish_candles
-from tickloom.operators.indicators import with_indicators
+from tickloom.operators.indicators import EMA_ROWS, ema_of_array, ordered_history, with_indicators
 from tickloom.operators.measures import flat_dimensions, latest_measures, measures_long
 from tickloom.operators.pairing import compact_quotes, pair_asof, pair_latest, quote_messages, vwap_arrivals
 from tickloom.operators.vwap import flat_windows, latest_closed, vwap, vwap_messages
 from tickloom.plans import views
-from tickloom.plans.medallion import bronze_to_silver, silver_to_gold
+from tickloom.plans.medallion import bronze_to_silver, gold, silver_to_gold
 from tickloom.schemas import BAR, BAR_COLUMNS, VWAP_MESSAGE
 from tickloom.session import scratch, staged, use_rocksdb
 from tickloom.sources import catalog, files
 from tickloom.sources.payloads import bars_to_payload, payload_to_bars
+from tickloom.sources.topics import as_text, read_topic, stream_topic, write_topic
 from tickloom.streaming import pair_jobs
 from tickloom.streaming.runners import AVAILABLE_NOW, BatchTable, newest_per_key, start_batches
 from tickloom.streaming.vwap_jobs import publish_newest, publish_vwap, stream_vwap
@@ -36,15 +38,18 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
-def _settled(df: DataFrame, *names: str, places: int = 3) -> DataFrame:
-    """Round computed means for comparison.
+PLACES = {"EMA_50": 4, "EMA_12": 5, "EMA_26": 4, "MACD": 4, "RSI_14": 8, "SMA_200": 6}
+
+
+def _shown(df: DataFrame, *names: str) -> DataFrame:
+    """Round computed indicators for comparison.
 
     A mean of two-decimal prices can lie exactly between two roundings, where the
-    order of summation would decide; the lift, far above that noise and far below
-    the last place, decides such ties alike everywhere.
+    order of summation would decide; for the SMA a lift, far above that noise and far
+    below the last place, decides such ties alike on both sides.
     """
-    lift = 10.0 ** -(places + 3)
-    return df.withColumns({n: F.round(F.col(n) + lift, places) for n in names})
+    lift = {"SMA_200": 1e-9}
+    return df.withColumns({n: F.round(F.col(n) + lift.get(n, 0.0), PLACES[n]) for n in names})
 
 
 # -- ticks and candles -----------------------------------------------------
@@ -69,7 +74,7 @@ def q_closed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_publish_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish_candles(views.candle_topic(views.table(spark, sf_dir, "events")))
+    return publish_candles(views.candle_topic(views.table(spark, sf_dir, "events"), only=1))
 
 
 # -- scalar functions ------------------------------------------------------
@@ -127,14 +132,14 @@ def q_payload_to_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bars(size: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return ohlcv(views.ticks(spark, sf_dir), size, order=F.struct("event_timestamp", "event_id"))
+        return ohlcv(views.ticks(spark, sf_dir), size, order=order_key("event_timestamp", "event_id"))
 
     return query
 
 
 def q_bars_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly bars from daily ones."""
-    daily = ohlcv(views.ticks(spark, sf_dir), "1D", order=F.struct("event_timestamp", "event_id"))
+    daily = ohlcv(views.ticks(spark, sf_dir), "1D", order=order_key("event_timestamp", "event_id"))
     return rollup_bars(daily, "1M")
 
 
@@ -146,10 +151,26 @@ def q_last_n_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_n_bars(staged(views.daily_bars(spark, sf_dir)), 1460, "1D")
 
 
+def _last_n_of_known(n: int) -> Query:
+    """Some bars lack their symbol, some their time; they belong to no series."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bars, day = views.daily_bars(spark, sf_dir), F.dayofmonth("datetime")
+        bars = bars.withColumns(
+            {
+                "symbol": F.when(day != 13, F.col("symbol")),
+                "datetime": F.when(day != 17, F.col("datetime")),
+            }
+        )
+        return last_n_bars(staged(bars), n, "1D")
+
+    return query
+
+
 def q_bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 200 hourly bars of one instrument, its name put together like a user's request."""
     ticks = views.ticks(spark, sf_dir).withColumn("symbol", F.concat(F.lit("EVT:"), F.col("symbol")))
-    return bar_history(ticks, "purchase", "EVT", "1H", 200, order=F.struct("event_timestamp", "event_id"))
+    return bar_history(ticks, "purchase", "EVT", "1H", 200, order=order_key("event_timestamp", "event_id"))
 
 
 # -- indicators ------------------------------------------------------------
@@ -158,7 +179,7 @@ def q_bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _indicators(*names: str, keep: tuple[str, ...] = ("symbol", "datetime", "close")) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bars = staged(views.daily_bars(spark, sf_dir).select(*keep))
-        return _settled(with_indicators(bars, names), *names)
+        return _shown(with_indicators(bars, names), *names)
 
     return query
 
@@ -170,19 +191,27 @@ def q_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(with_indicators(staged(views.bars_with_year(views.daily_bars(spark, sf_dir)))), *GOLD_COLUMNS)
+    return _shown(with_indicators(staged(views.bars_with_year(views.daily_bars(spark, sf_dir)))), *GOLD_COLUMNS)
+
+
+def q_ema_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EMA_50 folded over arrays of up to 300 closes, block by block."""
+    bars = staged(views.daily_bars(spark, sf_dir).select("symbol", "datetime", "close"))
+    cut = with_blocks(bars, "symbol", "datetime", 86400, EMA_ROWS[50] - 1)
+    frame = Window.partitionBy("symbol", "_block").orderBy("datetime").rowsBetween(1 - EMA_ROWS[50], 0)
+    folded = cut.withColumn("EMA_50", ema_of_array(ordered_history("close", "datetime", frame), 50))
+    return _shown(folded.filter(~F.col("_halo")).select("symbol", "datetime", "close", "EMA_50"), "EMA_50")
 
 
 # -- VWAP ------------------------------------------------------------------
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_windows(flat_windows(vwap(views.ticks(spark, sf_dir), round_to=None)))
+    return _show_windows(flat_windows(vwap(views.ticks(spark, sf_dir))))
 
 
 def _show_windows(windows: DataFrame) -> DataFrame:
-    """Windows computed unrounded, rounded here (see ``_settled``)."""
-    return _settled(_rounded(windows.select(*WINDOW_COLUMNS), 4, "weighted_price_sum"), "vwap", places=8)
+    return _rounded(windows.select(*WINDOW_COLUMNS), 4, "weighted_price_sum")
 
 
 def q_vwap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,11 +219,11 @@ def q_vwap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_vwap_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No volume filter, not rounded by the operator (rounded here to compare)."""
+    """No volume filter, not rounded by the operator but here, to compare."""
     raw = views.raw_ticks(views.table(spark, sf_dir, "events"))
     raw = raw.withColumn("price_x_volume", F.col("price") * F.col("volume"))
     windows = flat_windows(vwap(raw, positive_volume=False, round_to=None))
-    return _settled(windows.select("symbol", "window_start", "window_end", "vwap"), "vwap", places=8)
+    return _rounded(windows.select("symbol", "window_start", "window_end", "vwap"), 8, "vwap")
 
 
 def q_vwap_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +238,7 @@ def q_vwap_latest_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As of the newest event; later ticks cannot be in a window closed by then."""
     as_of = _newest_event(spark, sf_dir)
     ticks = views.ticks(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(as_of).cast("timestamp_ntz"))
-    return _show_windows(latest_closed(flat_windows(vwap(ticks, round_to=None)), as_of))
+    return _show_windows(latest_closed(flat_windows(vwap(ticks)), as_of))
 
 
 # -- pairing and measures --------------------------------------------------
@@ -217,15 +246,46 @@ def q_vwap_latest_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = views.ticks(spark, sf_dir)
-    quotes = compact_quotes(quote_messages(ticks, seq="event_id"))
-    return pair_latest(quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir))), grain="1 day")
+    quotes = compact_quotes(quote_messages(ticks, seq="event_id"), distinct=True)
+    return pair_latest(quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir), grid="1 minute")), grain="1 day")
 
 
 def q_pair_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = _windows(spark, sf_dir).select("symbol", "window_end", "vwap")
+    return pair_asof(windows, views.ticks(spark, sf_dir), slide="1 minute", order="event_id")
+
+
+def q_pair_asof_offgrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that end half a minute off the grid."""
+    windows = _windows(spark, sf_dir).select("symbol", "window_end", "vwap")
+    windows = windows.withColumn("window_end", F.col("window_end") + F.expr("interval 30 seconds"))
     return pair_asof(windows, views.ticks(spark, sf_dir), order="event_id")
 
 
+def q_pair_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs from two topics; some messages lack a price, a bound or a value and are skipped."""
+    rows = views.candle_topic(views.table(spark, sf_dir, "events"))
+    empty = F.col("offset") % 7 == 0
+    rows = rows.withColumn("value", F.when(empty, F.lit("{}").cast("binary")).otherwise(F.col("value")))
+    windows = _windows(spark, sf_dir)
+    lacking = F.minute("window_end") % 5
+    messages = vwap_messages(
+        windows.withColumns(
+            {
+                "window_start": F.when(lacking == 0, None).otherwise(F.col("window_start")),
+                "vwap": F.when(lacking == 1, None).otherwise(F.col("vwap")),
+                "at": F.col("window_end").cast("timestamp"),
+            }
+        ),
+        extra=("at",),
+    )
+    vwaps = messages.select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.col("at").alias("timestamp"), F.lit(0).alias("offset")
+    )
+    quotes = pair_jobs.quotes_from_topic(rows)
+    return pair_latest(quotes.unionByName(pair_jobs.vwaps_from_topic(vwaps)), grain="1 day")
+
+
 def q_pair_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir)
 
@@ -274,7 +334,24 @@ def q_gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_path, gold_path = scratch(spark, "silver"), scratch(spark, "gold")
     bronze_to_silver(views.bars_with_year(views.daily_bars(spark, sf_dir)), silver_path)
     silver_to_gold(spark, silver_path, gold_path)
-    return _settled(files.read_parquet(spark, gold_path), *GOLD_COLUMNS)
+    return _shown(files.read_parquet(spark, gold_path), *GOLD_COLUMNS)
+
+
+def q_gold_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text, those of the 13th of a month unreadable and left out."""
+    bars = views.bars_with_year(views.daily_bars(spark, sf_dir))
+    text = F.when(F.dayofmonth("datetime") == 13, "never").otherwise(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+    return _shown(gold(staged(bars.withColumn("datetime", text))), *GOLD_COLUMNS)
+
+
+def q_land_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly files landed in two calls, and the first year once more: every row once."""
+    by_year, named, landed = (scratch(spark, tag) for tag in ("csv", "named", "landed"))
+    files.write_csv_by_year(views.daily_bars(spark, sf_dir), by_year)
+    years = files.name_by_year(spark, by_year, named)
+    for pattern in (f"*_{years[0]}.csv", f"*_{{{','.join(years[1:])}}}.csv", f"*_{years[0]}.csv"):
+        files.land_csv(spark, f"{named}/{pattern}", landed)
+    return files.read_landed(spark, landed).drop("file")
 
 
 def q_catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,8 +359,11 @@ def q_catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_csv_by_year(views.daily_bars(spark, sf_dir), path)
     name = f"bars_{uuid.uuid4().hex}"
     catalog.register_table(spark, name, "bars", path, location=scratch(spark, "database"))
-    found = catalog.scan_table(spark, name, "bars")
-    return found.select(ntz("datetime").alias("datetime"), *BAR_COLUMNS[1:], "year")
+    try:
+        found = catalog.scan_table(spark, name, "bars")
+        return staged(found.select(ntz("datetime").alias("datetime"), *BAR_COLUMNS[1:], "year"))
+    finally:
+        spark.sql(f"DROP DATABASE `{name}` CASCADE")
 
 
 # -- streaming -------------------------------------------------------------
@@ -303,7 +383,7 @@ def _run_windows(spark: SparkSession, windows: DataFrame, mode: str) -> DataFram
 
 def _vwap_stream(watermark: str, mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        windows = stream_vwap(views.tick_stream(spark, sf_dir), watermark, round_to=None)
+        windows = stream_vwap(views.sliced_tick_stream(spark, sf_dir), watermark)
         return _show_windows(_run_windows(spark, windows, mode))
 
     return query
@@ -314,13 +394,51 @@ def q_vwap_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = _newest_event(spark, sf_dir)
     log = BatchTable(scratch(spark, "newest"))
     ticks = views.tick_stream(spark, sf_dir)
-    publish_newest(
-        ticks, scratch(spark, "checkpoint"), log.write, as_of=as_of, trigger=AVAILABLE_NOW, round_to=None
-    ).awaitTermination()
+    publish_newest(ticks, scratch(spark, "checkpoint"), log.write, as_of=as_of, trigger=AVAILABLE_NOW).awaitTermination()
     written = log.read(spark, stream_vwap(ticks).schema)
     return _show_windows(newest_per_key(written, ["symbol"]))
 
 
+def q_vwap_stream_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four micro-batches of a quarter each; one symbol falls silent after the first.
+
+    Its last window closes after its last refresh, and is published by a later batch.
+    """
+    use_rocksdb(spark)
+    events = views.table(spark, sf_dir, "events")
+    path, bounds = views.event_slices(spark, sf_dir)
+    silent = F.col("symbol") == "purchase"
+    last = events.filter((F.col("event_type") == "purchase") & (F.col("ts") < F.lit(bounds[1]).cast("timestamp_ntz"))).agg(F.max("ts")).first()[0]
+    ticks = views.stream_ticks(views.event_stream(spark, path, 1))
+    ticks = ticks.filter(~silent | (F.col("event_timestamp") < F.lit(bounds[1]).cast("timestamp_ntz").cast("timestamp")))
+    closing = [last + timedelta(seconds=1), *bounds[2:]]
+    log = BatchTable(scratch(spark, "newest"))
+    as_of = lambda batch_id: closing[min(batch_id, len(closing) - 1)]
+    publish_newest(ticks, scratch(spark, "checkpoint"), log.write, as_of=as_of, trigger=AVAILABLE_NOW).awaitTermination()
+    written = log.read(spark, stream_vwap(ticks).schema)
+    return _show_windows(newest_per_key(written, ["symbol"]))
+
+
+def q_topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed candles written to a topic (a folder stands for it) and read back between its bounds."""
+    topic = scratch(spark, "topic")
+    write_topic(publish_candles(views.candle_topic(views.table(spark, sf_dir, "events"), only=1)), topic, fmt="parquet")
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+    return as_text(read_topic(spark, topic, fmt="parquet", schema=schema))
+
+
+def q_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candle messages streamed from a topic, one file per trigger."""
+    path, _ = views.event_slices(spark, sf_dir)
+    topic, log = scratch(spark, "topic"), BatchTable(scratch(spark, "candles"))
+    events = spark.readStream.schema(views.EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = views.candle_topic(events).writeStream.format("parquet").option("checkpointLocation", scratch(spark, "checkpoint"))
+    rows.trigger(**AVAILABLE_NOW).start(topic).awaitTermination()
+    clean = normalise_candles(stream_topic(spark, topic, max_per_trigger=1, fmt="parquet"), closed_only=False)
+    start_batches(clean, log.write, scratch(spark, "checkpoint"), mode="append", trigger=AVAILABLE_NOW).awaitTermination()
+    return log.read(spark, clean.schema).drop("batch_id").withColumn("event_timestamp", ntz("event_timestamp"))
+
+
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     """The events and the middle of their time span (one row of two bounds)."""
     events = views.table(spark, sf_dir, "events")
@@ -337,7 +455,7 @@ def q_vwap_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (events.limit(0), events.filter(F.col("ts") < middle)):
         files.write_parquet(part, late, mode="append")
         arriving = views.event_stream(spark, views.events_path(sf_dir)).unionByName(views.event_stream(spark, late))
-        windows = stream_vwap(views.stream_ticks(arriving), "2 minutes", round_to=None)
+        windows = stream_vwap(views.stream_ticks(arriving), "2 minutes")
         start_batches(windows, log.write, checkpoint, mode="append", trigger=AVAILABLE_NOW).awaitTermination()
     return _show_windows(log.read(spark, windows.schema))
 
@@ -348,12 +466,10 @@ def q_vwap_stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "topic")
     events = views.event_stream(spark, views.events_path(sf_dir))
     ticks = normalise_candles(views.candle_topic(events))
-    publish_vwap(
-        ticks, out, scratch(spark, "checkpoint"), trigger=AVAILABLE_NOW, fmt="json", round_to=None
-    ).awaitTermination()
+    publish_vwap(ticks, out, scratch(spark, "checkpoint"), trigger=AVAILABLE_NOW, fmt="json").awaitTermination()
     message = F.from_json("value", VWAP_MESSAGE)
     written = spark.read.schema("key string, value string").json(out).select("key", message.alias("m"))
-    fields = written.select(
+    return written.select(
         "key",
         ntz(F.to_timestamp("m.calculation_time")).alias("calculation_time"),
         ntz(F.to_timestamp("m.window_start")).alias("window_start"),
@@ -362,14 +478,13 @@ def q_vwap_stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("m.vwap").cast("double").alias("vwap"),
         F.col("m.volume_sum").cast("double").alias("volume_sum"),
     )
-    return _settled(fields, "vwap", places=8)
 
 
 def _stream_pairs(spark: SparkSession, sf_dir: str, on_pairs: Callable[[DataFrame, int], None]) -> None:
     """Quotes and VWAP windows arriving in two steps; the slots survive the restart between them."""
     ticks = views.ticks(spark, sf_dir)
-    quotes = compact_quotes(quote_messages(ticks, seq="event_id"))
-    messages = staged(quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir))))
+    quotes = compact_quotes(quote_messages(ticks, seq="event_id"), distinct=True)
+    messages = staged(quotes.unionByName(vwap_arrivals(_windows(spark, sf_dir), grid="1 minute")))
     _, middle = _halves(spark, sf_dir)
     source, state, checkpoint = scratch(spark, "messages"), scratch(spark, "slots"), scratch(spark, "checkpoint")
     for part in (messages.filter(F.col("arrival") < middle), messages.filter(F.col("arrival") >= middle)):
@@ -409,8 +524,14 @@ QUERIES: dict[str, Query] = {
     "vwap_json": q_vwap_json,
     "vwap_latest_closed": q_vwap_latest_closed,
     "bars_1m": _bars("1"),
+    "bars_3m": _bars("3"),
+    "bars_5m": _bars("5"),
+    "bars_15m": _bars("15"),
+    "bars_30m": _bars("30"),
     "bars_45m": _bars("45"),
     "bars_1h": _bars("1H"),
+    "bars_2h": _bars("2H"),
+    "bars_3h": _bars("3H"),
     "bars_4h": _bars("4H"),
     "bars_daily": _bars("1D"),
     "bars_weekly": _bars("1W"),
@@ -418,25 +539,35 @@ QUERIES: dict[str, Query] = {
     "bars_rollup": q_bars_rollup,
     "daily_bars": q_daily_bars,
     "last_n_bars": q_last_n_bars,
+    "last_n_bars_1000": _last_n_of_known(1000),
+    "last_n_bars_1001": _last_n_of_known(1001),
     "bar_history": q_bar_history,
     "returns": q_returns,
     "sma_200": _indicators("SMA_200"),
     "rsi_14": _indicators("RSI_14"),
     "ema_50": _indicators("EMA_50"),
+    "ema_from_history": q_ema_from_history,
     "macd": _indicators("EMA_12", "EMA_26", "MACD"),
     "indicators": q_indicators,
     "pair_asof": q_pair_asof,
+    "pair_asof_offgrid": q_pair_asof_offgrid,
     "pair_latest": q_pair_latest,
+    "pair_topics": q_pair_topics,
     "measures_long": q_measures_long,
     "measures_latest": q_measures_latest,
     "csv_roundtrip": q_csv_roundtrip,
     "silver_roundtrip": q_silver_roundtrip,
     "gold_roundtrip": q_gold_roundtrip,
+    "gold_text_times": q_gold_text_times,
+    "land_csv": q_land_csv,
     "catalog_scan": q_catalog_scan,
+    "topic_roundtrip": q_topic_roundtrip,
+    "topic_stream": q_topic_stream,
     "vwap_stream_append": _vwap_stream("2 minutes", "append"),
     "vwap_stream_append0": _vwap_stream("0 seconds", "append"),
     "vwap_stream_update": _vwap_stream("5 minutes", "update"),
     "vwap_stream_latest": q_vwap_stream_latest,
+    "vwap_stream_sparse": q_vwap_stream_sparse,
     "vwap_stream_late": q_vwap_stream_late,
     "vwap_stream_json": q_vwap_stream_json,
     "pair_stream": q_pair_stream,

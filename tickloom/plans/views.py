@@ -5,12 +5,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.functions.numbers import to_double
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.candles import clean_ticks
 from tickloom.schemas import BAR_COLUMNS
+from tickloom.session import scratch
+
+ROWS_PER_SLICE = 5_000_000
 
 EVENTS = T.StructType(
     [
@@ -44,9 +49,34 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ticks(raw_ticks(table(spark, sf_dir, "events")))
 
 
-def event_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Events files read as a stream; all files there now make one micro-batch."""
-    return spark.readStream.schema(EVENTS).parquet(path)
+def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Events files read as a stream; without a limit all files there now make one micro-batch."""
+    reader = spark.readStream.schema(EVENTS)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
+def event_slices(spark: SparkSession, sf_dir: str) -> tuple[str, list[datetime]]:
+    """The events cut by time into at least four files, written oldest first, and the cuts' bounds.
+
+    A slice holds about ``ROWS_PER_SLICE`` rows at most, so one file each is no bottleneck.
+    """
+    events, path = table(spark, sf_dir, "events"), scratch(spark, "slices")
+    facts = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")).first()
+    parts = max(4, -(-facts.n // ROWS_PER_SLICE))
+    step = (facts.hi - facts.lo) / parts
+    bounds = [facts.lo + i * step for i in range(parts)] + [facts.hi + timedelta(microseconds=1)]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        at = F.col("ts")
+        part = events.filter((at >= F.lit(lo).cast("timestamp_ntz")) & (at < F.lit(hi).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path, bounds
+
+
+def sliced_tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks in several micro-batches, one slice of time each."""
+    return stream_ticks(event_stream(spark, event_slices(spark, sf_dir)[0], 1))
 
 
 def events_path(sf_dir: str) -> str:
@@ -71,8 +101,8 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ohlcv(orders, "1D", time="o_orderdate", price="o_totalprice", volume=F.lit(1.0), order="o_orderkey")
 
 
-def candle_topic(events: DataFrame) -> DataFrame:
-    """Events as topic rows in four message forms, by event id:
+def candle_topic(events: DataFrame, only: int | None = None) -> DataFrame:
+    """Events as topic rows in four message forms, by event id or all in the form ``only``:
 
     simplified with microseconds; raw kline (finished for even volumes); simplified
     with bare numbers and whole seconds; simplified with neither symbol nor time.
@@ -96,7 +126,7 @@ def candle_topic(events: DataFrame) -> DataFrame:
         F.struct("symbol", seconds, F.col("price").alias("close"), "volume"),
         F.struct(price.alias("close"), volume.alias("volume")),
     ]
-    form = F.col("event_id") % 4
+    form = F.col("event_id") % 4 if only is None else F.lit(only)
     value = F.when(form == 0, F.to_json(forms[0]))
     for i, shape in enumerate(forms[1:], 1):
         value = value.when(form == i, F.to_json(shape))

@@ -85,7 +85,11 @@ class BatchTable:
         writer.parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """All batches; an empty table where none was written yet."""
         with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return spark.createDataFrame([], with_batch)
         return spark.read.schema(with_batch).parquet(self.path)
 
 

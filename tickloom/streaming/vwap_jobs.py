@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.vwap import flat_windows, latest_closed, vwap, vwap_messages
@@ -48,14 +48,23 @@ def publish_newest(
     topic: str | None = None,
     options: Mapping[str, str] | None = None,
     watermark: str = "5 minutes",
-    as_of: datetime | Column | None = None,
+    as_of: datetime | Column | Callable[[int], datetime | Column] | None = None,
+    state: str | None = None,
     trigger: Mapping | None = EVERY_MINUTE,
     **settings,
 ) -> StreamingQuery:
-    """Per trigger, publish each symbol's newest window that has ended by ``as_of`` (now).
-
-    ``send`` gets the windows and the batch id; without it they go to ``topic``.
+    """Per micro-batch, publish each symbol's newest window that has ended by ``as_of`` (now).
+
+    ``send`` gets the windows and the batch id; without it they go to ``topic``. ``as_of``
+    may depend on the batch id. A window that is still open at its last refresh is
+    remembered, with each symbol's last published one, and is published by the first
+    batch after its end; a window older than what was published is not. The memory lies in
+    two folders below ``state`` (default: beside the checkpoint) used in turn, so it
+    survives restarts, and a repeated batch publishes the same.
     """
+    state = state or f"{checkpoint.rstrip('/')}-newest"
+    flat = stream_vwap(ticks, watermark, **settings)
+    memory = T.StructType([*flat.schema.fields, T.StructField("_fresh", T.BooleanType())])
 
     def to_topic(windows: DataFrame, batch_id: int) -> None:
         write_topic(vwap_messages(windows, calculation_time=False, volume_sum=False), topic, options)
@@ -63,11 +72,28 @@ def publish_newest(
     deliver = send or to_topic
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_closed(batch, as_of).persist()
+        rows = batch.withColumns({"_fresh": F.lit(True), "_refreshed": F.lit(1)})
+        if batch_id > 0:
+            kept = batch.sparkSession.read.schema(memory).parquet(f"{state}/slot={(batch_id - 1) % 2}")
+            rows = rows.unionByName(kept.withColumn("_refreshed", F.lit(0)))
+        rest = [c for c in rows.columns if c not in ("symbol", "window_end", "_refreshed")]
+        rows = rows.groupBy("symbol", "window_end").agg(*(F.max_by(c, "_refreshed").alias(c) for c in rest)).persist()
+        by = _moment(as_of(batch_id) if callable(as_of) else as_of)
+        newest = latest_closed(rows, by).persist()
         try:
-            if not newest.isEmpty():
-                deliver(newest, batch_id)
+            fresh = newest.filter("_fresh").select(*batch.columns)
+            if not fresh.isEmpty():
+                deliver(fresh, batch_id)
+            done = newest.withColumn("_fresh", F.lit(False)).unionByName(rows.filter(F.col("window_end") > by))
+            done.select(*memory.fieldNames()).write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
         finally:
             newest.unpersist()
+            rows.unpersist()
+
+    return start_batches(flat, handle, checkpoint, mode="update", trigger=trigger, skip_empty=False)
+
 
-    return start_batches(stream_vwap(ticks, watermark, **settings), handle, checkpoint, mode="update", trigger=trigger)
+def _moment(as_of: datetime | Column | None) -> Column:
+    if as_of is None:
+        as_of = datetime.now(timezone.utc).replace(tzinfo=None)
+    return F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, datetime) else as_of
