@@ -116,4 +116,3 @@ QUERIES = {
     "op9_interleave": op9_interleave,
     "op10_html": op10_html,
 }
-ORACLE: dict[str, str] = {}
