@@ -69,9 +69,8 @@ def gram_scores(counted: DataFrame, order: int) -> DataFrame:
     in allowed and blocked urls, ``a`` and ``b`` (both 0 for grams seen elsewhere only).
     Shorter grams' counts are sums over the grams that end in them.
     """
-    letters = counted.select(F.substring("gram", -1, 1).alias("c")).agg(F.count_distinct("c").alias("v"))
-    scored = counted.select("gram").crossJoin(F.broadcast(letters))  # a single row
-    scored = scored.select("gram", (1.0 / F.col("v")).alias("pa"), (1.0 / F.col("v")).alias("pb"))
+    letters = max(counted.select(F.right("gram", F.lit(1))).distinct().count(), 1)
+    scored = counted.select("gram", F.lit(1.0 / letters).alias("pa"), F.lit(1.0 / letters).alias("pb"))
     for k in range(order + 1):
         tail = F.right("gram", F.lit(k + 1))
         seen = counted.groupBy(tail.alias("tail")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
