@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickloom.llm.common import fresh, quoted
 from tickloom.session import staged
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 
 
 def interleave(
