@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm.common import read
+from tickloom.llm.common import for_texts, read
 from tickloom.llm.decontamination import without_leaks
 from tickloom.llm.language_id import identify
 from tickloom.llm.ngram_join import one_of_each
@@ -17,12 +17,14 @@ from tickloom.session import scratch, use_utc
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose language is identified; their source stands for their host."""
+    for_texts(spark)
     found = identify(docs, LANGUAGES, text=F.col("text"), declared=F.col("lang"), host=F.col("source"))
     return found.where("accepted").select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each group of similar ones."""
+    for_texts(spark)
     return one_of_each(docs)
 
 
@@ -41,6 +43,7 @@ def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of 2048 tokens."""
+    for_texts(spark)
     return pack(tokenise(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

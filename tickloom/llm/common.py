@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 500
+
+
+def for_texts(spark: SparkSession) -> None:
+    """Have this session hand whole texts to Python in batches of 500 rows at most.
+
+    The default of 10,000 rows is meant for numbers; of texts with some kilobytes each, a
+    batch that size takes several buffers of its tens of megabytes on both sides.
+    """
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= TEXTS_PER_BATCH:
+        spark.conf.set(ARROW_ROWS, str(TEXTS_PER_BATCH))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -59,13 +59,14 @@ def fit_trigrams(docs: DataFrame, text: Column, label: Column, languages: tuple[
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(names), SLOTS), np.int64)
         for batch in batches:
-            found: dict[int, list[np.ndarray]] = {}
-            for body, name in zip(batch.column(0), batch.column(1), strict=True):
-                at = names.get(name.as_py())
-                if at is not None:
-                    found.setdefault(at, []).append(trigrams(body.as_py() or ""))
-            for at, parts in found.items():
-                sums[at] += np.bincount(np.concatenate(parts), minlength=SLOTS)
+            for lo in range(0, batch.num_rows, 256):
+                found: dict[int, list[np.ndarray]] = {}
+                for body, name in zip(*(c.slice(lo, 256) for c in batch.columns), strict=True):
+                    at = names.get(name.as_py())
+                    if at is not None:
+                        found.setdefault(at, []).append(trigrams(body.as_py() or ""))
+                for at, parts in found.items():
+                    sums[at] += np.bincount(np.concatenate(parts), minlength=SLOTS)
         at, slot = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(slot, pa.int32()), pa.array(sums[at, slot], pa.int64())], names=["at", "slot", "n"])
 
@@ -94,7 +95,8 @@ def likelihoods(text: Column, docs: DataFrame, table: np.ndarray) -> Column:
                     out.append(None)
             yield pa.array(out, pa.list_(pa.float64()))
 
-    return F.arrow_udf(score, "array<double>", ArrowUDFType.SCALAR_ITER)(text)
+    # declared so that no filter on the result is moved below it, where it would be computed twice
+    return F.arrow_udf(score, "array<double>", ArrowUDFType.SCALAR_ITER).asNondeterministic()(text)
 
 
 def _normal(logs: Column) -> Column:

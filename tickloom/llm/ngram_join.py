@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.llm.common import quoted
-from tickloom.llm.components import bitmap, components, maybe
+from tickloom.llm.components import bitmap, components, maybe, maybe_in
 from tickloom.session import staged
 
 WORDS = 5
@@ -185,21 +185,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     A bitmap of the ids keeps other texts from being read into words; the join decides.
     """
-    some = docs.where(maybe(F.col("doc_id"), docs, bitmap(wanted.where("doc_id is not null").select("doc_id"))))
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.where("doc_id is not null").select("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
+            ids = batch.column(0)
+            some = maybe_in(ids.fill_null(0).to_numpy(zero_copy_only=False), held.value) | ids.is_null().to_numpy(zero_copy_only=False)
+            rows = np.flatnonzero(some)
+            for lo in range(0, len(rows), 512):
                 key, sets = [], []
-                for text in batch.slice(lo, 512).column(0):
-                    hashes = shingles(text.as_py())
+                for row in rows[lo : lo + 512].tolist():
+                    hashes = shingles(batch.column(1)[row].as_py())
                     if len(hashes):
                         key.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                         sets.append(hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "hashes"])
 
-    made = some.select("text").mapInArrow(run, "key binary, hashes array<long>")
+    made = docs.select("doc_id", "text").mapInArrow(run, "key binary, hashes array<long>")
     return staged(made.join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]))
 
 
@@ -302,17 +305,17 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
         inner = F.size(F.array_intersect("set_a", "set_b"))
         return both.where(100 * inner >= percent * (F.col("n_a") + F.col("n_b") - inner)).select("a", "b")
 
-    def parted(links: DataFrame | None) -> DataFrame:
+    def parted(roots: DataFrame | None) -> DataFrame:
         """Entries of the postings whose nodes are not yet of one component, with their roots."""
-        if links is None:
+        if roots is None:
             return shared.withColumn("root", F.col("node"))
-        placed = shared.join(components(links), "node", "left").select("shingle", "node", "pos", F.coalesce("root", "node").alias("root"))
+        placed = shared.join(roots, "node", "left").select("shingle", "node", "pos", F.coalesce("root", "node").alias("root"))
         ends = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         return staged(placed.join(ends.where("lo <> hi").select("shingle"), "shingle"))
 
-    links = clusters = None
+    links = clusters = roots = None
     for turn in range(HEAD_ROUNDS):
-        still = parted(links)
+        still = parted(roots)
         order = F.col("met") if turn == 0 else F.xxhash64("node", F.lit(turn))
         ranked = still.join(facts.select("node", "met"), "node") if turn == 0 else still
         heads = ranked.groupBy("shingle").agg(F.max_by("node", order).alias("head"), F.max_by("root", order).alias("head_root"))
@@ -323,9 +326,9 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
             clusters = staged(pairs.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("shares", "a")).alias("cluster")))
         found = linked(pairs)
         links = staged(found if links is None else links.unionAll(found))
+        roots = components(links)
 
     # within clusters all whole sets meet in tiles, without writing pairs
-    roots = components(links)
     members = clusters.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
     tiled = staged(_outsiders(members).join(facts.select("node", "key", "doc_id"), "node"))
     sets = _sets(rows, tiled.select("key", "doc_id").distinct(), size)
@@ -335,7 +338,7 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
     links = staged(links.unionAll(found))
 
     # between clusters the pairs of a posting meet
-    still = parted(links).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
+    still = parted(components(links)).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
     left, right = (still.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "pos", "cluster")]) for s in "ab")
     meet = left.join(right, "shingle").where("node_a < node_b and root_a <> root_b and cluster_a <> cluster_b")
     pairs = meet.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
