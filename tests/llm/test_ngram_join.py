@@ -151,3 +151,40 @@ def test_bitmap(spark):
     bits = bitmap(spark.range(0, 5000, 7).select("id"))
     hits = maybe_in(np.arange(100_000, dtype=np.int64), bits)
     assert hits[0:5000:7].all() and hits.sum() < 800
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rows = [
+        (1, "one two"), (None, "one two"), (None, "only here"), (None, "and only there"), (None, "twice\tbut"), (None, "TWICE but"),
+        (None, None), (None, " "), (7, "a b c"), (7, "A b  c"), (7, "d e f"), (7, "one two"), (7, ""), (8, "d e f"), (9, "a b c"), (9, "g h i"), (3, "x"), (4, "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _own", "'s' AS _stay").repartition(3)
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, " ".join((r.text or "").lower().split())) for r in kept.collect()), key=str)
+    want = [
+        (1, "one two"), (None, "only here"), (None, "and only there"), (None, "twice but"), (None, ""), (None, ""),
+        (7, "a b c"), (7, "d e f"), (7, ""), (9, "g h i"), (3, "x"),
+    ]
+    assert got == sorted(want, key=str)
+
+
+def test_each_group_keeps_a_row_with_its_least_id(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, None, i, i, i // 4]), text) for i, text in corpus(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = dict(enumerate(t for _, t in rows))
+    group = {r[0]: r[2] for r in brute(list(alone.items()))}
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if word_sets(alone[i]):
+            g = group[i]
+            least[g] = min([x for x in (least.get(g), doc) if x is not None], default=None)
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect()]
+    groups_of = {}
+    for i, row in enumerate(rows):
+        groups_of[row] = group[i]
+    worded = [groups_of[row] for row in kept if word_sets(row[1])]
+    assert sorted(worded) == sorted(least)
+    assert all(row[0] == least[groups_of[row]] for row in kept if word_sets(row[1]))
+    assert sum(not word_sets(t) for _, t in kept) == sum(not word_sets(t) for _, t in rows)

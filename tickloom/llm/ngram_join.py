@@ -27,9 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
-from tickloom.llm.common import quoted
+from tickloom.llm.common import fresh, quoted
 from tickloom.llm.components import bitmap, components, maybe, maybe_in
 from tickloom.session import staged
 
@@ -266,6 +267,13 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
     component's id is the least id in it that is not NULL. Repeated rows are copies.
     Shingles count as equal when their 64-bit hashes are.
     """
+    placed = _placed(docs, key, text, size, percent)
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n shingles, the key of its set (NULL of the empty one), and a number of its component."""
     rows = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
     needed = lambda n, m: F.ceil(percent * (n + m) / (100 + percent))  # noqa: E731  shared shingles of a link
     base = staged(_profiles(rows, size, percent).withColumn("row", F.monotonically_increasing_id()))
@@ -348,24 +356,54 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
     roots = components(links)
 
     placed = base.select("doc_id", "n", "key", "row").join(nodes, "key", "left").join(roots, "node", "left")
-    placed = staged(placed.select("doc_id", "n", F.coalesce("root", "node", F.col("row")).alias("root")))
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return staged(placed.select("doc_id", "n", "key", F.coalesce("root", "node", F.col("row")).alias("root")))
+
+
+def _set_key(text: Column, size: int) -> Column:
+    """The key of a text's set, NULL of the empty one."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shingles = Shingler(size)
+        for batch in batches:
+            sets = (shingles(value.as_py()) for value in batch)
+            yield pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary())
+
+    return F.arrow_udf(run, "binary", ArrowUDFType.SCALAR_ITER)(text)
 
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay when each group of similar texts keeps its row with the least id.
 
-    Of rows that share an id one stays; rows with NULL ids stay if no other row is in their group.
+    A row goes only if its own group keeps another one, whatever other rows have its id:
+    different texts under one id, or without id (NULL), are judged apart. A group without
+    ids keeps one row, and so does one whose least id is repeated in it. Texts without
+    words are in no group, and all stay.
     Only rows that may go, or may repeat, are shuffled; the rest pass a bitmap of those.
+    Rows whose id does not tell them apart are known by id and set of shingles.
     """
-    found = similar_sets(docs, key=key, text=text, size=size, percent=percent)
-    by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")).alias("stays"))
-    odd = staged(by_id.where("rows > 1 or stays = 0 or doc_id is null"))
-    doubted = maybe(quoted(key).cast("long"), docs, bitmap(odd.where("doc_id is not null").select("doc_id")))
-    flagged = docs.withColumn("_doubted", doubted)
-    sure = flagged.where("not _doubted").drop("_doubted")
-    again = flagged.where("_doubted").drop("_doubted")
-    gone = odd.where("stays = 0").select(F.col("doc_id").alias("_gone"))
-    again = again.join(gone, quoted(key).cast("long").eqNullSafe(F.col("_gone")), "left_anti").dropDuplicates([key])
-    return sure.unionByName(again)
+    placed = _placed(docs, key, text, size, percent).where("n > 0")
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    placed = placed.join(least, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    by_id = placed.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("stays").cast("int")).alias("any"))
+    odd = staged(by_id.where("rows > 1 or any = 0").select("doc_id", F.col("any").alias("stay")))
+    label = lambda set_key, doc_id: F.concat(F.hex(set_key), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    unclear = placed.join(odd.where("stay = 1").select("doc_id"), "doc_id", "left_semi").unionByName(placed.where("doc_id is null").select("doc_id", *[c for c in placed.columns if c != "doc_id"]))
+    unclear = staged(unclear.groupBy("doc_id", "root", "key").agg(F.max(F.col("stays").cast("int")).alias("stays")))
+    first = unclear.where("stays = 1").groupBy("root").agg(F.min(F.hex("key")).alias("first"))
+    judged = unclear.join(first, "root", "left")
+    gone = judged.where("stays = 0 or hex(key) <> first").select(label(F.col("key"), F.col("doc_id")).alias("_gone"))
+
+    doubt, known, stay, own = fresh(docs, "_doubted", "_known", "_stay", "_own")
+    number = quoted(key).cast("long")
+    words = F.coalesce(quoted(text).cast("string"), F.lit("")).rlike(r"[^ \x09-\x0d]")
+    flagged = docs.withColumn(doubt, maybe(number, docs, bitmap(odd.select("doc_id"))) & words)
+    sure = flagged.where(~F.col(doubt)).drop(doubt)
+    again = flagged.where(F.col(doubt)).drop(doubt)
+    facts = odd.select(F.col("doc_id").alias(known), F.col("stay").alias(stay))
+    named = again.where(number.isNotNull()).join(facts, number == F.col(known), "left").where(F.col(stay).isNull() | (F.col(stay) == 1))
+    nameless = again.where(number.isNull()).withColumn(known, F.lit(None).cast("long")).withColumn(stay, F.lit(1))
+    again = named.unionByName(nameless)
+    apart = _set_key(F.when(F.col(stay) == 1, quoted(text).cast("string")), size)
+    again = again.withColumn(own, apart).withColumn(own, F.coalesce(label(F.col(own), number), number.cast("string")))
+    again = again.dropDuplicates([own]).join(gone.withColumnRenamed("_gone", own), own, "left_anti")
+    return sure.unionByName(again.drop(known, stay, own))
