@@ -108,3 +108,40 @@ def test_query(spark):
     for (doc, item), r in rows.items():
         want = brute(text_of[doc], [x for x in items if x[0] == item])[item]
         assert (round(want[0], 6), want[1], want[2]) == (r.similarity, r.start, r.n_words)
+
+
+def whole_or_windows(text, items):
+    """``brute`` with the whole text as the only window of items that are longer."""
+    words, out = d.words_of(text), brute(text, items)
+    a = bag(words)
+    for item, body in items:
+        b = bag(d.words_of(body))
+        if words and len(d.words_of(body)) > len(words):
+            both = weight(a & b)
+            score = both / (weight(a) + weight(b) - both)
+            if score >= d.LEAST and score > out.get(item, (0, 0))[0]:
+                out[item] = (score, 0, len(words))
+    return out
+
+
+def test_texts_shorter_than_an_item(spark):
+    rng = random.Random(12)
+    vocabulary = [f"{rng.choice('abcdef') * rng.randint(1, 6)}{i}" for i in range(150)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([2, 4, 5, 6, 9, 15, 16, 30, 59])))) for i in range(60)]
+    docs = []
+    for i in range(300):
+        words = items[i % 60][1].split()
+        short = rng.randint(1, max(1, len(words) // 5))
+        words = words[short:] if rng.random() < 0.4 else words[:-short]
+        if rng.random() < 0.2 and words:
+            words[rng.randrange(len(words))] = "edited"
+        docs.append((i, " - ".join(words)))
+    got = sorted((r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in d.find_leaks(*frames(spark, docs, items)).collect())
+    want = sorted((doc, i, s, n, round(x, 9)) for doc, text in docs for i, (x, s, n) in whole_or_windows(text, items).items())
+    assert got == want and len({g[0] for g in got if g[3] < len(items[g[1]][1].split())}) > 80
+    kept = {r.doc_id for r in d.without_leaks(*frames(spark, docs, items)).collect()}
+    assert kept == {doc for doc, _ in docs} - {g[0] for g in got}
+
+
+def frames(spark, docs, items):
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

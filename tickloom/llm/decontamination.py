@@ -2,7 +2,7 @@
 
 Items and texts are read as words (letters and digits, any case, punctuation around
 them dropped) and compared by the five-word shingles in an item and in a window of as
-many words as the item has. A window's fingerprint is the SimHash of its shingles, each
+many words as the item has, or with the whole text where that is shorter. A window's fingerprint is the SimHash of its shingles, each
 weighing as many units as its words have characters. The items' fingerprints are
 indexed in four tables, one per 16-bit block: two fingerprints within ``RADIUS`` of 64 bits
 are within a quarter of that in some block, so the tables return every item within the
@@ -179,16 +179,17 @@ class Index:
     def _windows(self, k: int, tokens: list[str], codes: np.ndarray, at: np.ndarray, found: np.ndarray, worth: np.ndarray, best: dict) -> None:
         hashes = weight = None
         for w, tables in self.tables.items():
-            if min(WORDS, w) != k or len(codes) < w:
+            if min(WORDS, w) != k:
                 continue
+            span = min(w, len(codes))  # a text shorter than the item is its only window
             mine = _in(found, self.known_by_size[w])
             if not mine.any():
                 continue
             hits, total = at[mine], np.concatenate([[0], np.cumsum(worth[mine])])
             need = self.least * self.lightest[w]  # of shared shingles in a window
-            starts = np.unique((hits[:, None] - np.arange(w - k + 1)[None, :]).ravel())
-            starts = starts[(starts >= 0) & (starts + w <= len(codes))]
-            lo, hi = np.searchsorted(hits, starts), np.searchsorted(hits, starts + (w - k), side="right")
+            starts = np.unique((hits[:, None] - np.arange(span - k + 1)[None, :]).ravel())
+            starts = starts[(starts >= 0) & (starts + span <= len(codes))]
+            lo, hi = np.searchsorted(hits, starts), np.searchsorted(hits, starts + (span - k), side="right")
             starts = starts[total[hi] - total[lo] >= need]
             if not len(starts):
                 continue
@@ -198,14 +199,14 @@ class Index:
                     word = plain(tokens[i])
                     numbers[i], sizes[i] = word_number(word), len(word)
                 hashes, weight = shingles(numbers, sizes, k)
-            for part in np.split(starts, np.flatnonzero(np.diff(starts) > 4 * w) + 1):
-                first, last = part[0], part[-1] + w - k + 1
+            for part in np.split(starts, np.flatnonzero(np.diff(starts) > 4 * span) + 1):
+                first, last = part[0], part[-1] + span - k + 1
                 sums = np.zeros((last - first + 1, 64), np.int64)
                 np.cumsum(_spread(hashes[first:last], weight[first:last]), axis=0, out=sums[1:])
-                rows, items = tables.near(_pack(sums[part - first + w - k + 1] - sums[part - first]))
+                rows, items = tables.near(_pack(sums[part - first + span - k + 1] - sums[part - first]))
                 for start, item in zip(part[rows].tolist(), items.tolist(), strict=True):
                     if best.get(item, (0.0, 0))[0] < 1.0:
-                        score = self.similarity(item, hashes, weight, start, w - k + 1)
+                        score = self.similarity(item, hashes, weight, start, span - k + 1)
                         if score >= self.least and score > best.get(item, (0.0, 0))[0]:
                             best[item] = score, start
 
@@ -241,14 +242,14 @@ def find_in(text: str | None, index: Index, words: Words) -> list[dict]:
     if not real.all():
         codes, tokens = codes[real], [t for t, r in zip(tokens, real, strict=True) if r]
     found = index.leaks(tokens, codes)
-    return [{"at": i, "start": s, "n_words": index.lengths[i], "similarity": sim} for i, (sim, s) in sorted(found.items())]
+    return [{"at": i, "start": s, "n_words": min(index.lengths[i], len(tokens)), "similarity": sim} for i, (sim, s) in sorted(found.items())]
 
 
 def leaks(text: Column, docs: DataFrame, items: DataFrame, *, item: str = "item_id", body: str = "text", least: float = LEAST) -> Column:
     """array of (item_id, start, n_words, similarity): the items found in a text, with their best window.
 
-    An item is found where a window of as many words reaches the weighted similarity
-    ``least``; of equally similar windows the first counts. Items of fewer than five
+    An item is found where a window of as many words, or the whole of a shorter text,
+    reaches the weighted similarity ``least``; of equally similar windows the first counts. Items of fewer than five
     words are compared as a whole, items without words (NULL, empty) are never found.
     Items alike in id and text count once, others that share an id are reported each.
     Texts without words give the empty array.
