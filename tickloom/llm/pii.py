@@ -35,9 +35,10 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "secret": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-    r"|(?<![0-9A-Za-z])(?:password|passwd|secret|token|api_key|apikey)(?: ?[=:] ?)\"?[0-9A-Za-z+/_-]{8,}",
+    r"|(?<![0-9A-Za-z])(?i:password|passwd|secret|token|api_key|apikey)(?: ?[=:] ?)\"?[0-9A-Za-z+/_-]{8,}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+SOME = "[0-9@=:]|AKIA"  # in every text that has a match of any pattern
 
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)  # 400 years, 189 * 773 days
 SSN = (898, 99 * 9999)  # areas 001-899 but 666; groups 01-99 with serials 0001-9999
@@ -212,7 +213,7 @@ def _date(value: Column, key: str, undo: bool) -> Column:
 
 
 def _secret(value: Column, key: str, undo: bool) -> Column:
-    name = F.regexp_extract(value, r"^(?:AKIA|[a-z_]+ ?[=:] ?\"?)", 0)
+    name = F.regexp_extract(value, r"^(?:AKIA|[A-Za-z_]+ ?[=:] ?\"?)", 0)
     return F.concat(name, _mix_text(F.substring(value, F.length(name) + 1, F.length(value)), key, "secret", undo))
 
 
@@ -241,7 +242,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str =
 
     E-mail local parts, IPv4 addresses, telephone numbers (8 to 15 digits), payment
     cards (check digit), IBANs (modulo 97), social security numbers (valid ranges),
-    full dates (1800 to 2199) and credentials (access keys, ``password=``) are replaced;
+    full dates (1800 to 2199) and credentials (access keys, ``password=`` in any case) are replaced;
     candidates that their rule rejects, and everything else, stay as they are. Domain
     names, country codes, the first digit of a card and the names of credentials stay.
     ``undo`` turns pseudonyms back under the same key.
@@ -252,7 +253,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str =
     body = quoted(text)
     found = F.regexp_extract_all(body, F.lit(ANY), F.lit(0))
     renamed = F.transform(found, lambda v: F.struct(v.alias("old"), pseudonym(v, key, undo).alias("new")))
-    has = F.coalesce(body.rlike("[0-9@]") & body.rlike(ANY), F.lit(False))
+    has = F.coalesce(body.rlike(SOME) & body.rlike(ANY), F.lit(False))
     (values,) = fresh(docs, "_found")
     rows = docs.withColumn(values, F.when(has, renamed))
     pieces = F.split(body, ANY, -1)
