@@ -90,8 +90,30 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN scored USING (url)"""
 
 
+OP11 = """WITH
+drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+  FROM documents),
+cut AS (
+  SELECT doc_id, text, units, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+         greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(units[1:a], ''), '') AS p,
+         coalesce(array_to_string(units[a + 1:b], ''), '') AS m, coalesce(array_to_string(units[b + 1:], ''), '') AS s
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+              ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+FROM parts"""
+
 ORACLE: dict[str, str] = {
     "op1_near_vectors": OP1,
     "op2_url_filter": _url_sql(),
     "op6_ngram_join": OP6,
+    "op11_infill": OP11,
 }

@@ -9,6 +9,7 @@ from tickloom.llm.common import read
 from tickloom.llm import language_id, toxicity
 from tickloom.llm.decontamination import find_leaks
 from tickloom.llm.html_extract import extract
+from tickloom.llm.infill import fill_in_middle, restored
 from tickloom.llm.ngram_join import similar_sets
 from tickloom.llm.packing import pack, tokenise
 from tickloom.llm.pii import pseudonymise
@@ -104,6 +105,21 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, and the text rebuilt from it."""
+    made = fill_in_middle(read(spark, sf_dir, "documents"))
+    rebuilt = restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(rebuilt, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op3_packing": op3_packing,
@@ -115,4 +131,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_interleave": op9_interleave,
     "op10_html": op10_html,
+    "op11_infill": op11_infill,
 }
