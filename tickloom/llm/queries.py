@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import read
-from tickloom.llm import language_id, toxicity
+from tickloom.llm import language_id, toxicity, window_fill
 from tickloom.llm.decontamination import find_leaks
 from tickloom.llm.html_extract import extract
 from tickloom.llm.infill import fill_in_middle, restored
@@ -120,6 +120,12 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 4096, filled by solved length combinations."""
+    docs = read(spark, sf_dir, "documents")
+    return window_fill.pack(window_fill.tokenise(docs, public_tokenizers.path("word_bpe_49k.json"), limit=4096, end=2), limit=4096)
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op3_packing": op3_packing,
@@ -132,4 +138,5 @@ QUERIES = {
     "op9_interleave": op9_interleave,
     "op10_html": op10_html,
     "op11_infill": op11_infill,
+    "op12_nnls_packing": op12_nnls_packing,
 }
