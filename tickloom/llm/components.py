@@ -42,24 +42,24 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionAll(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _slot(values: np.ndarray) -> np.ndarray:
+def _slot(values: np.ndarray, size: int) -> np.ndarray:
     mixed = values.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    return (mixed >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of 2**26 bits with one set for each value of the only column of ``keys``: a long, or the first eight of its bytes."""
-    width = BITS // 8 // CHUNKS
+def bitmap(keys: DataFrame, size: int = BITS) -> np.ndarray:
+    """A bitmap of ``size`` bits (a power of two from 2**9 on) with one set for each value of the only column of ``keys``: a long, or the first eight of its bytes."""
+    width = size // 8 // CHUNKS
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS, bool)
+        bits = np.zeros(size, bool)
         for batch in batches:
             column = batch.column(0).drop_null()
             if pa.types.is_integer(column.type):
                 values = column.to_numpy(zero_copy_only=False)
             else:
                 values = np.frombuffer(b"".join(v.as_py()[:8] for v in column), np.int64)
-            bits[_slot(values)] = True
+            bits[_slot(values, size)] = True
         packed = np.packbits(bits).reshape(CHUNKS, width)
         some = np.flatnonzero(packed.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([zlib.compress(packed[i].tobytes(), 1) for i in some], pa.binary())], names=["chunk", "bits"])
@@ -79,7 +79,7 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 
 def maybe_in(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """False where a value is surely not in the bitmap."""
-    slot = _slot(values)
+    slot = _slot(values, 8 * len(bits))
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 

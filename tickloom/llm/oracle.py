@@ -111,9 +111,39 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
 FROM parts"""
 
+OP13 = f"""WITH
+texts AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM runs GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM runs, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+counts AS (SELECT lang, phrase, k AS words, count(*) AS f FROM grams GROUP BY lang, phrase, k),
+cand AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words >= 2 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts c JOIN counts x ON c.lang = x.lang AND c.head = x.phrase JOIN counts y ON c.lang = y.lang AND c.rest = y.phrase),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, a, size, w, unnest(range(1, words - size + 2)) AS i
+  FROM (SELECT *, unnest(range(2, words)) AS size FROM cand WHERE words >= 3)),
+covers AS (SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS cover FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN (SELECT lang, phrase, max(cover) AS cover FROM covers GROUP BY lang, phrase) c
+  ON s.lang = c.lang AND s.phrase = c.phrase WHERE cover IS NULL OR 100::HUGEINT * cover < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked k JOIN totals t ON k.lang = t.lang WHERE rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op1_near_vectors": OP1,
     "op2_url_filter": _url_sql(),
     "op6_ngram_join": OP6,
     "op11_infill": OP11,
+    "op13_collocations": OP13,
 }

@@ -12,6 +12,7 @@ from tickloom.llm.html_extract import extract
 from tickloom.llm.infill import fill_in_middle, restored
 from tickloom.llm.ngram_join import similar_sets
 from tickloom.llm.packing import pack, tokenise
+from tickloom.llm.phrases import collocations
 from tickloom.llm.pii import pseudonymise
 from tickloom.llm.sharding import interleave
 from tickloom.llm.url_filter import HostRule, judge_urls
@@ -126,6 +127,11 @@ def op12_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_fill.pack(window_fill.tokenise(docs, public_tokenizers.path("word_bpe_49k.json"), limit=4096, end=2), limit=4096)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of words that mostly occur together."""
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op3_packing": op3_packing,
@@ -139,4 +145,5 @@ QUERIES = {
     "op10_html": op10_html,
     "op11_infill": op11_infill,
     "op12_nnls_packing": op12_nnls_packing,
+    "op13_collocations": op13_collocations,
 }
