@@ -51,17 +51,20 @@ def test_ids_equal_the_tokenizer(spark):
 
 def test_other_tokenizers_run_as_they_are():
     spec = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
-    plain = Tokenizer.from_str(spec)
-    for text in ("Hello  world\n", "é" * 50):
-        assert np.frombuffer(wf.word_encoder(spec)(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
-
-
-def test_word_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(wf, "CACHED_WORDS", 10)
-    words = wf._Words(str.encode)
-    for i in range(95):
-        assert words[f"w{i}"] == f"w{i}".encode()
-    assert len(words) <= 10 and words["x" * 100] == b"x" * 100 and "x" * 100 not in words
+    plain, texts = Tokenizer.from_str(spec), ["Hello  world\n", "é" * 50, ""]
+    got = [np.frombuffer(b, "<u4").tolist() for b in wf.word_encoder(spec)(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_are_looked_up(monkeypatch):
+    monkeypatch.setattr(wf, "CACHED_WORDS", 20)
+    monkeypatch.setattr(wf, "SEGMENT", 40)
+    spec = open(PATH, encoding="utf-8").read()
+    encode, plain, rng = wf.word_encoder(spec), Tokenizer.from_str(spec), np.random.default_rng(3)
+    vocabulary = ["don't", "we'll", "It's", "'tis", "x's'", "``", "12ab", "é", "naïve,", "中", "<|endoftext|>", "\x00", "\x1f", "ŉ", "(a)", "---", "’s"]
+    for _ in range(150):
+        texts = [rng.choice([" ", "", "\n", "\xa0 "]).join(rng.choice(vocabulary, rng.integers(0, 40))) for _ in range(4)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @given(st.sets(st.integers(1, 24), max_size=12), st.integers(1, 24), st.integers(1, 4))

@@ -24,6 +24,7 @@ import unicodedata
 import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from tickloom.llm.common import quoted
 from tickloom.session import staged
 
 LIMIT, UNIT, DEPTH = 4096, 16, 3
-CACHED_WORDS, CACHED_CHARS, SEGMENT = 1_000_000, 64, 1 << 20
+CACHED_WORDS, SEGMENT = 1_000_000, 1 << 20
 
 # fixed value: how the word tokenizer splits normalised text
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -43,69 +44,85 @@ PLAIN_END = 0x250  # below: Latin letters, which composing leaves as they are
 
 
 def _word_pattern() -> re.Pattern:
-    """``WORD_SPLIT`` for characters below ``PLAIN_END`` and what they become in lower case."""
+    """``WORD_SPLIT`` for characters below ``PLAIN_END`` and what they become in lower case.
+
+    No two alternatives begin alike, so the likeliest is tried first.
+    """
     kind = lambda c: unicodedata.category(chr(c))[0]
     letters, numbers = ("".join(re.escape(chr(c)) for c in range(PLAIN_END) if kind(c) == k) for k in "LN")
-    split = WORD_SPLIT.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", re.escape(SPACES))
-    return re.compile(split)
+    *short, words, number, other = WORD_SPLIT.split("|")
+    split = "|".join([words, number, *short, other])
+    return re.compile(split.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", re.escape(SPACES)))
 
 
-class _Words(dict):
-    """word -> its ids as bytes; words are encoded by the tokenizer once."""
+class Words:
+    """word -> its ids as bytes; words are encoded by the tokenizer once, all new ones of a call together."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode = encode
+    def __init__(self, encode: Callable[[str], np.ndarray], last: np.ndarray):
+        self.encode, self.last, self.held = encode, last, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    def __call__(self, words: list[list[str]]) -> list[bytes]:
+        if len(self.held) > CACHED_WORDS:
+            self.held = {}
+        new = list(set(chain.from_iterable(words)).difference(self.held))
+        if new:
+            ids = self.encode(" ".join(new))  # every word ends in an id that ends words
+            stops = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            packed = ids.tobytes()
+            self.held.update(zip(new, (packed[a:b] for a, b in zip([0, *stops], stops, strict=False)), strict=True))
+        return [b"".join(map(self.held.__getitem__, own)) for own in words]
 
 
-def word_encoder(spec: str) -> Callable[[str], bytes]:
-    """text -> ids as little-endian unsigned 32-bit numbers, for a tokenizer's JSON.
+def word_encoder(spec: str) -> Callable[[list[str]], list[bytes]]:
+    """texts -> their ids as little-endian unsigned 32-bit numbers, for a tokenizer's JSON.
 
-    A tokenizer that folds case, drops white space and splits at ``WORD_SPLIT`` gives each
-    word the same ids wherever it stands, so words are looked up and only new ones are
-    encoded. Texts with characters from ``PLAIN_END`` on or with special tokens, and all
-    texts of other tokenizers, go through the tokenizer itself.
+    A tokenizer that folds case, drops white space, splits at ``WORD_SPLIT`` and marks the
+    ends of words gives each word the same ids wherever it stands, so words are looked up
+    and only new ones are encoded. Texts with characters from ``PLAIN_END`` on or with
+    special tokens, and all texts of other tokenizers, go through the tokenizer itself.
     """
     from tokenizers import Tokenizer
 
     parsed = json.loads(spec)
-    slow = Tokenizer.from_str(spec)
-    encode = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    slow, model = Tokenizer.from_str(spec), parsed["model"]
+    encode = lambda text: np.array(slow.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    each = lambda texts: [encode(text).tobytes() for text in texts]
     folds = (parsed.get("normalizer") or {}).get("normalizers") == [
         {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}
     ]
     steps = (parsed.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     splits = steps[0] == {"type": "Split", "pattern": {"Regex": WORD_SPLIT}, "behavior": "Removed", "invert": True}
-    whole = [s for s in steps[1:] if s.get("type") != "ByteLevel" or s.get("add_prefix_space") or s.get("use_regex", True)]
-    if not folds or not splits or whole:
-        return encode
-    words, pattern = _Words(encode), _word_pattern()
+    others = [s for s in steps[1:] if s.get("type") != "ByteLevel" or s.get("add_prefix_space") or s.get("use_regex", True)]
+    mark = model.get("end_of_word_suffix")
+    if not folds or not splits or others or not mark:
+        return each
+    last = np.zeros(1 + max(model["vocab"].values()), bool)
+    last[[n for token, n in model["vocab"].items() if token.endswith(mark)]] = True
+    words, pattern = Words(encode, last), _word_pattern()
     special = [t["content"] for t in parsed.get("added_tokens", [])]
     space, beyond = re.compile(f"[{SPACES}]"), re.compile(f"[^\x00-{chr(PLAIN_END - 1)}]")
 
-    def segment(text: str) -> bytes:
-        if beyond.search(text) or any(mark in text for mark in special):
-            return encode(text)
-        return b"".join(map(words.__getitem__, pattern.findall(text.lower())))
-
-    def run(text: str) -> bytes:
-        if len(text) <= SEGMENT:
-            return segment(text)
-        parts, at = [], 0
-        while at < len(text):  # no token holds white space
+    def segments(text: str) -> Iterator[str]:
+        at = 0
+        while len(text) - at > SEGMENT:  # no token holds white space
             cut = space.search(text, at + SEGMENT)
-            stop = cut.start() if cut else len(text)
-            parts.append(segment(text[at:stop]))
-            at = stop
-        return b"".join(parts)
+            if not cut:
+                break
+            yield text[at : cut.start()]
+            at = cut.start()
+        yield text[at:]
+
+    def plain(text: str) -> bool:
+        return not beyond.search(text) and not any(mark in text for mark in special)
+
+    def run(texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        short = [i for i, text in enumerate(texts) if len(text) <= SEGMENT and plain(text)]
+        for i, ids in zip(short, words([pattern.findall(texts[i].lower()) for i in short]), strict=True):
+            out[i] = ids
+        for i in sorted(set(range(len(texts))).difference(short)):
+            out[i] = b"".join(words([pattern.findall(s.lower())])[0] if plain(s) else encode(s).tobytes() for s in segments(texts[i]))
+        return out
 
     return run
 
@@ -129,14 +146,16 @@ def tokenise(
         spec = docs.sparkSession.sparkContext.broadcast(file.read())  # a fixed vocabulary
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = word_encoder(spec.value), np.array([end], "<u4").tobytes()
+        if not hasattr(spec, "encode"):  # a broadcast outlives the task in its worker, and with it the words it has met
+            spec.encode = word_encoder(spec.value)
+        encode, last = spec.encode, np.array([end], "<u4").tobytes()
         seen, task = [0] * (limit + 1), TaskContext.get().partitionId()
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 rows, start, length, crc, whole, nth, held = [], [], [], [], [], [], []
-                for row, value in enumerate(part.column(1)):
-                    tokens = memoryview(encode(value.as_py() or "") + last)
+                for row, own_ids in enumerate(encode([value.as_py() or "" for value in part.column(1)])):
+                    tokens = memoryview(own_ids + last)
                     at = 0
                     for size in cut_lengths(len(tokens) // 4, limit, unit):
                         own = tokens[4 * at : 4 * (at + size)]
