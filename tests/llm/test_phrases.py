@@ -60,6 +60,7 @@ def test_equals_plain_counting(spark, monkeypatch, small):
     if small:  # many blocks, summaries handed on early, many partitions
         monkeypatch.setattr(phrases, "BLOCK", 7)
         monkeypatch.setattr(phrases, "HELD", 300)
+        monkeypatch.setattr(phrases, "NAMED", 50)
     rows = texts(1)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
     got = phrases.collocations(docs, partition_mass=2000 if small else 4_000_000)
@@ -74,23 +75,23 @@ def test_equals_plain_counting(spark, monkeypatch, small):
 @given(st.lists(st.lists(st.integers(0, 30), max_size=200), min_size=1, max_size=6), st.integers(2, 12), st.integers(1, 4))
 def test_summaries_keep_every_frequent_item(streams, least, parts):
     """Merged summaries of any split: a counter plus all that was taken is never below the true count."""
-    spread = lambda x: np.array(x, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    spread = lambda x: phrases._coded(np.array(x, np.uint64) * np.uint64(0x9E3779B97F4A7C15), parts)
     mass = sum(map(len, streams))
     capacity = mass // least + 1
     merged, taken = Counter(), Counter()
     for items in streams:
-        held = phrases.Summaries(parts, capacity)
+        held = phrases.Summaries(capacity)
         for i in range(0, len(items), 20):
             held.add(*np.unique(spread(items[i : i + 20]), return_counts=True))
         for batch in held.handed_on():
             row = batch.to_pylist()[0]
             taken[row["part"]] += row["taken"]
-            for h, n in zip(np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["counts"], np.int64), strict=True):
-                merged[int(h)] += int(n)
+            for h, n in zip(np.frombuffer(row["hashes"], np.uint32), np.frombuffer(row["counts"], np.int64), strict=True):
+                merged[row["part"] << 32 | int(h)] += int(n)
     true = Counter(x for items in streams for x in items)
     for item, n in true.items():
         h = spread([item])
-        over = merged[int(h[0])] + taken[int(phrases._part(h, parts)[0])]
+        over = merged[int(h[0])] + taken[int(h[0]) >> 32]
         assert merged[int(h[0])] <= n <= over
     assert max(taken.values(), default=0) < least
 
@@ -101,12 +102,12 @@ def test_too_little_capacity_is_noticed_and_mended(spark, monkeypatch, capacity)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     plain = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     mass = capacity * 10  # far less than there is, so the first capacity is too small
-    monkeypatch.setattr(phrases, "HELD", 500)
-    kept = {r.hash for r in phrases.survivors(plain, mass, min_count=30, partition_mass=10**6).collect()}
+    monkeypatch.setattr(phrases, "HELD", 20)
+    kept = {r.hash for r in phrases.survivors(plain, mass, range(1, 5), 3, min_count=30).collect()}
     counts = Counter()
     for lang, text in rows:
-        for n, hashes, *_ in phrases.Phrases()([(text or "").encode()], [phrases._salt("und" if lang is None else lang)]):
-            counts.update(hashes.view(np.int64).tolist())
+        for n, hashes, *_ in phrases.Phrases(range(1, 5))([(text or "").encode()], [phrases._salt("und" if lang is None else lang)]):
+            counts.update(phrases._coded(hashes, 3).view(np.int64).tolist())
     frequent = {h for h, n in counts.items() if n >= 30}
     assert frequent <= kept and len(frequent) > 30
 

@@ -1,7 +1,8 @@
 """Collocations: exact counts of all frequent phrases, found through Misra-Gries summaries.
 
-The first pass summarises. Every run of up to ``LONGEST`` words of a piece is hashed with
-its language, and the hash range is cut into partitions of bounded mass. Tasks keep, for
+The first passes summarise, words and pairs first, then longer phrases made of pairs that
+survived. Every run of so many words within a piece is hashed with its language, and the
+hash range is cut into partitions of bounded mass. Tasks keep, for
 each partition, a Misra-Gries summary: when it has more counters than its capacity,
 the count of the first one beyond is taken from all, and those left with nothing go.
 Summaries of tasks are merged by adding and cutting once more. The capacity exceeds a
@@ -10,12 +11,12 @@ stays below the threshold; what was taken is added up and checked, and should ho
 phrases ever spread so unevenly that it is not, the pass is done again with twice the capacity.
 Hence no frequent phrase is lost.
 
-The second pass counts the survivors exactly, by their texts, in all documents.
+The last pass counts the survivors exactly, by their texts, in all documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,11 +32,13 @@ MIN_COUNT = 30
 PERCENT = 80
 TOP = 2000
 SCALE = 2_000_000
-PARTITION_MASS = 4_000_000  # occurrences of a hash partition, about
-HELD = 4_000_000  # counters or occurrences a task holds before it merges or hands on
+PARTITION_MASS = 2_000_000  # occurrences of a hash partition, about
+HELD = 2_000_000  # counters or occurrences a task holds before it merges or hands on
+NAMED = 1_000_000  # texts of phrases a task holds before it hands them on
 BLOCK = 500_000  # words hashed at a time
 RANKS = (4096, 64)  # groups in which the first of a language are found before they meet
 
+Known = tuple[np.ndarray, int]  # a bitmap of coded hashes, and their number of partitions
 _P = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ENDS = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
@@ -57,10 +60,14 @@ def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Phrases:
-    """Hashes of the phrases of a buffer of texts, block by block."""
+    """Hashes of the phrases of some texts, for each of the ``sizes`` (in words), block by block.
 
-    def __init__(self, longest: int = LONGEST):
-        self.longest = longest
+    Where a bitmap of ``known`` hashes is given, phrases of more than two words come only
+    where all pairs of neighbours in them are known: a longer phrase is no more frequent.
+    """
+
+    def __init__(self, sizes: Sequence[int], known: Known | None = None):
+        self.sizes, self.known = sizes, known
         self.powers = np.cumprod(np.full(256, _P, np.uint64))
 
     def _hashed(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -74,7 +81,7 @@ class Phrases:
         return _mixed(np.add.reduceat(values * self.powers[place], first) + size.astype(np.uint64))
 
     def __call__(self, texts: list[bytes], salts: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]]:
-        """(words, hashes, first byte, end byte, text number) of all phrases, and the bytes they lie in.
+        """(words, hashes, first byte, end byte, text number) of the phrases, and the bytes they lie in.
 
         Lower-cased texts stand one after the other with a piece's end between them. Blocks
         overlap by the words that a phrase can reach over, so memory beside the texts'
@@ -86,21 +93,28 @@ class Phrases:
         ends = np.flatnonzero(_ENDS[data])
         text_ends = np.cumsum([len(t) + 1 for t in texts])
         salt = np.array(salts, np.uint64)
+        longest = max(self.sizes)
         for lo in range(0, len(start), BLOCK):
-            own = min(BLOCK, len(start) - lo)
-            s, e = start[lo : lo + own + self.longest - 1], stop[lo : lo + own + self.longest - 1]
+            own = min(BLOCK, len(start) - lo)  # phrases that start beyond are the next block's
+            s, e = start[lo : lo + own + longest - 1], stop[lo : lo + own + longest - 1]
             words = self._hashed(data, s, e)
-            piece = np.searchsorted(ends, s)
-            text = np.searchsorted(text_ends, s[:own], "right")
-            rolled = _mixed(words[:own] + salt[text])
-            yield 1, rolled, s[:own], e[:own], text, joined
-            for n in range(1, self.longest):
-                m = min(own, len(s) - n)
+            piece, text = np.searchsorted(ends, s), np.searchsorted(text_ends, s, "right")
+            rolled = _mixed(words + salt[text])
+            fine = pairs = None
+            for n in range(1, longest + 1):
+                m = len(s) - n + 1
                 if m <= 0:
                     break
-                same = np.flatnonzero(piece[:m] == piece[n : n + m])
-                rolled = _mixed(rolled[:m] * _P + words[n : n + m])
-                yield n + 1, rolled[same], s[same], e[same + n], text[same], joined
+                if n > 1:
+                    rolled = _mixed(rolled[:m] * _P + words[n - 1 :])
+                    fine = piece[:m] == piece[n - 1 :] if self.known is None or n == 2 else fine[:m] & pairs[n - 2 : n - 2 + m]
+                if n == 2 and self.known is not None and longest > 2:
+                    pairs = fine & _is_known(rolled, self.known)
+                if n in self.sizes:
+                    at = np.arange(min(m, own)) if fine is None else np.flatnonzero(fine[:own])
+                    yield n, rolled[at], s[at], e[at + n - 1], text[at], joined
+                if n == 2 and pairs is not None:
+                    fine = pairs
 
 
 def _salt(lang: str) -> int:
@@ -111,9 +125,19 @@ def _salt(lang: str) -> int:
     return out
 
 
-def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """The hash partition: equal ranges of the upper half, so sorted hashes have sorted partitions."""
-    return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+def _coded(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The hash partition, one of equal ranges of the upper half, and the lower half.
+
+    Enough to tell the phrases of a partition apart, whose number is bounded; two that fall
+    together have the sum of their counts, so neither is lost.
+    """
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return (part << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+
+
+def _is_known(hashes: np.ndarray, known: Known) -> np.ndarray:
+    bits, parts = known
+    return maybe_in(_coded(hashes, parts).view(np.int64), bits)
 
 
 def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,10 +154,10 @@ def cut(counts: np.ndarray, capacity: int) -> int:
 
 
 class Summaries:
-    """One Misra-Gries summary per hash partition, all in one sorted array."""
+    """One Misra-Gries summary per hash partition, all in one sorted array of coded hashes."""
 
-    def __init__(self, parts: int, capacity: int):
-        self.parts, self.capacity = parts, capacity
+    def __init__(self, capacity: int):
+        self.capacity = capacity
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.taken: dict[int, int] = {}
 
@@ -149,7 +173,7 @@ class Summaries:
             self.hashes, self.counts = self.hashes[some], self.counts[some]
 
     def ranges(self) -> list[tuple[int, int, int]]:
-        part = _part(self.hashes, self.parts)
+        part = self.hashes >> np.uint64(32)
         first = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)) != 0).tolist()
         return [(int(part[lo]), lo, hi) for lo, hi in zip(first, [*first[1:], len(part)])]
 
@@ -164,7 +188,7 @@ class Summaries:
     @staticmethod
     def _row(p: int, hashes: np.ndarray, counts: np.ndarray, taken: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([p], pa.int64()), pa.array([hashes.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()), pa.array([taken], pa.int64())],
+            [pa.array([p], pa.int64()), pa.array([hashes.astype(np.uint32).tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()), pa.array([taken], pa.int64())],
             names=["part", "hashes", "counts", "taken"],
         )
 
@@ -185,23 +209,27 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[
             yield langs, texts, [salts.setdefault(x, _salt(x)) for x in langs]
 
 
-def survivors(rows: DataFrame, mass: int, *, longest: int = LONGEST, min_count: int = MIN_COUNT, partition_mass: int = PARTITION_MASS) -> DataFrame:
-    """(hash) of all phrases of ``rows`` (lang, text: binary) that may occur ``min_count`` times; all that do are there.
+def survivors(
+    rows: DataFrame, mass: int, sizes: Sequence[int], parts: int, *, known: Known | None = None, min_count: int = MIN_COUNT
+) -> DataFrame:
+    """(hash: coded) of all phrases of ``rows`` (lang, text: binary) that may occur ``min_count`` times; all that do are there.
 
-    ``mass`` is at least the number of occurrences of phrases.
+    ``mass`` is at least the number of occurrences of phrases of these ``sizes``, and
+    ``parts`` the number of hash partitions; ``known`` is for ``Phrases``. Summaries that a task can hold
+    in any case are not made smaller than that.
     """
-    parts = max(1, -(-mass // partition_mass))
-    capacity = mass // parts // min_count + 1
+    held = None if known is None else rows.sparkSession.sparkContext.broadcast(known)
+    capacity = max(mass // parts // min_count + 1, 2 * HELD // parts)
     capacity += capacity // 8 + 64  # hashes deal the mass nearly evenly
 
     def summed(capacity: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases, held, waiting, n = Phrases(longest), Summaries(parts, capacity), [], 0
+            phrases, summaries, waiting, n = Phrases(sizes, held and held.value), Summaries(capacity), [], 0
 
             def add() -> None:
-                hashes = np.concatenate(waiting)
+                hashes = _coded(np.concatenate(waiting), parts)
                 waiting.clear()
-                held.add(*np.unique(hashes, return_counts=True))
+                summaries.add(*np.unique(hashes, return_counts=True))
 
             for _, texts, salts in _texts(batches):
                 for _, hashes, *_ in phrases(texts, salts):
@@ -210,17 +238,17 @@ def survivors(rows: DataFrame, mass: int, *, longest: int = LONGEST, min_count:
                 if n > HELD:
                     add()
                     n = 0
-                    if len(held.hashes) > HELD:
-                        yield from held.handed_on()
+                    if len(summaries.hashes) > HELD:
+                        yield from summaries.handed_on()
             if waiting:
                 add()
-            yield from held.handed_on()
+            yield from summaries.handed_on()
 
         return run
 
     def merged(capacity: int):
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            hashes = np.concatenate([np.frombuffer(b, np.uint64) for b in rows["hashes"]])
+            hashes = np.concatenate([np.frombuffer(b, np.uint32) for b in rows["hashes"]]).astype(np.uint64) | np.uint64(key[0] << 32)
             counts = np.concatenate([np.frombuffer(b, np.int64) for b in rows["counts"]])
             hashes, counts = _added(hashes, counts)
             less = cut(counts, capacity)
@@ -250,9 +278,11 @@ class _Counts:
 
     def __init__(self) -> None:
         self.hashes, self.counts, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.names: list[tuple[str, str, int]] = []
+        self.langs: list[str] = []
+        self.phrases: list[bytes] = []
+        self.words = bytearray()
 
-    def add(self, words: int, hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, langs: list[str], joined: bytes) -> None:
+    def add(self, words: int, hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, langs: np.ndarray, joined: bytes) -> None:
         found, first, n = np.unique(hashes, return_index=True, return_counts=True)
         place = np.searchsorted(self.hashes, found)
         known = np.append(self.hashes, np.uint64(0))[place] == found
@@ -260,34 +290,34 @@ class _Counts:
         self.counts[place[known]] += n[known]
         new = np.flatnonzero(~known)
         at = first[new]
-        for lo, hi, i in zip(start[at].tolist(), stop[at].tolist(), at.tolist(), strict=True):
-            self.names.append((langs[i], b" ".join(joined[lo:hi].split()).decode("utf-8", "replace"), words))
-        self.at = np.insert(self.at, place[new], np.arange(len(self.names) - len(new), len(self.names)))
+        self.phrases += [b" ".join(joined[lo:hi].split()) for lo, hi in zip(start[at].tolist(), stop[at].tolist(), strict=True)]
+        self.langs += langs[at].tolist()
+        self.words += bytes([words]) * len(new)
+        self.at = np.insert(self.at, place[new], np.arange(len(self.phrases) - len(new), len(self.phrases)))
         self.hashes = np.insert(self.hashes, place[new], found[new])
         self.counts = np.insert(self.counts, place[new], n[new])
 
     def handed_on(self) -> pa.RecordBatch:
-        lang, phrase, words = zip(*self.names, strict=True) if self.names else ((), (), ())
-        counts = np.zeros(len(self.names), np.int64)
+        counts = np.zeros(len(self.phrases), np.int64)
         counts[self.at] = self.counts
+        words = np.frombuffer(bytes(self.words), np.uint8).astype(np.int32)
+        columns = [pa.array(self.langs, pa.string()), pa.array([p.decode("utf-8", "replace") for p in self.phrases], pa.string()), pa.array(words), pa.array(counts)]
         self.__init__()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(words, pa.int32()), pa.array(counts)], names=["lang", "phrase", "words", "n"]
-        )
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
 
 
-def _counted(rows: DataFrame, kept: np.ndarray, longest: int) -> DataFrame:
-    """(lang, phrase, words, n): the counts per task of all phrases whose hashes may be in the bitmap."""
+def _counted(rows: DataFrame, kept: Known, longest: int) -> DataFrame:
+    """(lang, phrase, words, n): the counts per task of all phrases that may be among those kept."""
     held = rows.sparkSession.sparkContext.broadcast(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, counts = Phrases(longest), _Counts()
+        phrases, counts = Phrases(range(1, longest + 1), held.value), _Counts()
         for langs, texts, salts in _texts(batches):
             named = np.array(langs, object)
             for words, hashes, start, stop, text, joined in phrases(texts, salts):
-                some = np.flatnonzero(maybe_in(hashes.view(np.int64), held.value))
+                some = np.flatnonzero(_is_known(hashes, held.value))
                 counts.add(words, hashes[some], start[some], stop[some], named[text[some]], joined)
-                if len(counts.names) > HELD // 4:
+                if len(counts.phrases) > NAMED:
                     yield counts.handed_on()
         yield counts.handed_on()
 
@@ -306,15 +336,24 @@ def _totals(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def frequent_phrases(rows: DataFrame, mass: int, *, longest: int = LONGEST, min_count: int = MIN_COUNT, partition_mass: int = PARTITION_MASS) -> DataFrame:
+def _marked(hashes: DataFrame, parts: int) -> Known:
+    """A bitmap of 32 bits or more for each hash, 32 MB at most; it only spares work, and may hold more."""
+    return bitmap(hashes, 1 << max(16, min(28, (32 * hashes.count()).bit_length()))), parts
+
+
+def frequent_phrases(rows: DataFrame, words: int, *, longest: int = LONGEST, min_count: int = MIN_COUNT, partition_mass: int = PARTITION_MASS) -> DataFrame:
     """(lang, phrase, words, f): every phrase of up to ``longest`` words that occurs ``min_count`` times, exactly counted.
 
-    The survivors of the summaries are marked in a bitmap of about 16 bits each, 32 MB at
-    most. It only spares counting others: a phrase is counted in all texts or in none.
+    Words and pairs are summarised first, then longer phrases whose pairs all survived.
+    In the exact pass a phrase is counted in all texts or in none.
     """
-    found = staged(survivors(rows, mass, longest=longest, min_count=min_count, partition_mass=partition_mass))
-    bits = 1 << max(16, min(28, (16 * found.count()).bit_length()))
-    counts = _counted(rows, bitmap(found, bits), longest).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
+    short = min(longest, 2)
+    parts = max(1, -(-words * short // partition_mass))
+    found = staged(survivors(rows, words * short, range(1, short + 1), parts, min_count=min_count))
+    if longest > 2:
+        more = survivors(rows, words * (longest - 2), range(3, longest + 1), parts, known=_marked(found, parts), min_count=min_count)
+        found = staged(found.unionAll(more))
+    counts = _counted(rows, _marked(found, parts), longest).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
     return counts.where(F.col("f") >= min_count)
 
 
@@ -354,8 +393,8 @@ def collocations(
     """
     rows = docs.select(F.coalesce(quoted(lang).cast("string"), F.lit(unknown)).alias("lang"), F.coalesce(quoted(text).cast("string"), F.lit("")).cast("binary").alias("text"))
     totals = staged(_totals(rows))
-    mass = longest * (totals.agg(F.sum("n")).first()[0] or 0)
-    frequent = staged(frequent_phrases(rows, mass, longest=longest, min_count=min_count, partition_mass=partition_mass))
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    frequent = staged(frequent_phrases(rows, words, longest=longest, min_count=min_count, partition_mass=partition_mass))
     several = frequent.where("words > 1")
 
     word = F.split("phrase", " ")
