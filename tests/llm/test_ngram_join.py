@@ -188,3 +188,23 @@ def test_each_group_keeps_a_row_with_its_least_id(spark):
     assert sorted(worded) == sorted(least)
     assert all(row[0] == least[groups_of[row]] for row in kept if word_sets(row[1]))
     assert sum(not word_sets(t) for _, t in kept) == sum(not word_sets(t) for _, t in rows)
+
+
+def test_documents_that_only_share_a_passage_do_not_meet_in_pairs(spark, monkeypatch):
+    """A passage in many documents makes no pairs where their own words rule a link out."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    own = lambda k: [f"o{rng.random()}" for _ in range(k)]
+    rows = [(i, " ".join(own(rng.randint(12, 20)) + passage)) for i in range(400)]
+    rows += [(1000 + i, " ".join(passage + own(rng.randint(0, 11)))) for i in range(60)]
+    made, plain = [], ngram_join._meetings
+
+    def counted(still, percent):
+        out = plain(still, percent).cache()
+        made.append((out.count(), still.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_meetings", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(ngram_join.similar_sets(df)) == brute(rows)
+    assert made[0][0] <= 20 * len(rows) and made[0][0] < 0.1 * 400 * 400

@@ -13,7 +13,9 @@ each of its postings, at first the node that meets most others (an original rath
 than its edited copies), then nodes drawn at random; what they link falls into
 components. Nodes that share most with the same head form a cluster, where those outside
 the largest component are compared with all others in tiles. The last round compares
-the pairs of a posting that are in different components and clusters. So no link between
+the pairs of a posting that are in different components and clusters, of sizes near each
+other, and not already kept apart by the prefix shingles that their own components
+alone hold: documents that share a passage and little else. So no link between
 components is missed, while a large group of near copies costs a few comparisons per
 member and no written pairs. Every candidate is verified on the whole sets.
 """
@@ -256,6 +258,32 @@ def _outsiders(members: DataFrame) -> DataFrame:
     return dealt.select("cluster", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
+def _needed(n: Column, m: Column, percent: int) -> Column:
+    """The shared shingles of a link between sets of n and m."""
+    return F.ceil(percent * (n + m) / (100 + percent))
+
+
+def _meetings(still: DataFrame, percent: int) -> DataFrame:
+    """The pairs of nodes that meet in a posting of ``still`` (shingle, node, pos, n, root, cluster) and may link, once per posting.
+
+    They are of other roots and clusters, and of sizes near each other. Of a node's
+    prefix, the shingles in no posting of several roots are missing in every partner, so what a
+    partner can share is known before the join: documents with a passage in common and too
+    much besides do not meet. The smaller set comes first, and it must be
+    shared nearly whole, which few entries of a posting are.
+    """
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
+    still = still.withColumn("most", F.col("n") - (F.col("pos") + 1 - rank))
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.0001 * 100 / percent))).cast("int")  # partners are of one band or two in a row
+    still = staged(still.where(F.col("most") >= F.ceil(percent * F.col("n") / 100)).withColumn("band", band))
+    of = lambda s: still.select("shingle", "band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "pos", "cluster", "n", "most")])
+    left = of("a").where(F.col("most_a") >= _needed(F.col("n_a"), F.col("n_a"), percent))
+    left = left.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+    enough = F.least("most_a", "most_b") >= _needed(F.col("n_a"), F.col("n_b"), percent)
+    return left.join(of("b"), ["shingle", "band"]).where(smaller & F.expr("root_a <> root_b and cluster_a <> cluster_b") & enough)
+
+
 def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -275,7 +303,7 @@ def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", si
 def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """One row per row of ``docs``: doc_id, n shingles, the key of its set (NULL of the empty one), and a number of its component."""
     rows = docs.select(quoted(key).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
-    needed = lambda n, m: F.ceil(percent * (n + m) / (100 + percent))  # noqa: E731  shared shingles of a link
+    needed = lambda n, m: _needed(n, m, percent)
     base = staged(_profiles(rows, size, percent).withColumn("row", F.monotonically_increasing_id()))
     nodes = staged(base.where("n > 0").groupBy("key").agg(F.min("row").alias("node")))
     own = base.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
@@ -287,7 +315,7 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
     met = staged(met.join(own.select("node", "n"), "node").withColumn("alone", F.col("pos") + 1 - rank))
     smallest = met.groupBy("shingle").agg(F.min("n").alias("least_n"))
     shared = met.join(smallest, "shingle").where(F.col("n") - F.col("alone") >= needed(F.col("n"), F.col("least_n")))
-    shared = staged(shared.select("shingle", "node", "pos"))
+    shared = staged(shared.select("shingle", "node", "pos", "n"))
     facts = staged(own.select("node", "doc_id", "n", "demand", "key").join(shared.groupBy("node").agg(F.count("*").alias("met")), "node"))
 
     def plausible(pairs: DataFrame, part: float) -> DataFrame:
@@ -317,7 +345,7 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
         """Entries of the postings whose nodes are not yet of one component, with their roots."""
         if roots is None:
             return shared.withColumn("root", F.col("node"))
-        placed = shared.join(roots, "node", "left").select("shingle", "node", "pos", F.coalesce("root", "node").alias("root"))
+        placed = shared.join(roots, "node", "left").select("shingle", "node", "pos", "n", F.coalesce("root", "node").alias("root"))
         ends = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         return staged(placed.join(ends.where("lo <> hi").select("shingle"), "shingle"))
 
@@ -345,10 +373,9 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
     found = tiled.select("part", "cluster", "i", "j", "node", "root", "own", "hashes").groupBy("part").applyInPandas(_within(percent), "a long, b long")
     links = staged(links.unionAll(found))
 
-    # between clusters the pairs of a posting meet
+    # between clusters the pairs of a posting meet that the shingles no other root has leave possible
     still = parted(components(links)).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
-    left, right = (still.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "pos", "cluster")]) for s in "ab")
-    meet = left.join(right, "shingle").where("node_a < node_b and root_a <> root_b and cluster_a <> cluster_b")
+    meet = _meetings(still, percent)
     pairs = meet.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
         F.count("*").alias("shares"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b")
     )
