@@ -9,20 +9,22 @@ and different values of one format different ones; with the key it can be undone
 
 Two networks are used. ``_mix_text`` works on the two halves of a string: each round
 shifts the letters and digits of one half, within their class, by amounts that a keyed
-hash draws from the other half. ``_mix_numbers`` does the same for a pair of numbers
+hash draws from the other half, hashed once a round. ``_mix_numbers`` does the same for a pair of numbers
 below two moduli, for values whose digits are not free (dates, addresses). Halves are
 never swapped, so every place keeps its character class.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.llm.common import fresh, quoted
 
 ROUNDS = 8
+KEY_SETTING = "spark.tickloom.pseudonym.key"
 
 # kind -> pattern; the order decides between patterns that fit at one place
 PATTERNS = {
@@ -44,6 +46,18 @@ FIRST_DAY, DAYS = "1800-01-01", (189, 773)  # 400 years, 189 * 773 days
 SSN = (898, 99 * 9999)  # areas 001-899 but 666; groups 01-99 with serials 0001-9999
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``KEY_SETTING``; where it names none, one drawn for this session.
+
+    Set your own and keep it to link pseudonyms between sessions or to undo them.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(16)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
 def _draw(key: str, *parts: Column) -> Column:
     """A keyed number below 2**60."""
     return F.conv(F.left(F.sha2(F.concat_ws("\u0001", F.lit(key), *[p.cast("string") for p in parts]), 256), F.lit(15)), 16, 10).cast("long")
@@ -64,13 +78,23 @@ def _shift(char: Column, by: Column, undo: bool) -> Column:
     )
 
 
+def _shifts(key: str, kind: str, i: Column, other: Column, n: Column) -> Column:
+    """``n`` keyed numbers below 2**16, an array: the other half is hashed once, and the hash with a block number gives 16 of them."""
+    seed = F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit(kind), i.cast("string"), n.cast("string"), other), 256)
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / 16), F.lit(0)).cast("int"))
+    number = lambda digest, k: F.conv(F.substring(digest, k * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    numbers = lambda digest: F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: number(digest, k))
+    # the seed as the only element of an array: inside a lambda it would be hashed again for every block
+    drawn = F.transform(F.array(seed), lambda own: F.flatten(F.transform(blocks, lambda b: numbers(F.sha2(F.concat_ws("\u0001", own, b.cast("string")), 256)))))
+    return F.slice(F.element_at(drawn, 1), F.lit(1), n)
+
+
 def _mix_text(text: Column, key: str, kind: str, undo: bool) -> Column:
+    """Work in proportion to the length of ``text``: characters and shifts are arrays walked side by side."""
     half = F.floor(F.length(text) / 2).cast("int")
 
     def moved(part: Column, other: Column, i: Column) -> Column:
-        char = lambda j: _shift(F.substring(part, j, F.lit(1)), _draw(key, F.lit(kind), i, j, other), undo)
-        places = F.filter(F.sequence(F.lit(0), F.length(part)), lambda j: j > 0)
-        return F.array_join(F.transform(places, char), "")
+        return F.zip_with(part, _shifts(key, kind, i, F.array_join(other, ""), F.size(part)), lambda char, by: _shift(char, by, undo))
 
     def step(state: Column, i: Column) -> Column:
         left, right = state["l"], state["r"]
@@ -78,8 +102,9 @@ def _mix_text(text: Column, key: str, kind: str, undo: bool) -> Column:
             i % 2 == 1, F.struct(moved(left, right, i).alias("l"), right.alias("r"))
         ).otherwise(F.struct(left.alias("l"), moved(right, left, i).alias("r")))
 
-    start = F.struct(F.left(text, half).alias("l"), F.substring(text, half + 1, F.length(text)).alias("r"))
-    return F.aggregate(_rounds(undo), start, step, lambda s: F.concat(s["l"], s["r"]))
+    chars = lambda part: F.filter(F.split(part, ""), lambda c: c != "")
+    start = F.struct(chars(F.left(text, half)).alias("l"), chars(F.substring(text, half + 1, F.length(text))).alias("r"))
+    return F.aggregate(_rounds(undo), start, step, lambda s: F.concat(F.array_join(s["l"], ""), F.array_join(s["r"], "")))
 
 
 def _mix_numbers(x: Column, a: int, y: Column, b: int, key: str, kind: str, undo: bool, finish: Callable) -> Column:
@@ -248,7 +273,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str =
     ``undo`` turns pseudonyms back under the same key.
 
     One map over the rows: no shuffle, nothing to skew; texts of any length are handled
-    whole. NULL text stays NULL with count 0. A column called ``count`` is replaced.
+    whole, in time in proportion to their length and to that of each value. NULL text stays NULL with count 0. A column called ``count`` is replaced.
     """
     body = quoted(text)
     found = F.regexp_extract_all(body, F.lit(ANY), F.lit(0))

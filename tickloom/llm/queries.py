@@ -13,7 +13,7 @@ from tickloom.llm.infill import fill_in_middle, restored
 from tickloom.llm.ngram_join import similar_sets
 from tickloom.llm.packing import pack, tokenise
 from tickloom.llm.phrases import collocations
-from tickloom.llm.pii import pseudonymise
+from tickloom.llm.pii import pseudonymise, session_key
 from tickloom.llm.sharding import interleave
 from tickloom.llm.url_filter import HostRule, judge_urls
 from tickloom.llm.vector_dedup import link_vectors
@@ -68,7 +68,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal values replaced by their keyed pseudonyms."""
-    return pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
+    return pseudonymise(read(spark, sf_dir, "documents"), session_key(spark))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
