@@ -27,6 +27,15 @@ def expected(texts, limit):
             yield i, piece, start, stop - start, zlib.crc32(np.array(ids[start:stop], "<u4").tobytes())
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "\u3000", "7", "a", "é", "-"])
+def test_long_runs(run):
+    text = run * 1_000_000 + "x"
+    with open(PATH, encoding="utf-8") as file:
+        spec = file.read()
+    got = packing.encoder(spec)(text)
+    assert (got == np.array(Tokenizer.from_str(spec).encode(text, add_special_tokens=False).ids)).all()
+
+
 def check(df, limit):
     assert (df.length <= limit).all() and (df.length > 0).all()
     for _, rows in df.sort_values("offset").groupby("sequence_id"):

@@ -62,11 +62,12 @@ def encoder(spec: str):
         merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
         by_rank = all(a < b for a, b in zip(merged, merged[1:], strict=False))
     special = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
-    if not by_rank:
-        from tokenizers import Tokenizer
+    from tokenizers import Tokenizer
 
-        slow = Tokenizer.from_str(spec)
-        return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    slow = Tokenizer.from_str(spec)
+    plainly = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    if not by_rank:
+        return plainly
 
     import tiktoken
 
@@ -74,7 +75,14 @@ def encoder(spec: str):
     ranks = {bytes(symbols[c] for c in token): n for token, n in vocab.items() if token not in special}
     fast = tiktoken.Encoding("bpe", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens=special)
     allowed = set(special)
-    return lambda text: fast.encode_to_numpy(text, allowed_special=allowed)
+
+    def run(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special=allowed)
+        except ValueError:  # its pattern needs a stack as deep as a run of white space is long
+            return plainly(text)
+
+    return run
 
 
 def tokenise(
@@ -84,7 +92,8 @@ def tokenise(
 
     A document's tokens are those of its whole text and the token ``end``. Longer ones
     than ``limit`` are cut into pieces of ``limit`` tokens, of which the first may be
-    shorter. NULL text is empty: one piece that holds ``end`` alone. ``tokenizer`` is
+    shorter. NULL text is empty: one piece that holds ``end`` alone. Texts are encoded
+    whole, however long they or their runs of one character are. ``tokenizer`` is
     the path of a tokenizer's JSON on the driver; its content travels with the job.
     """
     with open(tokenizer, encoding="utf-8") as file:
