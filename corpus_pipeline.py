@@ -10,8 +10,8 @@ from tickloom.llm.decontamination import without_leaks
 from tickloom.llm.language_id import identify
 from tickloom.llm.ngram_join import one_of_each
 from tickloom.llm.packing import pack, tokenise
-from tickloom.llm.pii import pseudonymise
-from tickloom.llm.queries import LANGUAGES, PII_KEY
+from tickloom.llm.pii import pseudonymise, session_key
+from tickloom.llm.queries import LANGUAGES
 from tickloom.session import scratch, use_utc
 
 
@@ -35,7 +35,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values replaced by pseudonyms; n_chars follows the text."""
-    done = pseudonymise(docs, PII_KEY, count="n_private")
+    done = pseudonymise(docs, session_key(spark), count="n_private")
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("n_private") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
     return done.select(docs.columns)
