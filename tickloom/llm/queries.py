@@ -27,7 +27,6 @@ URL_RULES = (
 )
 
 LANGUAGES = ("de", "en", "es", "fr")
-PII_KEY = "corpus"  # set your own; whoever has it can undo the pseudonyms
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
