@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import blocks
 from tickloom.operators.candles import normalise_candles
 from tickloom.operators.pairing import QUOTE, VWAP
+from tickloom.plans import views
 from tickloom.schemas import CANDLE_MESSAGE, MEASURE
 from tickloom.session import use_rocksdb
 from tickloom.sources.topics import stream_topic
@@ -73,6 +74,27 @@ def feed(spark, tmp_path):
     return made
 
 
+def test_slices_hold_all_events_in_order(spark, tmp_path):
+    """No time, an outlying time and a crowded moment make no large slice and lose nothing."""
+    at = lambda s: T0 + timedelta(seconds=s)
+    rows = [(i, at(i // 3)) for i in range(300)] + [(1000 + i, at(50)) for i in range(400)] + [(2000 + i, None) for i in range(20)] + [(3000, at(10**8)), (3001, at(-(10**8)))]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz").repartition(3)
+    path = str(tmp_path / "slices")
+    bounds = views.write_slices(events, path, rows_per_slice=100)
+    files = sorted((f for f in os.listdir(path) if f.endswith(".parquet")), key=lambda f: os.stat(os.path.join(path, f)).st_mtime_ns)
+    held = [[tuple(r) for r in spark.read.parquet(os.path.join(path, f)).collect()] for f in files]
+    assert sorted((r for part in held for r in part), key=str) == sorted(rows, key=str)
+    assert max(map(len, held)) <= 160 and len(held) >= 7
+    assert bounds == sorted(set(bounds)) and bounds[0] == at(-(10**8)) and bounds[-1] == at(10**8) + timedelta(microseconds=1)
+    times = [[t for _, t in part if t is not None] for part in held]
+    assert all(max(a) <= min(b) for a, b in zip(times, times[1:]) if a and b)
+    assert len(held[0]) == 20 and all(t is not None for part in held[1:] for _, t in part)
+    alone = views.write_slices(events.where("ts is null"), str(tmp_path / "none"))
+    assert alone == [] and spark.read.parquet(str(tmp_path / "none")).count() == 20
+    few = views.write_slices(events.where("event_id < 400"), str(tmp_path / "few"))
+    assert len(few) == 5
+
+
 def run(spark, windows, tmp_path, mode):
     log = BatchTable(str(tmp_path / "log"))
     query = start_batches(windows, log.write, str(tmp_path / "cp"), mode=mode, trigger=AVAILABLE_NOW)
@@ -89,9 +111,10 @@ BATCH = {1: 10.0, 2: 17.5, 3: LATE_THIRD, 4: LATE_THIRD, 5: LATE_THIRD, 6: 37.8,
          8: 40.0, 9: 40.0, 10: 40.0, 11: 40.0, 12: 40.0, 13: 50.0, 14: 50.0, 15: 50.0, 16: 50.0, 17: 50.0}
 
 
+@pytest.mark.parametrize("nested", [False, True])
 @pytest.mark.parametrize("delay,newest", [("2 minutes", 10), ("0 seconds", 12)])
-def test_append_publishes_each_closed_window_once(spark, feed, tmp_path, delay, newest):
-    rows = run(spark, stream_vwap(feed.ticks(), delay), tmp_path, "append")[0].collect()
+def test_append_publishes_each_closed_window_once(spark, feed, tmp_path, delay, newest, nested):
+    rows = run(spark, stream_vwap(feed.ticks(), delay, nested=nested), tmp_path, "append")[0].collect()
     assert len(rows) == newest
     assert {end(r): r.vwap for r in rows} == {m: BATCH[m] for m in range(1, newest + 1)}
 
@@ -111,6 +134,29 @@ def test_late_rows_are_dropped_and_counted(spark, feed, tmp_path):
     assert dropped > 0
 
 
+def test_panes_emit_in_the_same_batches_as_one_aggregate(spark, feed, tmp_path):
+    feed.add([("00:13:10.000", 50, 1)]).add([("00:30:00.000", 60, 1)])
+    logs = []
+    for nested in (False, True):
+        folder = tmp_path / str(nested)
+        log = run(spark, stream_vwap(feed.ticks(), "2 minutes", nested=nested), folder, "append")[0]
+        logs.append(sorted(tuple(r) for r in log.select("batch_id", "symbol", "window_start", "window_end", "vwap").collect()))
+    assert logs[0] == logs[1] and len(logs[0]) > 10
+
+
+def test_a_tick_after_its_pane_counts_nowhere(spark, tmp_path):
+    """With one aggregate it would count in those of its windows that are still open."""
+    feed = Feed(spark, str(tmp_path / "candles"))
+    for rows in [[("00:00:10.000", 10, 1)], [("00:03:30.000", 20, 1)], [("00:03:40.000", 20, 1)], [("00:00:20.000", 90, 1)], [("01:00:00.000", 1, 1)], [("01:10:00.000", 1, 1)]]:
+        feed.add(rows)
+    ends = {}
+    for nested in (False, True):
+        log = run(spark, stream_vwap(feed.ticks(), "1 minute", nested=nested), tmp_path / str(nested), "append")[0]
+        ends[nested] = {end(r): r.vwap for r in log.collect()}
+    assert ends[True][1] == ends[False][1] == 10.0 and ends[True].keys() == ends[False].keys()
+    assert ends[True][5] == round(50 / 3, 8) and ends[False][5] == 35.0
+
+
 def test_restart_continues_where_it_stopped(spark, tmp_path):
     feed = Feed(spark, str(tmp_path / "candles"))
     for rows in FILES[:3]:

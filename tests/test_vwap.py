@@ -88,3 +88,16 @@ def test_a_stream_needs_a_watermark(spark):
     stream = spark.readStream.format("rate").load().withColumn("event_timestamp", F.col("timestamp"))
     with pytest.raises(ValueError, match="watermark"):
         vwap(stream)
+
+
+def test_streams_hand_panes_on(spark, tmp_path):
+    """Asked for, a stream's ticks meet one state per slide, without being spread over windows first."""
+    folder = str(tmp_path / "ticks")
+    ticks(spark, SCENARIO).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")).write.parquet(folder)
+    feed = clean_ticks(spark.readStream.schema(SCHEMA.replace("timestamp_ntz", "timestamp")).parquet(folder))
+    plan = vwap(feed, watermark="2 minutes", nested=True)._jdf.queryExecution().analyzed().toString()
+    expand, panes, windows = plan.find("Expand"), plan.rfind("Aggregate"), plan.find("Aggregate")
+    assert windows < expand < panes  # the tree is printed from the top: ticks reach the panes unexpanded
+    assert plan.count("Expand") == 1 and plan.count("Aggregate") == 2
+    plain = vwap(feed, watermark="2 minutes")._jdf.queryExecution().analyzed().toString()
+    assert plain.count("Aggregate") == 1 and plain.find("Aggregate") < plain.find("Expand")

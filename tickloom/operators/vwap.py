@@ -28,6 +28,13 @@ def _nested_sums(ticks: DataFrame, size: str, slide: str) -> DataFrame:
     )
 
 
+def _chained_sums(ticks: DataFrame, size: str, slide: str) -> DataFrame:
+    """The same of a stream in two states: a pane is handed on once, when the watermark closes it."""
+    panes = _sums(ticks, F.window("event_timestamp", slide).alias("pane"))
+    over = F.window(F.window_time("pane"), size, slide).alias("window")
+    return _sums(panes, over, "weighted_price_sum", "volume_sum")
+
+
 def _whole_slides(size: str, slide: str) -> bool:
     """True when windows are made of more than one whole slide."""
     length, step = duration_seconds(size), duration_seconds(slide)
@@ -42,22 +49,31 @@ def vwap(
     watermark: str | None = None,
     positive_volume: bool = True,
     round_to: int | None = 8,
-    nested: bool = True,
+    nested: bool | None = None,
 ) -> DataFrame:
     """``window, symbol, weighted_price_sum, volume_sum, vwap`` per half-open window.
 
     In batch, ticks are first summed per slide and only those panes are spread
     over the windows holding them (``nested``, where the size is a multiple of the
     slide): a tick is hashed once, not once per window, and any hot symbol or
-    minute shrinks map-side. A stream keeps one aggregate, so that every output
-    mode works, and needs a ``watermark`` to let go of old state.
+    minute shrinks map-side.
+
+    A stream needs a ``watermark`` to let go of old state. It keeps one aggregate, so that
+    every output mode works, unless ``nested`` is asked for: then a tick
+    enters the state of its pane alone, and the panes that the watermark closes
+    enter that of the windows. This works in append mode, and emits the same windows in the same
+    micro-batches. A tick that comes after its pane was closed counts in no window; with one
+    aggregate it still counts in those of its windows that are open.
     """
     if ticks.isStreaming:
         if watermark is None:
             raise ValueError("a stream needs a watermark, or its state grows without end")
         timed = ticks.withWatermark("event_timestamp", watermark)
-        sums = _sums(timed, F.window("event_timestamp", size, slide).alias("window"))
-    elif nested and _whole_slides(size, slide):
+        if nested and _whole_slides(size, slide):
+            sums = _chained_sums(timed, size, slide)
+        else:
+            sums = _sums(timed, F.window("event_timestamp", size, slide).alias("window"))
+    elif nested is not False and _whole_slides(size, slide):
         sums = _nested_sums(ticks, size, slide)
     else:
         sums = _sums(ticks, F.window("event_timestamp", size, slide).alias("window"))

@@ -383,7 +383,7 @@ def _run_windows(spark: SparkSession, windows: DataFrame, mode: str) -> DataFram
 
 def _vwap_stream(watermark: str, mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        windows = stream_vwap(views.sliced_tick_stream(spark, sf_dir), watermark)
+        windows = stream_vwap(views.sliced_tick_stream(spark, sf_dir), watermark, nested=mode == "append")
         return _show_windows(_run_windows(spark, windows, mode))
 
     return query
@@ -400,18 +400,19 @@ def q_vwap_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_vwap_stream_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four micro-batches of a quarter each; one symbol falls silent after the first.
+    """At least four micro-batches; one symbol falls silent after a quarter of the time.
 
     Its last window closes after its last refresh, and is published by a later batch.
     """
     use_rocksdb(spark)
     events = views.table(spark, sf_dir, "events")
     path, bounds = views.event_slices(spark, sf_dir)
+    quarter = bounds[0] + (bounds[-1] - timedelta(microseconds=1) - bounds[0]) / 4
     silent = F.col("symbol") == "purchase"
-    last = events.filter((F.col("event_type") == "purchase") & (F.col("ts") < F.lit(bounds[1]).cast("timestamp_ntz"))).agg(F.max("ts")).first()[0]
+    last = events.filter((F.col("event_type") == "purchase") & (F.col("ts") < F.lit(quarter).cast("timestamp_ntz"))).agg(F.max("ts")).first()[0]
     ticks = views.stream_ticks(views.event_stream(spark, path, 1))
-    ticks = ticks.filter(~silent | (F.col("event_timestamp") < F.lit(bounds[1]).cast("timestamp_ntz").cast("timestamp")))
-    closing = [last + timedelta(seconds=1), *bounds[2:]]
+    ticks = ticks.filter(~silent | (F.col("event_timestamp") < F.lit(quarter).cast("timestamp_ntz").cast("timestamp")))
+    closing = [min(bounds[1], last + timedelta(seconds=1)), *bounds[2:]]
     log = BatchTable(scratch(spark, "newest"))
     as_of = lambda batch_id: closing[min(batch_id, len(closing) - 1)]
     publish_newest(ticks, scratch(spark, "checkpoint"), log.write, as_of=as_of, trigger=AVAILABLE_NOW).awaitTermination()

@@ -57,21 +57,58 @@ def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.parquet(path)
 
 
-def event_slices(spark: SparkSession, sf_dir: str) -> tuple[str, list[datetime]]:
-    """The events cut by time into at least four files, written oldest first, and the cuts' bounds.
+def _slice_bounds(events: DataFrame, least: int, rows_per_slice: int) -> list[datetime]:
+    """Lower bounds of slices of about equally many rows, and a bound after the last event.
 
-    A slice holds about ``ROWS_PER_SLICE`` rows at most, so one file each is no bottleneck.
+    Cut at quantiles of the time, so neither a crowded hour nor an outlying time makes a
+    slice large. A moment that spans several quantiles gets a slice of its own.
+    """
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    n = events.agg(F.count("ts").alias("n")).first().n
+    parts = max(least, -(-n // rows_per_slice))
+    shares = F.array(*[F.lit(i / parts) for i in range(parts)])
+    facts = events.agg(F.percentile_approx(micros, shares, 100 * parts).alias("cuts"), F.min(micros).alias("lo"), F.max(micros).alias("hi")).first()
+    if facts.lo is None:
+        return []
+    cuts = [facts.lo, *facts.cuts[1:]]
+    crowded = {a for a, b in zip(cuts, cuts[1:], strict=False) if a == b}
+    bounds = sorted({*cuts, *(c + 1 for c in crowded), facts.hi + 1})
+    return [datetime(1970, 1, 1) + timedelta(microseconds=m) for m in bounds]
+
+
+def write_slices(events: DataFrame, path: str, least: int = 4, rows_per_slice: int = ROWS_PER_SLICE) -> list[datetime]:
+    """Write the events in at least ``least`` slices of time, oldest first, as files a stream reads one by one.
+
+    Returns the slices' bounds. Events without a time come before them. The events are read
+    once and dealt into a folder per slice; each slice is then written from its own folder,
+    after the one before: streams take files by age. A slice is one file, but for those without
+    a time and for a crowded moment, whose rows need no order: they have one per ``rows_per_slice`` rows.
     """
-    events, path = table(spark, sf_dir, "events"), scratch(spark, "slices")
-    facts = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")).first()
-    parts = max(4, -(-facts.n // ROWS_PER_SLICE))
-    step = (facts.hi - facts.lo) / parts
-    bounds = [facts.lo + i * step for i in range(parts)] + [facts.hi + timedelta(microseconds=1)]
-    for lo, hi in zip(bounds, bounds[1:], strict=False):
-        at = F.col("ts")
-        part = events.filter((at >= F.lit(lo).cast("timestamp_ntz")) & (at < F.lit(hi).cast("timestamp_ntz")))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path, bounds
+    spark, dealt = events.sparkSession, scratch(events.sparkSession, "dealt")
+    bounds = _slice_bounds(events, least, rows_per_slice)
+    stamps = [F.lit(b).cast("timestamp_ntz") for b in bounds[1:-1]]
+    number = F.size(F.filter(F.array(*stamps), lambda b: b <= F.col("ts"))) if stamps else F.lit(0)
+    number = F.when(F.col("ts").isNull(), -1).otherwise(number)
+    events.withColumn("_slice", number).write.partitionBy("_slice").parquet(dealt)
+    sizes = {r[0]: r[1] for r in spark.read.parquet(dealt).groupBy("_slice").count().collect()}
+    for i in sorted(sizes):
+        part = spark.read.schema(events.schema).parquet(f"{dealt}/_slice={i}")
+        alike = i < 0 or bounds[i + 1] - bounds[i] == timedelta(microseconds=1)
+        files = -(-sizes[i] // rows_per_slice) if alike else 1
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
+    return bounds
+
+
+_SLICES: dict[tuple[str, str], tuple[str, list[datetime]]] = {}
+
+
+def event_slices(spark: SparkSession, sf_dir: str) -> tuple[str, list[datetime]]:
+    """The events cut by time into at least four files, and the cuts' bounds; written once in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SLICES:
+        path = scratch(spark, "slices")
+        _SLICES[key] = path, write_slices(table(spark, sf_dir, "events"), path)
+    return _SLICES[key]
 
 
 def sliced_tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,8 +34,10 @@ def publish_vwap(
 ) -> StreamingQuery:
     """Send windows to a topic: once each with ``append``, at every refresh with ``update``.
 
-    ``watermark='0 seconds'`` closes a window as soon as a later event is seen.
+    ``watermark='0 seconds'`` closes a window as soon as a later event is seen. In append
+    mode ticks are summed per slide first (``nested``).
     """
+    settings.setdefault("nested", mode == "append")
     messages = vwap_messages(stream_vwap(ticks, watermark, **settings), calculation_time, volume_sum)
     return start_topic(messages, topic, checkpoint, options, mode=mode, trigger=trigger, fmt=fmt)
 
