@@ -159,3 +159,30 @@ def test_distinct_quotes_keep_the_same_ends(spark):
     windows = spark.createDataFrame([(s, T0 + timedelta(minutes=m), 1.0) for s in "AB" for m in range(12)], "symbol string, window_end timestamp_ntz, vwap double")
     named = {"time": "at", "order": "id"}
     assert sorted(map(str, pair_asof(windows, ticks, **named).collect())) == sorted(map(str, pair_asof(windows, ticks, slide="1 minute", **named).collect()))
+
+
+def test_pairs_in_a_crowded_second(spark, monkeypatch):
+    """All messages of a symbol in one second, in pieces a twentieth of that: the pairs are the same."""
+    monkeypatch.setattr(blocks, "ROWS_PER_PIECE", 20)
+    rng = random.Random(9)
+    at = lambda: T0 + timedelta(microseconds=rng.randrange(0, 900_000, 7000))
+    messages = []
+    for i in range(400):
+        side = rng.randint(0, 1)
+        bounds = (minute(0), minute(5)) if side == VWAP else (None, None)
+        messages.append((rng.choice("AAAB"), at(), side, i, float(i), *bounds))
+    folded = fold_arrivals(spark.createDataFrame(messages, PENDING))
+    pairs, left = brute_fold(messages)
+    assert rows_of(pairs_of(folded)) == pairs and len(pairs) > 50
+    assert {(r.symbol, r.side, r.value) for r in pending(folded).collect()} == left
+
+    ticks = [(rng.choice("AAAB"), at(), float(i), i) for i in range(300)]
+    windows = [(s, T0, at(), float(i)) for i, s in enumerate("AAB" * 40)]
+    got = pair_asof(spark.createDataFrame(windows, WINDOWS), spark.createDataFrame(ticks, TICKS), order="event_id")
+    want = []
+    for symbol, start, end, vwap in windows:
+        earlier = [(t, i, p) for s, t, p, i in ticks if s == symbol and t < end]
+        if earlier:
+            time, _, price = max(earlier)
+            want.append((symbol, start, end, vwap, time, price))
+    assert sorted((r.symbol, r.window_start, r.window_end, r.vwap, r.quote_time, r.close) for r in got.collect()) == sorted(want)

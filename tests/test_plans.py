@@ -104,6 +104,27 @@ def test_pieces_follow_the_rows_not_the_clock(spark):
     assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
 
 
+def test_pieces_cut_a_crowded_second(spark):
+    """Borders lie inside a second, between rows of different time or order."""
+    at = "timestampadd(MICROSECOND, cast(id % 3 as int), timestamp_ntz'2020-01-01 00:00:10')"
+    crowd = spark.range(1000).select(F.lit("A").alias("symbol"), F.expr(at).alias("at"), F.expr("1000 - id").alias("seq"))
+    quiet = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("symbol"),
+        F.expr("timestampadd(SECOND, cast(id div 10 as int), timestamp_ntz'2020-01-01 00:00:00')").alias("at"),
+        F.col("id").alias("seq"),
+    )
+    rows = crowd.unionByName(quiet).repartition(5)
+    cut = with_pieces(rows, "symbol", "at", rows=100, order=["seq"]).cache()
+    assert cut.columns == ["symbol", "at", "seq", "_piece"] and cut.count() == 1400
+    sizes = {(r.symbol, r._piece): r["count"] for r in cut.groupBy("symbol", "_piece").count().collect()}
+    assert max(sizes.values()) <= 200 and 11 <= len(sizes) <= 18
+    ends = [F.min(F.struct("at", "seq")).alias("lo"), F.max(F.struct("at", "seq")).alias("hi")]
+    ordered = [(r.symbol, r.lo, r.hi) for r in cut.groupBy("symbol", "_piece").agg(*ends).orderBy("symbol", "_piece").collect()]
+    assert all(a[0] != b[0] or tuple(a[2]) < tuple(b[1]) for a, b in zip(ordered, ordered[1:]))
+    whole = with_pieces(rows, "symbol", "at", rows=100).groupBy("symbol", "_piece").count().agg(F.max("count")).first()[0]
+    assert whole >= 1000  # without an order the second stays whole
+
+
 @pytest.mark.parametrize("name", ["indicators", "pair_asof", "pair_latest", "last_n_bars"])
 def test_results_do_not_depend_on_broadcasting(spark, sf_dir, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

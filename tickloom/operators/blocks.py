@@ -13,8 +13,12 @@ rate are cut by measured counts instead (``with_pieces``).
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.session import staged
+
 # A block with its halo of up to 299 rows and a grain too many at either end stays
 # below the 4096 rows a window step buffers without going through its spillable sorter.
 ROWS_PER_GRAIN = 128
@@ -98,7 +102,15 @@ def newest_rows(
     return placed.withColumn("_rank", rank).filter(F.col("_rank") <= n).select(*df.columns)
 
 
-def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, seconds: int = 1) -> DataFrame:
+def with_pieces(
+    df: DataFrame,
+    key: str,
+    time: str,
+    rows: int | None = None,
+    seconds: int = 1,
+    order: Sequence[str] = (),
+    stage: Callable[[DataFrame], DataFrame] = staged,
+) -> DataFrame:
     """Add ``_piece``: consecutive pieces of about ``rows`` rows of each key, however dense.
 
     For rows without an interval that bounds them. Rows are counted per moment (a
@@ -106,10 +118,17 @@ def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, sec
     and a quiet year into one. The running count is taken within spans of an hour and
     over the spans, so that no task orders all the moments of a key. Rows without a
     key or a time are left out.
+
+    ``order`` names columns that order the rows of one time. With it a moment of more than
+    ``rows`` rows is cut as well, at sampled splitters of time and ``order``: such rows alone
+    are dealt by range, and each range is a piece after what the key has before. Rows
+    equal in time and ``order`` stay together. Where no moment is that crowded, nothing
+    is dealt. The moments are kept by ``stage``, since whether there are crowded ones is asked first.
     """
     df = in_a_series(df, key, time)
     rows = rows or ROWS_PER_PIECE
     moments = df.groupBy(key, grain_start(time, seconds).alias("_moment")).agg(F.count(F.lit(1)).alias("_n"))
+    moments = stage(moments) if order else moments
     moments = moments.withColumn("_span", grain_start("_moment", seconds * 3600))
     earlier_spans = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     earlier_moments = Window.partitionBy(key, "_span").orderBy("_moment").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,6 +140,14 @@ def with_pieces(df: DataFrame, key: str, time: str, rows: int | None = None, sec
     places = (
         moments.withColumn("_inside", F.coalesce(F.sum("_n").over(earlier_moments), F.lit(0)))
         .join(spans, [key, "_span"])
-        .select(key, "_moment", F.expr(f"(_before + _inside) div {rows}").alias("_piece"))
+        .select(key, "_moment", F.expr(f"(_before + _inside) div {rows}").alias("_piece"), (F.col("_n") > rows).alias("_crowded"))
     )
-    return df.withColumn("_moment", grain_start(time, seconds)).join(places, [key, "_moment"]).drop("_moment")
+    placed = df.withColumn("_moment", grain_start(time, seconds)).join(places, [key, "_moment"]).drop("_moment")
+    crowd = moments.filter(F.col("_n") > rows).agg(F.sum("_n").alias("n")).first().n if order else None
+    if not crowd:
+        return placed.drop("_crowded")
+    # a crowded moment ends every piece number it starts in, so the numbers between are free for its parts
+    placed = placed.withColumn("_piece", F.col("_piece") * F.lit(1 << 31))
+    dealt = placed.filter("_crowded").repartitionByRange(-(-crowd // rows), key, time, *order)
+    dealt = dealt.withColumn("_piece", F.col("_piece") + 1 + F.spark_partition_id())
+    return placed.filter(~F.col("_crowded")).unionByName(dealt).drop("_crowded")

@@ -3,12 +3,13 @@
 Both work on consecutive grains of one symbol's rows, so a symbol with most of the
 rows is spread over many tasks; what has to cross a grain border is carried by a
 table with one row per (symbol, grain). A grain is a span of time where the rows in
-it are bounded, else (``grain=None``) a piece of about equally many rows.
+it are bounded, else (``grain=None``) a piece of about equally many rows, whose border may
+lie between two rows of one second.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,9 +30,9 @@ def _no_time() -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
-def _with_grains(rows: DataFrame, time: str, grain: str | None) -> DataFrame:
+def _with_grains(rows: DataFrame, time: str, grain: str | None, order: Sequence[str], stage: Stage) -> DataFrame:
     if grain is None:
-        return with_pieces(rows, "symbol", time).withColumnRenamed("_piece", "_grain")
+        return with_pieces(rows, "symbol", time, order=order, stage=stage).withColumnRenamed("_piece", "_grain")
     return rows.withColumn("_grain", F.window(time, grain)["start"])
 
 
@@ -89,7 +90,7 @@ def pair_asof(
     so_far = Window.partitionBy("symbol", "_grain").orderBy("_at", "_rank")
     earlier = Window.partitionBy("symbol").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
     local = stage(
-        _with_grains(rows, "_at", grain)
+        _with_grains(rows, "_at", grain, ("_rank", "_quote"), stage)
         .withColumn("_last", F.max("_quote").over(so_far))
         .select("symbol", "_grain", "_window", "_last")
     )
@@ -212,7 +213,7 @@ def fold_arrivals(messages: DataFrame, grain: str | None = None, stage: Stage =
     payload = F.struct(*PAYLOAD)
     unchanged = F.when((F.col("_i") > 1) & (F.col("_prev.side") == F.col("side")), F.col("_i"))
     local = stage(
-        _with_grains(messages.select(*MESSAGE_COLUMNS), "arrival", grain)
+        _with_grains(messages.select(*MESSAGE_COLUMNS), "arrival", grain, (*ARRIVAL_ORDER[1:], "value"), stage)
         .withColumns({"_i": F.row_number().over(in_grain), "_prev": F.lag(payload).over(in_grain)})
         .withColumn("_unchanged", F.max(unchanged).over(so_far))
     )
