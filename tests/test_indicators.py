@@ -1,9 +1,11 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from tickloom.operators.bars import last_n_bars
+from tickloom.operators.blocks import with_counted_blocks
 from tickloom.operators.indicators import ema_of_array, ordered_history, with_indicators
 
 NAMES = ["SMA_200", "EMA_50", "EMA_12", "EMA_26", "RSI_14", "MACD"]
@@ -167,3 +169,26 @@ def test_bars_without_symbol_or_time_are_left_out_alike(spark):
         kept = last_n_bars(bars, n)
         assert kept.columns == bars.columns and kept.count() == 5
     assert sorted(r.close for r in last_n_bars(bars, 2).collect()) == [4.0, 5.0]
+
+
+def test_irregular_series_with_a_crowded_second(spark):
+    """Rows at any distance, most of them in one second and many at one time: no block is long, and the values are exact."""
+    closes = wave(900, seed=5)
+    rng = random.Random(4)
+    times, at = [], datetime(2024, 1, 1)
+    for i in range(900):
+        if 100 <= i < 700:
+            at += timedelta(microseconds=rng.choice([0, 0, 1]))
+        else:
+            at += timedelta(seconds=rng.choice([0.5, 3, 86400]))
+        times.append(at)
+    rows = [("A", t, c, i) for i, (t, c) in enumerate(zip(times, closes))] + [("B", t, 1.0, -i) for i, t in enumerate(times[:5])]
+    rng.shuffle(rows)
+    ticks = spark.createDataFrame(rows, "symbol string, datetime timestamp_ntz, close double, id long").repartition(4)
+    got = with_indicators(ticks, NAMES, size=None, order=("id",), rows_per_grain=16, rows_per_block=64)
+    check(got.filter("symbol = 'A'").orderBy("id").collect(), closes)
+    assert got.count() == 905
+    cut = with_counted_blocks(ticks, "symbol", "datetime", 299, ("id",), 16, 64)
+    sizes = [r["count"] for r in cut.groupBy("symbol", "_block").count().collect()]
+    assert max(sizes) <= 64 + 299 + 4 * 32 and len(sizes) > 14
+    assert cut.filter("not _halo").count() == 905

@@ -24,6 +24,11 @@ from tickloom.session import staged
 ROWS_PER_GRAIN = 128
 ROWS_PER_BLOCK = 3500
 ROWS_PER_PIECE = 250_000
+# Rows without an interval: whole pieces lead a block, so blocks are many times as long.
+ROWS_PER_CUT = 4_000
+ROWS_PER_COUNTED_BLOCK = 100_000
+PIECES_PER_STRETCH = 4096
+PIECE_STEP = 1 << 31  # numbers between two pieces, for the parts of a crowded moment
 
 
 def in_a_series(df: DataFrame, key: str, time: str) -> DataFrame:
@@ -66,21 +71,51 @@ def with_blocks(
     seconds = bar_seconds * rows_per_grain
     before = Window.partitionBy(key).orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
     first_row = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    grains = (
-        _grain_counts(df, key, time, seconds)
-        .withColumn("_first", first_row)
-        .select(
-            F.col(key),
-            "_grain",
-            F.expr(f"_first div {rows_per_block}").alias("_own"),
-            F.expr(f"(_first + _n + {halo - 1}) div {rows_per_block}").alias("_last"),
-        )
+    grains = _grain_counts(df, key, time, seconds).withColumn("_first", first_row)
+    return _in_blocks(df.withColumn("_grain", grain_start(time, seconds)), grains, key, halo, rows_per_block)
+
+
+def _in_blocks(df: DataFrame, grains: DataFrame, key: str, halo: int, rows_per_block: int) -> DataFrame:
+    """Rows (with ``_grain``) in the blocks that hold their grain, or need it as halo; ``grains`` knows ``_first`` and ``_n``."""
+    ends = grains.select(
+        F.col(key),
+        "_grain",
+        F.expr(f"_first div {rows_per_block}").alias("_own"),
+        F.expr(f"(_first + _n + {halo - 1}) div {rows_per_block}").alias("_last"),
     )
-    placed = df.withColumn("_grain", grain_start(time, seconds)).join(grains, [key, "_grain"])
+    placed = df.join(ends, [key, "_grain"])
     blocks = placed.withColumn("_block", F.explode(F.sequence("_own", F.greatest("_own", "_last"))))
     return blocks.withColumn("_halo", F.col("_block") != F.col("_own")).drop("_grain", "_own", "_last")
 
 
+def with_counted_blocks(
+    df: DataFrame,
+    key: str,
+    time: str,
+    halo: int,
+    order: Sequence[str] = (),
+    rows_per_piece: int = ROWS_PER_CUT,
+    rows_per_block: int = ROWS_PER_COUNTED_BLOCK,
+    stage: Callable[[DataFrame], DataFrame] = staged,
+) -> DataFrame:
+    """``with_blocks`` for rows that no interval spaces: exact ranks from counts, not from a window over a series.
+
+    The rows are cut into pieces at measured counts (``with_pieces``), also within a second, and
+    kept by ``stage``; the first rank of a piece is the number of rows in those before it,
+    added up within stretches of pieces and over the stretches. ``order`` names
+    columns that order the rows of one time; without it their order is any.
+    """
+    cut = stage(with_pieces(df, key, time, rows_per_piece, order=(time, *order), stage=stage).withColumnRenamed("_piece", "_grain"))
+    stretch = F.floor(F.col("_grain") / (PIECES_PER_STRETCH * PIECE_STEP)).alias("_stretch")
+    pieces = stage(cut.groupBy(key, "_grain").agg(F.count(F.lit(1)).alias("_n"))).select("*", stretch)
+    inside = Window.partitionBy(key, "_stretch").orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = pieces.groupBy(key, "_stretch").agg(F.sum("_n").alias("_rows"))
+    stretches = stretches.select(key, "_stretch", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    ranked = pieces.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(stretches, [key, "_stretch"])
+    return _in_blocks(cut, ranked.withColumn("_first", F.col("_before") + F.col("_inside")), key, halo, rows_per_block)
+
+
 def newest_rows(
     df: DataFrame, key: str, time: str, bar_seconds: int, n: int, rows_per_grain: int = ROWS_PER_GRAIN
 ) -> DataFrame:
@@ -143,11 +178,13 @@ def with_pieces(
         .select(key, "_moment", F.expr(f"(_before + _inside) div {rows}").alias("_piece"), (F.col("_n") > rows).alias("_crowded"))
     )
     placed = df.withColumn("_moment", grain_start(time, seconds)).join(places, [key, "_moment"]).drop("_moment")
-    crowd = moments.filter(F.col("_n") > rows).agg(F.sum("_n").alias("n")).first().n if order else None
-    if not crowd:
+    if not order:
         return placed.drop("_crowded")
     # a crowded moment ends every piece number it starts in, so the numbers between are free for its parts
-    placed = placed.withColumn("_piece", F.col("_piece") * F.lit(1 << 31))
+    placed = placed.withColumn("_piece", F.col("_piece") * F.lit(PIECE_STEP))
+    crowd = moments.filter(F.col("_n") > rows).agg(F.sum("_n").alias("n")).first().n
+    if not crowd:
+        return placed.drop("_crowded")
     dealt = placed.filter("_crowded").repartitionByRange(-(-crowd // rows), key, time, *order)
     dealt = dealt.withColumn("_piece", F.col("_piece") + 1 + F.spark_partition_id())
     return placed.filter(~F.col("_crowded")).unionByName(dealt).drop("_crowded")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tickloom.operators.blocks import ROWS_PER_BLOCK, ROWS_PER_GRAIN, in_a_series, with_blocks
+from tickloom.operators.blocks import ROWS_PER_BLOCK, ROWS_PER_COUNTED_BLOCK, ROWS_PER_CUT, ROWS_PER_GRAIN, with_blocks, with_counted_blocks
 from tickloom.schemas import Interval, interval
 
 # Sums joined per window step: a window step costs more than a lag column.
@@ -91,14 +91,14 @@ def ema_from_sum(total: Column, rows_so_far: Column, span: int, rows: int) -> Co
 
 
 def _series(
-    bars: DataFrame, halo: int, size: str | Interval | None, key: str, time: str, rows_per_grain: int, rows_per_block: int
+    bars: DataFrame, halo: int, size: str | Interval | None, key: str, time: str, order: Sequence[str], rows_per_grain: int | None, rows_per_block: int | None
 ) -> tuple[DataFrame, WindowSpec]:
-    """Rows and the window to compute over: whole series, or blocks when ``size`` bounds them."""
+    """Rows and the window to compute over: blocks of a stretch of time where ``size`` bounds it, else of counted rows."""
     if size is None:
-        whole = in_a_series(bars, key, time).withColumn("_halo", F.lit(False))
-        return whole, Window.partitionBy(key).orderBy(time)
-    cut = with_blocks(bars, key, time, interval(size).seconds, halo, rows_per_grain, rows_per_block)
-    return cut, Window.partitionBy(key, "_block").orderBy(time)
+        cut = with_counted_blocks(bars, key, time, halo, order, rows_per_grain or ROWS_PER_CUT, rows_per_block or ROWS_PER_COUNTED_BLOCK)
+    else:
+        cut = with_blocks(bars, key, time, interval(size).seconds, halo, rows_per_grain or ROWS_PER_GRAIN, rows_per_block or ROWS_PER_BLOCK)
+    return cut, Window.partitionBy(key, "_block").orderBy(time, *order)
 
 
 def with_indicators(
@@ -109,15 +109,18 @@ def with_indicators(
     key: str = "symbol",
     time: str = "datetime",
     close: str = "close",
-    rows_per_grain: int = ROWS_PER_GRAIN,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    order: Sequence[str] = (),
+    rows_per_grain: int | None = None,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Add indicator columns to bars, one series per ``key``.
 
     ``names`` may hold ``prev_close, delta, gain, loss, SMA_200, EMA_50, EMA_12,
     EMA_26, MACD, RSI_14``. ``size`` is the bar interval, which bounds the rows in
-    a stretch of time and so lets the series be cut in blocks; ``None`` computes
-    each series in one task (rows not spaced by an interval).
+    a stretch of time and so lets the series be cut in blocks. With ``None`` (rows not
+    spaced by an interval) the blocks come from counted rows, also where one second
+    holds most of a series; that reads the rows twice and keeps them in between.
+    ``order`` names columns that order rows of one time.
 
     Average gain and loss are simple means over 14 rows; no loss gives RSI 100.
     The SMA skips NULL closes, an EMA over a NULL is NULL. Bars without a key or a
@@ -129,7 +132,7 @@ def with_indicators(
         raise ValueError(f"unknown indicators {unknown}; any of {', '.join(HALO)}")
     wanted = set(names)
     halo = max(HALO[n] for n in names)
-    df, over = _series(bars, halo, size, key, time, rows_per_grain, rows_per_block)
+    df, over = _series(bars, halo, size, key, time, order, rows_per_grain, rows_per_block)
     df = df.withColumns({"_row": F.row_number().over(over), "prev_close": F.lag(close).over(over)})
     delta = F.col(close) - F.col("prev_close")
     df = df.withColumn("delta", delta).withColumns(

@@ -247,6 +247,19 @@ SELECT symbol, datetime, close, round(e12.value, 5) AS "EMA_12", round(e26.value
        round(e12.value - e26.value, 4) AS "MACD"
 FROM simple {_EMAS}""",
     "indicators": f"WITH {_GOLD} {_GOLD_ROWS}",
+    "indicators_irregular": f"""WITH
+moves AS (
+  SELECT event_type AS symbol, ts AS datetime, value AS close, event_id,
+         value - lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS delta
+  FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL),
+means AS (
+  SELECT *, avg(close) OVER (s ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS sma,
+         avg(CASE WHEN delta > 0 THEN delta ELSE 0.0 END) OVER (s ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS gain,
+         avg(CASE WHEN delta < 0 THEN -delta ELSE 0.0 END) OVER (s ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS loss
+  FROM moves WINDOW s AS (PARTITION BY symbol ORDER BY datetime, event_id))
+SELECT symbol, datetime, close, event_id, {_SMA} AS "SMA_200",
+       round(CASE WHEN loss = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + gain / loss) END, 8) AS "RSI_14"
+FROM means""",
     "pair_asof": f"""WITH {_WINDOWS}
 SELECT w.symbol, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
 FROM windows w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp""",

@@ -194,6 +194,13 @@ def q_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(with_indicators(staged(views.bars_with_year(views.daily_bars(spark, sf_dir)))), *GOLD_COLUMNS)
 
 
+def q_indicators_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicators over single ticks, which no interval spaces, in the order of their ids at one time."""
+    events = views.table(spark, sf_dir, "events")
+    ticks = events.select(F.col("event_type").alias("symbol"), F.col("ts").alias("datetime"), F.col("value").alias("close"), "event_id")
+    return _shown(with_indicators(ticks, ("SMA_200", "RSI_14"), size=None, order=("event_id",)), "SMA_200", "RSI_14")
+
+
 def q_ema_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EMA_50 folded over arrays of up to 300 closes, block by block."""
     bars = staged(views.daily_bars(spark, sf_dir).select("symbol", "datetime", "close"))
@@ -550,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "ema_from_history": q_ema_from_history,
     "macd": _indicators("EMA_12", "EMA_26", "MACD"),
     "indicators": q_indicators,
+    "indicators_irregular": q_indicators_irregular,
     "pair_asof": q_pair_asof,
     "pair_asof_offgrid": q_pair_asof_offgrid,
     "pair_latest": q_pair_latest,
