@@ -26,6 +26,7 @@ from tickloom.sources.payloads import bars_to_payload, payload_to_bars
 from tickloom.sources.topics import as_text, read_topic, stream_topic, write_topic
 from tickloom.streaming import pair_jobs
 from tickloom.streaming.runners import AVAILABLE_NOW, BatchTable, newest_per_key, start_batches
+from tickloom.streaming.stores import MeasureStore, merge_measures
 from tickloom.streaming.vwap_jobs import publish_newest, publish_vwap, stream_vwap
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -510,10 +511,10 @@ def q_pair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_measures_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streamed pairs kept as measures; the store read at its highest versions."""
+    """Streamed pairs kept as measures in runs that merge; the store read at its highest versions."""
     path = scratch(spark, "measures")
-    _stream_pairs(spark, sf_dir, pair_jobs.keep_measures(path, version=_by_window_end()))
-    return flat_dimensions(pair_jobs.stored_measures(spark, path), DIMENSIONS)
+    _stream_pairs(spark, sf_dir, merge_measures(path, fan_in=2, version=_by_window_end()))
+    return flat_dimensions(MeasureStore(spark, path).read(), DIMENSIONS)
 
 
 QUERIES: dict[str, Query] = {

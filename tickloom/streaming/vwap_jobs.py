@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.vwap import flat_windows, latest_closed, vwap, vwap_messages
+from tickloom.sources.manifests import Ledger
 from tickloom.sources.topics import write_topic
 from tickloom.streaming.runners import EVERY_MINUTE, start_batches, start_topic
 
@@ -49,6 +50,7 @@ def publish_newest(
     *,
     topic: str | None = None,
     options: Mapping[str, str] | None = None,
+    fmt: str = "kafka",
     watermark: str = "5 minutes",
     as_of: datetime | Column | Callable[[int], datetime | Column] | None = None,
     state: str | None = None,
@@ -57,7 +59,8 @@ def publish_newest(
 ) -> StreamingQuery:
     """Per micro-batch, publish each symbol's newest window that has ended by ``as_of`` (now).
 
-    ``send`` gets the windows and the batch id; without it they go to ``topic``. ``as_of``
+    ``send`` gets the windows and the batch id; without it they go to ``topic``, a batch
+    that is repeated after its delivery was noted once only. ``as_of``
     may depend on the batch id. A window that is still open at its last refresh is
     remembered, with each symbol's last published one, and is published by the first
     batch after its end; a window older than what was published is not. The memory lies in
@@ -69,7 +72,8 @@ def publish_newest(
     memory = T.StructType([*flat.schema.fields, T.StructField("_fresh", T.BooleanType())])
 
     def to_topic(windows: DataFrame, batch_id: int) -> None:
-        write_topic(vwap_messages(windows, calculation_time=False, volume_sum=False), topic, options)
+        messages = vwap_messages(windows, calculation_time=False, volume_sum=False)
+        send_once(messages, batch_id, f"{state}/delivered", topic, options, fmt=fmt)
 
     deliver = send or to_topic
 
@@ -95,6 +99,22 @@ def publish_newest(
     return start_batches(flat, handle, checkpoint, mode="update", trigger=trigger, skip_empty=False)
 
 
+def send_once(
+    messages: DataFrame, batch_id: int, ledger: str, topic: str, options: Mapping[str, str] | None = None, *, fmt: str = "kafka"
+) -> bool:
+    """Write a micro-batch's messages to a topic unless ``ledger`` says that was done; False where it was.
+
+    A stream repeats its last batch when it stopped before its checkpoint was written.
+    Only a stop between the end of the write and the note can still repeat messages.
+    """
+    delivered = Ledger(messages.sparkSession, ledger)
+    if delivered.has(batch_id):
+        return False
+    write_topic(messages, topic, options, fmt=fmt)
+    delivered.add(batch_id)
+    return True
+
+
 def _moment(as_of: datetime | Column | None) -> Column:
     if as_of is None:
         as_of = datetime.now(timezone.utc).replace(tzinfo=None)
