@@ -296,3 +296,30 @@ def test_plain_topic_writer(spark, tmp_path, feed):
     assert wait(start_topic(messages, str(tmp_path / "o"), str(tmp_path / "c"), trigger=AVAILABLE_NOW, fmt="json"), 120)
     assert spark.read.json(str(tmp_path / "o")).count() == 6
     assert CANDLE_MESSAGE.fieldNames()[0] == "symbol"
+
+
+def test_asof_on_streams(spark, tmp_path):
+    """The last quote before a window's end, found over micro-batches, with the states let go."""
+    quotes, ends = str(tmp_path / "quotes"), str(tmp_path / "ends")
+    at = lambda m, s=0: T0 + timedelta(minutes=m, seconds=s)
+    ticks = [("A", at(m, s), float(m * 100 + s), m * 100 + s) for m in range(0, 60, 3) for s in (1, 30, 30, 59)] + [("B", at(2), 5.0, 1), ("A", at(300), 1.0, 2)]
+    windows = [(s, at(m - 5), at(m), float(m)) for m in range(1, 80) for s in "ABC"] + [("A", at(295), at(300), 1.0), ("A", None, None, 1.0)]
+    for rows, path, schema, by in (
+        (ticks, quotes, "symbol string, event_timestamp timestamp, price double, id long", lambda r: r[1]),
+        (windows, ends, "symbol string, window_start timestamp_ntz, window_end timestamp_ntz, vwap double", lambda r: r[2] or T0),
+    ):
+        rows = sorted(rows, key=by)
+        for lo, hi in ((0, 20), (20, 40), (40, 60), (60, 1000)):
+            part = [r for r in rows if at(lo) <= by(r) < at(hi)]
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    read = lambda path: spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    pairs = pair_jobs.stream_asof(read(ends), read(quotes), max_age="7 minutes", delay="1 minute", order="id")
+    log, query = run(spark, pairs, tmp_path, "append")
+    got = sorted((r.symbol, end(r), r.vwap, r.quote_time, r.close) for r in log.collect())
+    want = []
+    for symbol, _, stop, vwap in windows:
+        near = [(t, p) for s, t, p, _ in ticks if stop and s == symbol and t < stop and t.replace(second=0) + timedelta(minutes=1) > stop - timedelta(minutes=7)]
+        if near and stop < at(200):
+            want.append((symbol, int(vwap), vwap, max(near)[0], max(near)[1]))
+    assert got == sorted(want) and len({r.batch_id for r in log.select("batch_id").distinct().collect()}) > 2
+    assert all(op["numRowsTotal"] < 40 for op in query.lastProgress["stateOperators"])

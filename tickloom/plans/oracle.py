@@ -266,6 +266,11 @@ FROM windows w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.eve
     "pair_asof_offgrid": f"""WITH {_WINDOWS}, late AS (SELECT symbol, window_end + INTERVAL 30 SECOND AS window_end, vwap FROM windows)
 SELECT w.symbol, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
 FROM late w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp""",
+    "pair_asof_stream": f"""WITH {_WINDOWS}
+SELECT w.symbol, w.window_start, w.window_end, w.vwap, t.event_timestamp AS quote_time, t.price AS close
+FROM windows w ASOF JOIN ticks t ON w.symbol = t.symbol AND w.window_end > t.event_timestamp
+WHERE date_trunc('minute', t.event_timestamp) + INTERVAL 1 MINUTE > w.window_end - INTERVAL 10 MINUTE
+  AND w.window_end <= (SELECT max(event_timestamp) FROM ticks) - INTERVAL 12 MINUTE""",
     "pair_latest": f"WITH {_PAIRS} SELECT * FROM pairs",
     "pair_topics": f"WITH {_TOPIC_PAIRS} SELECT * FROM pairs",
     "measures_long": _MEASURES,

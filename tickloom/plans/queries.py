@@ -510,6 +510,22 @@ def q_pair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read(spark, pair_jobs.PAIR).drop("batch_id")
 
 
+def q_pair_asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows and ticks as two streams of the same slices of time, paired by event time in four micro-batches or more."""
+    use_rocksdb(spark)
+    path, bounds = views.event_slices(spark, sf_dir)
+    ends, windows = scratch(spark, "ends"), staged(_windows(spark, sf_dir))
+    for lo, hi in zip(bounds, [*bounds[1:-1], datetime.max], strict=False):
+        span = (F.col("window_end") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("window_end") < F.lit(hi).cast("timestamp_ntz"))
+        files.write_parquet(windows.filter(span).coalesce(1), ends, mode="append")
+    streamed = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(ends)
+    ticks = views.stream_ticks(views.event_stream(spark, path, 1))
+    pairs = pair_jobs.stream_asof(streamed, ticks, max_age="10 minutes", order="event_id")
+    log = BatchTable(scratch(spark, "pairs"))
+    start_batches(pairs, log.write, scratch(spark, "checkpoint"), mode="append", trigger=AVAILABLE_NOW).awaitTermination()
+    return log.read(spark, pairs.schema).drop("batch_id")
+
+
 def q_measures_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed pairs kept as measures in runs that merge; the store read at its highest versions."""
     path = scratch(spark, "measures")
@@ -581,5 +597,6 @@ QUERIES: dict[str, Query] = {
     "vwap_stream_late": q_vwap_stream_late,
     "vwap_stream_json": q_vwap_stream_json,
     "pair_stream": q_pair_stream,
+    "pair_asof_stream": q_pair_asof_stream,
     "measures_store": q_measures_store,
 }

@@ -95,7 +95,7 @@ def stream_pairs(
 
         def keep(rows: DataFrame) -> DataFrame:
             kept.append(rows.persist())
-            return kept[0]
+            return kept[-1]
 
         folded = fold_arrivals(led, grain, stage=keep)
         try:
@@ -109,6 +109,40 @@ def stream_pairs(
     return start_batches(messages, handle, checkpoint, mode="append", trigger=trigger, skip_empty=False)
 
 
+def stream_asof(
+    windows: DataFrame,
+    quotes: DataFrame,
+    *,
+    slide: str = "1 minute",
+    max_age: str = "1 hour",
+    delay: str = "2 minutes",
+    time: str = "event_timestamp",
+    price: str = "price",
+    order: str | None = None,
+) -> DataFrame:
+    """Give each streamed window the last quote of its symbol before its end, no older than ``max_age``.
+
+    The batch operator ``pair_asof`` on two streams, for windows that end on the grid of ``slide``.
+    Quotes are first cut down to the last one per slide, then join the
+    windows within ``max_age``, and a window is emitted once with its newest quote, when
+    both streams have passed its end by ``delay`` and ``max_age``. Append mode. All three states are let go
+    by the slower stream's watermark; what a batch writes is what has changed. Windows without
+    such a quote are left out, and so are rows without symbol or time, and quotes later than ``delay``. ``order`` decides
+    between quotes of one time, else the larger price does.
+    """
+    at = F.col(time).cast("timestamp")
+    seq = F.col(order) if order else F.col(price)
+    ticks = quotes.select(F.col("symbol").alias("_symbol"), at.alias("_time"), F.col(price).alias("close"), seq.alias("_seq")).withWatermark("_time", delay)
+    newest = F.struct("_time", "_seq")
+    panes = ticks.groupBy(F.window("_time", slide).alias("_pane"), "_symbol").agg(F.max_by("close", newest).alias("close"), F.max("_time").alias("quote_time"))
+    panes = panes.select("_symbol", F.window_time("_pane").alias("_at"), "quote_time", "close")
+    ends = windows.select("symbol", "window_start", "vwap", F.col("window_end").cast("timestamp").alias("window_end")).withWatermark("window_end", delay)
+    near = F.expr(f"symbol = _symbol AND _at < window_end AND _at >= window_end - interval {max_age}")
+    pairs = ends.join(panes, near).groupBy("symbol", "window_start", "window_end")
+    pairs = pairs.agg(F.max("vwap").alias("vwap"), F.max_by("quote_time", "_at").alias("quote_time"), F.max_by("close", "_at").alias("close"))
+    return pairs.withColumns({"window_end": ntz("window_end"), "quote_time": ntz("quote_time")})
+
+
 def keep_measures(path: str, **settings) -> Callable[[DataFrame, int], None]:
     """A pair handler that stores long measure records by day, replacing a repeated batch."""
     log = BatchTable(path, ["day"])
