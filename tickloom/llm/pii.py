@@ -82,11 +82,11 @@ def _shifts(key: str, kind: str, i: Column, other: Column, n: Column) -> Column:
     """``n`` keyed numbers below 2**16, an array: the other half is hashed once, and the hash with a block number gives 16 of them."""
     seed = F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit(kind), i.cast("string"), n.cast("string"), other), 256)
     blocks = F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / 16), F.lit(0)).cast("int"))
-    number = lambda digest, k: F.conv(F.substring(digest, k * 4 + 1, F.lit(4)), 16, 10).cast("int")
-    numbers = lambda digest: F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: number(digest, k))
-    # the seed as the only element of an array: inside a lambda it would be hashed again for every block
-    drawn = F.transform(F.array(seed), lambda own: F.flatten(F.transform(blocks, lambda b: numbers(F.sha2(F.concat_ws("\u0001", own, b.cast("string")), 256)))))
-    return F.slice(F.element_at(drawn, 1), F.lit(1), n)
+    places = F.filter(F.sequence(F.lit(0), n), lambda j: j < n)
+    number = lambda digests, j: F.conv(F.substring(F.element_at(digests, F.shiftright(j, 4) + 1), (j % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    # seed and hashes as the only element of an array: named directly in a lambda they would be made again for every element
+    digests = F.transform(F.array(seed), lambda own: F.transform(blocks, lambda b: F.sha2(F.concat_ws("\u0001", own, b.cast("string")), 256)))
+    return F.element_at(F.transform(digests, lambda held: F.transform(places, lambda j: number(held, j))), 1)
 
 
 def _mix_text(text: Column, key: str, kind: str, undo: bool) -> Column:
