@@ -62,10 +62,15 @@ def encoder(spec: str):
         merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
         by_rank = all(a < b for a, b in zip(merged, merged[1:], strict=False))
     special = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
-    from tokenizers import Tokenizer
+    slow = []
+
+    def plainly(text: str) -> np.ndarray:
+        if not slow:  # where the faster library does, it is never made
+            from tokenizers import Tokenizer
+
+            slow.append(Tokenizer.from_str(spec))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    slow = Tokenizer.from_str(spec)
-    plainly = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     if not by_rank:
         return plainly
 
