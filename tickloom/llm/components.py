@@ -47,6 +47,11 @@ def _slot(values: np.ndarray, size: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
 
 
+def roomy(keys: int, most: int = BITS) -> int:
+    """Bits of a bitmap with 32 or more for each key, as far as ``most`` allows."""
+    return min(most, 1 << max(16, (32 * keys).bit_length()))
+
+
 def bitmap(keys: DataFrame, size: int = BITS) -> np.ndarray:
     """A bitmap of ``size`` bits (a power of two from 2**9 on) with one set for each value of the only column of ``keys``: a long, or the first eight of its bytes."""
     width = size // 8 // CHUNKS

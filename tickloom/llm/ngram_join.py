@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
 from tickloom.llm.common import fresh, quoted
-from tickloom.llm.components import bitmap, components, maybe, maybe_in
+from tickloom.llm.components import bitmap, components, maybe, maybe_in, roomy
 from tickloom.session import staged
 
 WORDS = 5
@@ -183,12 +183,12 @@ def _profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key binary, demand int, prefix array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataFrame:
     """(key, hashes) of the sets of ``wanted`` (key, doc_id), each once; made again from those rows' texts.
 
-    A bitmap of the ids keeps other texts from being read into words; the join decides.
+    A bitmap of the ids, with room for ``most``, keeps other texts from being read into words; the join decides.
     """
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.where("doc_id is not null").select("doc_id")))
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.where("doc_id is not null").select("doc_id"), roomy(most)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
@@ -335,7 +335,7 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar."""
         side = lambda s: pairs.select(F.col(f"key_{s}").alias("key"), F.col(f"doc_id_{s}").alias("doc_id"))
-        sets = _sets(rows, side("a").unionAll(side("b")).distinct(), size)
+        sets = _sets(rows, side("a").unionAll(side("b")).distinct(), 2 * pairs.count(), size)
         of = lambda s: sets.select(F.col("key").alias(f"key_{s}"), F.col("hashes").alias(f"set_{s}"))
         both = pairs.select("a", "b", "n_a", "n_b", "key_a", "key_b").join(of("a"), "key_a").join(of("b"), "key_b")
         inner = F.size(F.array_intersect("set_a", "set_b"))
@@ -367,8 +367,9 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
     # within clusters all whole sets meet in tiles, without writing pairs
     members = clusters.join(roots, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
     tiled = staged(_outsiders(members).join(facts.select("node", "key", "doc_id"), "node"))
-    sets = _sets(rows, tiled.select("key", "doc_id").distinct(), size)
-    parts = -(-tiled.count() // TILE) or 1
+    entered = tiled.count()
+    sets = _sets(rows, tiled.select("key", "doc_id").distinct(), entered, size)
+    parts = -(-entered // TILE) or 1
     tiled = tiled.join(sets, "key").withColumn("part", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(parts)))
     found = tiled.select("part", "cluster", "i", "j", "node", "root", "own", "hashes").groupBy("part").applyInPandas(_within(percent), "a long, b long")
     links = staged(links.unionAll(found))
@@ -423,7 +424,7 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", siz
     doubt, known, stay, own = fresh(docs, "_doubted", "_known", "_stay", "_own")
     number = quoted(key).cast("long")
     words = F.coalesce(quoted(text).cast("string"), F.lit("")).rlike(r"[^ \x09-\x0d]")
-    flagged = docs.withColumn(doubt, maybe(number, docs, bitmap(odd.select("doc_id"))) & words)
+    flagged = docs.withColumn(doubt, maybe(number, docs, bitmap(odd.select("doc_id"), roomy(odd.count()))) & words)
     sure = flagged.where(~F.col(doubt)).drop(doubt)
     again = flagged.where(F.col(doubt)).drop(doubt)
     facts = odd.select(F.col("doc_id").alias(known), F.col("stay").alias(stay))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.llm.common import quoted
-from tickloom.llm.components import bitmap, maybe_in
+from tickloom.llm.components import bitmap, maybe_in, roomy
 from tickloom.session import staged
 
 LONGEST = 4
@@ -338,7 +338,7 @@ def _totals(rows: DataFrame) -> DataFrame:
 
 def _marked(hashes: DataFrame, parts: int) -> Known:
     """A bitmap of 32 bits or more for each hash, 32 MB at most; it only spares work, and may hold more."""
-    return bitmap(hashes, 1 << max(16, min(28, (32 * hashes.count()).bit_length()))), parts
+    return bitmap(hashes, roomy(hashes.count(), 1 << 28)), parts
 
 
 def frequent_phrases(rows: DataFrame, words: int, *, longest: int = LONGEST, min_count: int = MIN_COUNT, partition_mass: int = PARTITION_MASS) -> DataFrame:
