@@ -15,7 +15,8 @@ components. Nodes that share most with the same head form a cluster, where those
 the largest component are compared with all others in tiles. The last round compares
 the pairs of a posting that are in different components and clusters, of sizes near each
 other, and not already kept apart by the prefix shingles that their own components
-alone hold: documents that share a passage and little else. So no link between
+alone hold: documents that share a passage and little else. Pairs of a long posting are
+compared in tiles too. So no link between
 components is missed, while a large group of near copies costs a few comparisons per
 member and no written pairs. Every candidate is verified on the whole sets.
 """
@@ -42,6 +43,7 @@ SKETCH = 1 << 22  # counters of the document-count sketch
 SKETCH_CHUNKS = 64
 HEAD_ROUNDS = 2
 TILE = 512  # nodes of a tile
+SHORT = 32  # entries of a posting whose pairs are joined; longer ones are compared in tiles
 VERIFY_COST, UNSEEN = 20.0, 0.2  # of a candidate against a posting entry; expected partners of a rare shingle
 
 _M = (1 << 64) - 1
@@ -263,25 +265,98 @@ def _needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(percent * (n + m) / (100 + percent))
 
 
-def _meetings(still: DataFrame, percent: int) -> DataFrame:
-    """The pairs of nodes that meet in a posting of ``still`` (shingle, node, pos, n, root, cluster) and may link, once per posting.
+def _common(percent: int):
+    """Pairs of a part's tile pairs that share enough of their lists to link, each outsider against all of other roots and clusters."""
 
-    They are of other roots and clusters, and of sizes near each other. Of a node's
-    prefix, the shingles in no posting of several roots are missing in every partner, so what a
-    partner can share is known before the join: documents with a passage in common and too
-    much besides do not meet. The smaller set comes first, and it must be
-    shared nearly whole, which few entries of a posting are.
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, tile in rows.groupby(["posting", "i", "j"], sort=False):
+            lists = [np.asarray(h) for h in tile["shingles"]]
+            places = [np.asarray(p) for p in tile["places"]]
+            many = np.array([len(h) for h in lists])
+            owner, flat, place = np.repeat(np.arange(len(lists)), many), np.concatenate(lists), np.concatenate(places)
+            order = np.argsort(flat, kind="stable")
+            owner, flat, place = owner[order], flat[order], place[order]
+            node, root, cluster, own, size, most, demand, home = (tile[c].to_numpy() for c in ("node", "root", "cluster", "own", "n", "most", "demand", "home"))
+            first, last_x, last_y = tile["i"].iloc[0], np.zeros(len(tile), np.int64), np.zeros(len(tile), np.int64)
+            cross = first != tile["j"].iloc[0]
+            for x in np.flatnonzero(own == first):
+                fit = (root != root[x]) & (cluster != cluster[x]) & (home | home[x])
+                asked = -(-percent * (size + size[x]) // (100 + percent))
+                fit &= np.minimum(most, most[x]) >= asked
+                if cross:
+                    fit &= own != own[x]
+                if not fit.any():
+                    continue
+                lo, hi = np.searchsorted(flat, lists[x], "left"), np.searchsorted(flat, lists[x], "right")
+                met = hi - lo
+                at = np.repeat(lo - np.concatenate([[0], np.cumsum(met)[:-1]]), met) + np.arange(met.sum())
+                shares = np.bincount(owner[at], minlength=len(tile))
+                last_x[owner[at]] = np.repeat(places[x], met)  # lists are in order of place: the last one stays
+                last_y[owner[at]] = place[at]
+                left = np.minimum(size[x] - (last_x + 1 - shares), size - (last_y + 1 - shares))
+                hit = fit & (shares >= np.maximum(1, np.minimum(demand, demand[x]))) & (left >= asked)
+                out.append((np.minimum(node[hit], node[x]), np.maximum(node[hit], node[x])))
+        if not out:
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in out]), "b": np.concatenate([b for _, b in out])}).drop_duplicates()
+
+    return run
+
+
+def _meetings(still: DataFrame, demands: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, shares, last_a, last_b) of ``still`` (shingle, node, pos, n, root, cluster) that may link, each once.
+
+    They are of other roots and clusters, and of sizes near each other. A pair that
+    links has a shingle among the first n - ceil(t n) + 1 of both: there it meets, and is then
+    judged by all the prefix shingles that both have. Of a node's prefix, the
+    shingles in no posting of several roots are missing in every partner, so what a
+    partner can share is known before: documents with a passage in common and too much
+    besides do not meet. In postings of up to ``SHORT`` entries the pairs are joined, at
+    most ``SHORT`` for an entry; longer ones are compared in tiles, which write no pair but
+    those that share as many as they must.
     """
     rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))
     still = still.withColumn("most", F.col("n") - (F.col("pos") + 1 - rank))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.0001 * 100 / percent))).cast("int")  # partners are of one band or two in a row
     still = staged(still.where(F.col("most") >= F.ceil(percent * F.col("n") / 100)).withColumn("band", band))
-    of = lambda s: still.select("shingle", "band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "pos", "cluster", "n", "most")])
+    entry = F.sort_array(F.collect_list(F.struct("pos", "shingle")))
+    lists = still.groupBy("node").agg(entry.alias("entries"), F.first("n").alias("n"))
+    lists = lists.select("node", "n", F.col("entries.shingle").alias("shingles"), F.col("entries.pos").alias("places"))
+    lists = staged(lists.join(demands, "node"))
+
+    early = still.where(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / 100))
+    sizes = early.groupBy("shingle").agg(F.count("*").alias("many"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    early = staged(early.join(sizes.where("lo <> hi").select("shingle", "many"), "shingle"))
+
+    short = early.where(F.col("many") <= SHORT)
+    of = lambda s: short.select("shingle", "band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "cluster", "n", "most")])
     left = of("a").where(F.col("most_a") >= _needed(F.col("n_a"), F.col("n_a"), percent))
     left = left.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
     smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
     enough = F.least("most_a", "most_b") >= _needed(F.col("n_a"), F.col("n_b"), percent)
-    return left.join(of("b"), ["shingle", "band"]).where(smaller & F.expr("root_a <> root_b and cluster_a <> cluster_b") & enough)
+    joined = left.join(of("b"), ["shingle", "band"]).where(smaller & F.expr("root_a <> root_b and cluster_a <> cluster_b") & enough)
+    joined = joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+    # an entry is at home in its own band and a guest in the one before: guests do not meet each other there
+    crowd = early.where(F.col("many") > SHORT)
+    crowd = crowd.withColumn("home", F.explode(F.array(F.lit(True), F.lit(False))))
+    posting = F.xxhash64("shingle", F.col("band") - F.when(F.col("home"), 0).otherwise(1))
+    crowd = crowd.select(posting.alias("posting"), "node", "root", "cluster", "most", "home")
+    alive = crowd.groupBy("posting").agg(F.max("home").alias("any")).where("any").select("posting")
+    crowd = staged(crowd.join(alive, "posting"))
+    tiled = staged(_outsiders(crowd.withColumnRenamed("cluster", "own_cluster").withColumnRenamed("posting", "cluster")).withColumnRenamed("cluster", "posting"))
+    parts = -(-tiled.count() // TILE) or 1
+    tiled = tiled.join(crowd.drop("root"), ["posting", "node"]).join(lists, "node")
+    tiled = tiled.withColumn("part", F.pmod(F.xxhash64("posting", "i", "j"), F.lit(parts)))
+    compared = tiled.groupBy("part").applyInPandas(_common(percent), "a long, b long")
+
+    pairs = staged(joined.unionAll(compared).distinct())
+    side = lambda s: lists.select(F.col("node").alias(s), F.col("shingles").alias(f"shingles_{s}"), F.col("places").alias(f"places_{s}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.withColumn("both", F.array_intersect("shingles_a", "shingles_b"))
+    last = lambda s: F.element_at(f"places_{s}", F.array_position(f"shingles_{s}", F.element_at("both", -1)).cast("int"))
+    return pairs.select("a", "b", F.size("both").cast("long").alias("shares"), last("a").alias("last_a"), last("b").alias("last_b"))
 
 
 def similar_sets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -376,10 +451,7 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
 
     # between clusters the pairs of a posting meet that the shingles no other root has leave possible
     still = parted(components(links)).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
-    meet = _meetings(still, percent)
-    pairs = meet.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
-        F.count("*").alias("shares"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b")
-    )
+    pairs = _meetings(still, facts.select("node", "demand"), percent)
     links = staged(links.unionAll(linked(plausible(pairs, 1.0))))
     roots = components(links)
 
