@@ -208,3 +208,12 @@ def test_documents_that_only_share_a_passage_do_not_meet_in_pairs(spark, monkeyp
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert rows_of(ngram_join.similar_sets(df)) == brute(rows)
     assert made[0][0] <= 20 * len(rows) and made[0][0] < 0.1 * 400 * 400
+
+
+def test_long_postings_are_compared_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SHORT", 2)
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    monkeypatch.setattr(ngram_join, "HEAD_ROUNDS", 1)
+    rows = corpus(12, 160)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(ngram_join.similar_sets(df)) == brute(rows)

@@ -304,8 +304,8 @@ def _common(percent: int):
     return run
 
 
-def _meetings(still: DataFrame, demands: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, shares, last_a, last_b) of ``still`` (shingle, node, pos, n, root, cluster) that may link, each once.
+def _meetings(still: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, shares, last_a, last_b) of ``still`` (shingle, node, pos, n, demand, root, cluster) that may link, each once.
 
     They are of other roots and clusters, and of sizes near each other. A pair that
     links has a shingle among the first n - ceil(t n) + 1 of both: there it meets, and is then
@@ -321,9 +321,9 @@ def _meetings(still: DataFrame, demands: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.0001 * 100 / percent))).cast("int")  # partners are of one band or two in a row
     still = staged(still.where(F.col("most") >= F.ceil(percent * F.col("n") / 100)).withColumn("band", band))
     entry = F.sort_array(F.collect_list(F.struct("pos", "shingle")))
-    lists = still.groupBy("node").agg(entry.alias("entries"), F.first("n").alias("n"))
-    lists = lists.select("node", "n", F.col("entries.shingle").alias("shingles"), F.col("entries.pos").alias("places"))
-    lists = staged(lists.join(demands, "node"))
+    lists = still.groupBy("node").agg(entry.alias("entries"), F.first("n").alias("n"), F.first("demand").alias("demand"))
+    lists = lists.select("node", "n", "demand", F.col("entries.shingle").alias("shingles"), F.col("entries.pos").alias("places"))
+    lists = staged(lists)
 
     early = still.where(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / 100))
     sizes = early.groupBy("shingle").agg(F.count("*").alias("many"), F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -451,7 +451,7 @@ def _placed(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Da
 
     # between clusters the pairs of a posting meet that the shingles no other root has leave possible
     still = parted(components(links)).join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", -F.col("node") - 1))
-    pairs = _meetings(still, facts.select("node", "demand"), percent)
+    pairs = _meetings(still.join(facts.select("node", "demand"), "node"), percent)
     links = staged(links.unionAll(linked(plausible(pairs, 1.0))))
     roots = components(links)
 
