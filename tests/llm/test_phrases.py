@@ -133,3 +133,16 @@ def test_products_beyond_64_bits(spark):
     row = spark.range(1).select(phrases._wide(F.lit(big)).alias("wide"), (phrases._wide(F.lit(big)) + phrases._wide(F.lit(big))).alias("both"))
     got = row.select((F.col("wide") * F.lit(phrases.SCALE)).alias("wide"), "both").selectExpr("wide div both AS q").first()
     assert got.q == 2_000_000 * big // (2 * big)
+
+
+def test_counts_are_combined_over_many_splits(spark):
+    """A frequent phrase is a row of each running task, not of each split of the input."""
+    docs = spark.createDataFrame([("en", bytearray(b"one two three four"))] * 400, "lang string, text binary").repartition(40)
+    bits = np.full(1 << 13, 255, np.uint8)  # all are kept
+    cores = spark.sparkContext.defaultParallelism
+    rows = phrases._counted(docs, (bits, 1), 4, 1600).collect()
+    assert len(rows) <= 10 * cores < 40 * 10
+    totals = Counter()
+    for r in rows:
+        totals[r.phrase] += r.n
+    assert len(totals) == 10 and set(totals.values()) == {400}

@@ -35,6 +35,7 @@ SCALE = 2_000_000
 PARTITION_MASS = 2_000_000  # occurrences of a hash partition, about
 HELD = 2_000_000  # counters or occurrences a task holds before it merges or hands on
 NAMED = 1_000_000  # texts of phrases a task holds before it hands them on
+COMBINED = 32_000_000  # words whose exact counts one task combines, at most
 BLOCK = 500_000  # words hashed at a time
 RANKS = (4096, 64)  # groups in which the first of a language are found before they meet
 
@@ -306,9 +307,16 @@ class _Counts:
         return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
 
 
-def _counted(rows: DataFrame, kept: Known, longest: int) -> DataFrame:
-    """(lang, phrase, words, n): the counts per task of all phrases that may be among those kept."""
-    held = rows.sparkSession.sparkContext.broadcast(kept)
+def _counted(rows: DataFrame, kept: Known, longest: int, total: int) -> DataFrame:
+    """(lang, phrase, words, n): the counts per task of all phrases that may be among those kept.
+
+    A frequent phrase is a row of each task that meets it. So the ``total`` words are not
+    dealt by the many splits of the input, but to as many tasks as run at once, or to a
+    multiple of that where a task's share would be too long.
+    """
+    context = rows.sparkSession.sparkContext
+    held, cores = context.broadcast(kept), context.defaultParallelism
+    rows = rows.coalesce(cores * max(1, -(-total // (cores * COMBINED))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, counts = Phrases(range(1, longest + 1), held.value), _Counts()
@@ -353,7 +361,7 @@ def frequent_phrases(rows: DataFrame, words: int, *, longest: int = LONGEST, min
     if longest > 2:
         more = survivors(rows, words * (longest - 2), range(3, longest + 1), parts, known=_marked(found, parts), min_count=min_count)
         found = staged(found.unionAll(more))
-    counts = _counted(rows, _marked(found, parts), longest).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
+    counts = _counted(rows, _marked(found, parts), longest, words).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
     return counts.where(F.col("f") >= min_count)
 
 
