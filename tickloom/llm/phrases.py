@@ -35,7 +35,7 @@ SCALE = 2_000_000
 PARTITION_MASS = 2_000_000  # occurrences of a hash partition, about
 HELD = 2_000_000  # counters or occurrences a task holds before it merges or hands on
 NAMED = 1_000_000  # texts of phrases a task holds before it hands them on
-COMBINED = 32_000_000  # words whose exact counts one task combines, at most
+COMBINED = 32_000_000  # words whose exact counts one task combines, about
 BLOCK = 500_000  # words hashed at a time
 RANKS = (4096, 64)  # groups in which the first of a language are found before they meet
 
